@@ -120,3 +120,240 @@ def q_risk_by_contract(spark, sf_dir):
         F.avg("churn_label").alias("churn_rate"),
         F.avg("risk_score").alias("mean_risk"),
     )
+
+
+# --- 2.3 data quality, 2.5 summaries ----------------------------------------
+from churnlake.functions import unit_hash_sql  # noqa: E402
+from churnlake.operators import auc as auc_ops  # noqa: E402
+from churnlake.operators import metrics as met  # noqa: E402
+from churnlake.operators import quality as qual  # noqa: E402
+from churnlake.operators import scaling as scl  # noqa: E402
+from churnlake.operators import split as spl  # noqa: E402
+
+_NULL_UNION = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, AVG(CAST({c} IS NULL AS DOUBLE)) AS null_share FROM raw" for c in S.RAW_COLUMNS
+)
+
+
+@register(
+    "null_profile",
+    O.RAW + f"SELECT column_name, null_share, null_share > CAST(0.5 AS DOUBLE) AS high_null FROM ({_NULL_UNION}) x",
+)
+def q_null_profile(spark, sf_dir):
+    return qual.null_profile(fx.raw_customers(spark, sf_dir))
+
+
+@register("label_distribution", O.RAW + "SELECT Churn, COUNT(*) AS count FROM raw WHERE Churn IS NOT NULL GROUP BY Churn")
+def q_label_distribution(spark, sf_dir):
+    return qual.label_distribution(fx.raw_customers(spark, sf_dir))
+
+
+@register(
+    "dataset_summary",
+    O.RAW + "SELECT COUNT(*) AS rows, 20 AS columns, '" + ",".join(S.RAW_COLUMNS) + """' AS column_names,
+  'Churn' AS target, AVG(CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END)::DOUBLE AS churn_rate,
+  'customer+orders' AS source FROM raw""",
+)
+def q_dataset_summary(spark, sf_dir):
+    s = qual.dataset_summary(fx.raw_customers(spark, sf_dir), source="customer+orders")
+    return s.withColumn("column_names", F.array_join("column_names", ","))
+
+
+# --- 2.7 split, weights, scaling --------------------------------------------
+_SPLIT_SQL = f"CASE WHEN {unit_hash_sql('customerID', 'split42')} < CAST(0.8 AS DOUBLE) THEN 'train' ELSE 'test' END"
+
+
+@register(
+    "split_counts",
+    O.FEAT + f"""SELECT split, churn_label, COUNT(*) AS rows,
+  COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY split) AS share
+FROM (SELECT {_SPLIT_SQL} AS split, churn_label FROM features) s GROUP BY split, churn_label""",
+)
+def q_split_counts(spark, sf_dir):
+    return spl.split_counts(features(spark, sf_dir))
+
+
+def train_part(spark, sf_dir):
+    return spl.train_test(feat.fill_missing(features(spark, sf_dir)))[0]
+
+
+@register(
+    "class_weights",
+    O.FEAT + f"""SELECT churn_label, COUNT(*) AS n_c,
+  SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)) AS weight
+FROM features WHERE {_SPLIT_SQL} = 'train' GROUP BY churn_label""",
+)
+def q_class_weights(spark, sf_dir):
+    return scl.class_weights(train_part(spark, sf_dir))
+
+
+def _round_cols(df: DataFrame, cols, digits: int) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+_STATS_UNION = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, AVG({c}) AS mean, STDDEV_POP({c}) AS std FROM tr" for c in S.NUMERIC_FEATURES
+)
+
+
+@register(
+    "scaler_stats",
+    O.FEAT + f""", tr AS (SELECT * FROM features WHERE {_SPLIT_SQL} = 'train')
+SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std,
+  round(CASE WHEN std = 0 THEN CAST(1 AS DOUBLE) ELSE std END, 6) AS scale
+FROM ({_STATS_UNION}) x""".replace("WITH ", "WITH ", 1),
+)
+def q_scaler_stats(spark, sf_dir):
+    return _round_cols(scl.scaler_stats(train_part(spark, sf_dir)), {"mean", "std", "scale"}, 6)
+
+
+_STD_COLS = ",\n  ".join(
+    f"round(({c} - st_{c}.mean) / CASE WHEN st_{c}.std = 0 THEN CAST(1 AS DOUBLE) ELSE st_{c}.std END, 6) AS {c}"
+    for c in S.NUMERIC_FEATURES
+)
+_STD_JOINS = " ".join(
+    f"CROSS JOIN (SELECT AVG({c}) AS mean, STDDEV_POP({c}) AS std FROM tr) st_{c}" for c in S.NUMERIC_FEATURES
+)
+
+
+@register(
+    "standardized_features",
+    O.FEAT + f""", tr AS (SELECT * FROM features WHERE {_SPLIT_SQL} = 'train')
+SELECT customerID, {_STD_COLS}
+FROM features {_STD_JOINS}""",
+)
+def q_standardized_features(spark, sf_dir):
+    f = feat.fill_missing(features(spark, sf_dir))
+    scaler = scl.FittedScaler.fit(spl.train_test(f)[0])
+    out = scaler.transform(f.select(S.ID, *S.NUMERIC_FEATURES))
+    return _round_cols(out, set(S.NUMERIC_FEATURES), 6)
+
+
+# --- 2.5 metrics over the scored fixture -------------------------------------
+def scored_long(spark, sf_dir):
+    return fx.scored(spark, sf_dir).withColumn("prediction", met.predict_at("probability"))
+
+
+_COUNTS_SQL = """, c AS (
+  SELECT model,
+    CAST(SUM(CASE WHEN label = 1 AND probability >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+    CAST(SUM(CASE WHEN label = 0 AND probability >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+    CAST(SUM(CASE WHEN label = 1 AND probability < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+    CAST(SUM(CASE WHEN label = 0 AND probability < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+  FROM scored GROUP BY model)
+"""
+
+
+def _div0(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) = 0 THEN CAST(0 AS DOUBLE) ELSE ({num}) / ({den}) END)"
+
+
+@register(
+    "confusion_matrix",
+    O.SCORED + _COUNTS_SQL + """SELECT model, 'Actual_No' AS actual, tn AS Pred_No, fp AS Pred_Yes FROM c
+UNION ALL SELECT model, 'Actual_Yes', fn, tp FROM c""",
+)
+def q_confusion_matrix(spark, sf_dir):
+    return met.confusion_matrix(scored_long(spark, sf_dir))
+
+
+_METRICS_SELECT = (
+    "SELECT model, tp, fp, fn, tn, "
+    + _div0("tp + tn", "tp + fp + fn + tn") + " AS accuracy, "
+    + _div0("tp", "tp + fp") + " AS precision, "
+    + _div0("tp", "tp + fn") + " AS recall, "
+    + _div0("2 * tp", "2 * tp + fp + fn") + " AS f1_score FROM c"
+)
+
+
+@register("classification_metrics", O.SCORED + _COUNTS_SQL + _METRICS_SELECT)
+def q_classification_metrics(spark, sf_dir):
+    return met.classification_metrics(scored_long(spark, sf_dir))
+
+
+@register(
+    "classification_report",
+    O.SCORED + _COUNTS_SQL + """, k AS (
+  SELECT model,
+    """ + _div0("tn", "tn + fn") + """ AS p0, """ + _div0("tn", "tn + fp") + """ AS r0,
+    """ + _div0("2 * tn", "2 * tn + fn + fp") + """ AS f0, CAST(tn + fp AS DOUBLE) AS s0,
+    """ + _div0("tp", "tp + fp") + """ AS p1, """ + _div0("tp", "tp + fn") + """ AS r1,
+    """ + _div0("2 * tp", "2 * tp + fp + fn") + """ AS f1, CAST(tp + fn AS DOUBLE) AS s1
+  FROM c)
+SELECT model, '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM k
+UNION ALL SELECT model, '1', p1, r1, f1, s1 FROM k
+UNION ALL SELECT model, 'accuracy', NULL, NULL, """ + _div0("CAST(tp + tn AS DOUBLE)", "s0 + s1") + """, s0 + s1
+  FROM k JOIN c USING (model)
+UNION ALL SELECT model, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1 FROM k
+UNION ALL SELECT model, 'weighted avg', """ + _div0("p0 * s0 + p1 * s1", "s0 + s1") + ", " + _div0(
+        "r0 * s0 + r1 * s1", "s0 + s1") + ", " + _div0("f0 * s0 + f1 * s1", "s0 + s1") + """, s0 + s1 FROM k""",
+)
+def q_classification_report(spark, sf_dir):
+    return met.classification_report(scored_long(spark, sf_dir))
+
+
+@register(
+    "roc_auc",
+    O.SCORED + """, r AS (
+  SELECT model, label,
+    RANK() OVER (PARTITION BY model ORDER BY probability) AS rk,
+    COUNT(*) OVER (PARTITION BY model, probability) AS tie
+  FROM scored),
+a AS (
+  SELECT model, SUM(CASE WHEN label = 1 THEN 2 * rk + tie - 1 ELSE 0 END) AS r2,
+    COUNT_IF(label = 1) AS p, COUNT_IF(label <> 1) AS n
+  FROM r GROUP BY model)
+SELECT model,
+  CASE WHEN p = 0 OR n = 0 THEN NULL ELSE CAST(r2 - p * (p + 1) AS DOUBLE) / CAST(2 * p * n AS DOUBLE) END AS roc_auc,
+  p AS positives, n AS negatives,
+  CASE WHEN p = 0 OR n = 0 THEN 'one_class' ELSE 'ok' END AS status
+FROM a""",
+)
+def q_roc_auc(spark, sf_dir):
+    return auc_ops.roc_auc(scored_long(spark, sf_dir))
+
+
+_FOLD_SQL = f"CAST(floor({unit_hash_sql('customerID', 'fold42')} * 5) AS INT)"
+
+
+@register(
+    "cv_summary",
+    O.SCORED + f""", fc AS (
+  SELECT model, {_FOLD_SQL} AS fold,
+    SUM(CASE WHEN label = 1 AND probability >= 0.5 THEN 1 ELSE 0 END) AS tp,
+    SUM(CASE WHEN label = 0 AND probability >= 0.5 THEN 1 ELSE 0 END) AS fp,
+    SUM(CASE WHEN label = 1 AND probability < 0.5 THEN 1 ELSE 0 END) AS fn
+  FROM scored GROUP BY ALL),
+ff AS (SELECT model, fold, {_div0('2 * tp', '2 * tp + fp + fn')} AS f1 FROM fc)
+SELECT model, round(AVG(f1), 9) AS cv_f1_mean, round(STDDEV_POP(f1), 9) AS cv_f1_std, COUNT(*) AS folds
+FROM ff GROUP BY model""",
+)
+def q_cv_summary(spark, sf_dir):
+    long = spl.with_folds(scored_long(spark, sf_dir))
+    s = met.cv_summary(met.fold_f1(long))
+    return _round_cols(s, {"cv_f1_mean", "cv_f1_std"}, 9)
+
+
+_ORDER_SQL = "CASE model WHEN 'logistic_regression' THEN 0 WHEN 'random_forest' THEN 1 WHEN 'gradient_boosting' THEN 2 ELSE 3 END"
+
+
+@register(
+    "champion",
+    O.SCORED + _COUNTS_SQL + f""", m AS ({_METRICS_SELECT})
+SELECT model AS champion, f1_score FROM m ORDER BY f1_score DESC, {_ORDER_SQL} LIMIT 1""",
+)
+def q_champion(spark, sf_dir):
+    m = met.classification_metrics(scored_long(spark, sf_dir))
+    return met.champion(m, S.MODEL_KEYS)
+
+
+@register(
+    "model_rank",
+    O.SCORED + _COUNTS_SQL + f""", m AS ({_METRICS_SELECT})
+SELECT model, f1_score, roc_rank AS rank,
+  CASE roc_rank WHEN 1 THEN 'champion' WHEN 2 THEN 'challenger' ELSE 'other' END AS role
+FROM (SELECT model, f1_score, ROW_NUMBER() OVER (ORDER BY f1_score DESC, {_ORDER_SQL}) AS roc_rank FROM m) x""",
+)
+def q_model_rank(spark, sf_dir):
+    m = met.classification_metrics(scored_long(spark, sf_dir)).select("model", "f1_score")
+    return met.rank_models(m, S.MODEL_KEYS)
