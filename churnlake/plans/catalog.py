@@ -357,3 +357,284 @@ FROM (SELECT model, f1_score, ROW_NUMBER() OVER (ORDER BY f1_score DESC, {_ORDER
 def q_model_rank(spark, sf_dir):
     m = met.classification_metrics(scored_long(spark, sf_dir)).select("model", "f1_score")
     return met.rank_models(m, S.MODEL_KEYS)
+
+
+# --- 2.6 registry --------------------------------------------------------------
+from churnlake.operators import abtest as ab  # noqa: E402
+from churnlake.operators import explain as xpl  # noqa: E402
+from churnlake.operators import registry as reg  # noqa: E402
+from churnlake.operators import scoring as sco  # noqa: E402
+
+
+@register(
+    "latest_version",
+    O.MV + """SELECT name, version, run_id, stage FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY CAST(version AS BIGINT) DESC) AS rn FROM mv) x WHERE rn = 1""",
+)
+def q_latest_version(spark, sf_dir):
+    return reg.latest_versions(fx.model_versions(spark, sf_dir))
+
+
+@register(
+    "serving_version",
+    O.MV + """SELECT name, version, run_id, stage,
+  CASE WHEN stage = 'Production' THEN 'Production' ELSE 'latest' END AS resolved_by FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name
+    ORDER BY CASE WHEN stage = 'Production' THEN 1 ELSE 0 END DESC, CAST(version AS BIGINT) DESC) AS rn FROM mv) x
+WHERE rn = 1""",
+)
+def q_serving_version(spark, sf_dir):
+    return reg.serving_versions(fx.model_versions(spark, sf_dir))
+
+
+_CHAMPION_SQL = _COUNTS_SQL + f""", m AS ({_METRICS_SELECT}),
+champ AS (SELECT 'telco-churn-' || model AS name FROM m ORDER BY f1_score DESC, {_ORDER_SQL} LIMIT 1)
+"""
+
+
+def champion_names(spark, sf_dir) -> DataFrame:
+    """The champion of the scored metrics as a one-row (name) table."""
+    m = met.classification_metrics(scored_long(spark, sf_dir))
+    return met.champion(m, S.MODEL_KEYS).select(reg.registered_name("champion").alias("name"))
+
+
+@register(
+    "promote_model",
+    (O.with_ctes(O.CTE_RAW, O.CTE_SCORED, O.CTE_MODEL_VERSIONS).rstrip("\n") + _CHAMPION_SQL
+                 + """, tgt AS (
+  SELECT mv.name, max(CAST(mv.version AS BIGINT)) AS pv FROM mv JOIN champ ON mv.name = champ.name GROUP BY mv.name)
+SELECT mv.name, mv.version, mv.run_id,
+  CASE WHEN tgt.pv IS NOT NULL AND CAST(mv.version AS BIGINT) = tgt.pv THEN 'Production'
+       WHEN tgt.pv IS NOT NULL AND mv.stage = 'Production' THEN 'Archived'
+       ELSE mv.stage END AS stage
+FROM mv LEFT JOIN tgt ON mv.name = tgt.name"""),
+)
+def q_promote_model(spark, sf_dir):
+    return reg.promote_latest(fx.model_versions(spark, sf_dir), champion_names(spark, sf_dir))
+
+
+# --- 2.8 A/B routing and stats -------------------------------------------------
+@register(
+    "ab_route",
+    O.REQ + f"""SELECT customer_id,
+  CASE WHEN {unit_hash_sql('customer_id', 'ab')} < CAST(0.8 AS DOUBLE) THEN 'telco-churn-random_forest'
+       ELSE 'telco-churn-gradient_boosting' END AS model,
+  CASE WHEN {unit_hash_sql('customer_id', 'ab')} < CAST(0.8 AS DOUBLE) THEN 'A' ELSE 'B' END AS ab_group
+FROM requests""",
+)
+def q_ab_route(spark, sf_dir):
+    return ab.route(fx.requests(spark, sf_dir).select("customer_id"), ab.ABConfig())
+
+
+@register(
+    "ab_route_disabled",
+    O.REQ + "SELECT customer_id, 'telco-churn-random_forest' AS model, 'control' AS ab_group FROM requests",
+)
+def q_ab_route_disabled(spark, sf_dir):
+    return ab.route(fx.requests(spark, sf_dir).select("customer_id"), ab.ABConfig().disable())
+
+
+@register(
+    "ab_stats",
+    O.PLOG + """SELECT COUNT(*) AS total_requests,
+  COUNT_IF(model = 'telco-churn-random_forest') AS model_a_requests,
+  COUNT_IF(model = 'telco-churn-gradient_boosting') AS model_b_requests,
+  round(COALESCE(AVG(CASE WHEN model = 'telco-churn-random_forest' THEN latency_ms END), 0), 6) AS model_a_avg_latency_ms,
+  round(COALESCE(AVG(CASE WHEN model = 'telco-churn-gradient_boosting' THEN latency_ms END), 0), 6) AS model_b_avg_latency_ms,
+  'telco-churn-random_forest' AS model_a_name, 'telco-churn-gradient_boosting' AS model_b_name
+FROM plog WHERE endpoint = 'predict'""",
+)
+def q_ab_stats(spark, sf_dir):
+    s = ab.ab_stats(fx.prediction_log(spark, sf_dir), ab.ABConfig())
+    return _round_cols(s, {"model_a_avg_latency_ms", "model_b_avg_latency_ms"}, 6)
+
+
+@register(
+    "batch_summary",
+    O.PLOG + """SELECT COUNT(*) AS total_processed, round(COALESCE(AVG(latency_ms), 0), 6) AS avg_prediction_time_ms
+FROM plog WHERE endpoint = 'batch'""",
+)
+def q_batch_summary(spark, sf_dir):
+    return _round_cols(ab.batch_summary(fx.prediction_log(spark, sf_dir)), {"avg_prediction_time_ms"}, 6)
+
+
+@register(
+    "metric_lines",
+    O.PLOG + """, st AS (SELECT model, COUNT(*) AS n, round(AVG(latency_ms), 6) AS lat FROM plog
+  WHERE endpoint = 'predict' GROUP BY model)
+SELECT model, 'requests_total' AS metric, printf('prediction_requests_total{model="%s"} %d', model, n) AS line FROM st
+UNION ALL
+SELECT model, 'latency_avg_ms', printf('prediction_latency_avg_ms{model="%s"} %.2f', model, lat) FROM st""",
+)
+def q_metric_lines(spark, sf_dir):
+    st = ab.per_model_stats(fx.prediction_log(spark, sf_dir))
+    return ab.metric_lines(st.withColumn("avg_latency_ms", F.round("avg_latency_ms", 6)))
+
+
+_RANKED_SQL = _COUNTS_SQL + f""", m AS ({_METRICS_SELECT}),
+rk AS (SELECT 'telco-churn-' || model AS name, f1_score,
+  ROW_NUMBER() OVER (ORDER BY f1_score DESC, {_ORDER_SQL}) AS rank FROM m),
+w AS (
+  SELECT MAX(CASE WHEN rank = 1 THEN name END) AS champion, MAX(CASE WHEN rank = 1 THEN f1_score END) AS champion_f1,
+         MAX(CASE WHEN rank = 2 THEN name END) AS challenger, MAX(CASE WHEN rank = 2 THEN f1_score END) AS challenger_f1,
+         COUNT(*) AS n_models
+  FROM rk),
+abw AS (
+  SELECT champion, challenger, champion_f1, challenger_f1,
+    CASE WHEN n_models >= 2 THEN champion_f1 - challenger_f1 END AS f1_gap,
+    CASE WHEN n_models < 2 THEN NULL
+         WHEN champion_f1 - challenger_f1 > CAST(0.1 AS DOUBLE) THEN CAST(0.9 AS DOUBLE)
+         WHEN champion_f1 - challenger_f1 > CAST(0.05 AS DOUBLE) THEN CAST(0.8 AS DOUBLE)
+         ELSE CAST(0.6 AS DOUBLE) END AS champion_weight,
+    CASE WHEN n_models < 2 THEN NULL
+         WHEN champion_f1 - challenger_f1 > CAST(0.1 AS DOUBLE) THEN CAST(0.1 AS DOUBLE)
+         WHEN champion_f1 - challenger_f1 > CAST(0.05 AS DOUBLE) THEN CAST(0.2 AS DOUBLE)
+         ELSE CAST(0.4 AS DOUBLE) END AS challenger_weight,
+    CASE WHEN n_models = 0 THEN 'no_models' WHEN n_models < 2 THEN 'insufficient_models' ELSE 'updated' END AS status
+  FROM w),
+cfg AS (
+  SELECT champion AS model_a, challenger AS model_b,
+    CASE WHEN champion_weight + challenger_weight > 0 THEN champion_weight / (champion_weight + challenger_weight)
+         ELSE champion_weight END AS weight_a,
+    CASE WHEN champion_weight + challenger_weight > 0 THEN challenger_weight / (champion_weight + challenger_weight)
+         ELSE challenger_weight END AS weight_b,
+    status = 'updated' AS enabled
+  FROM abw)
+"""
+
+
+def ranked_models(spark, sf_dir) -> DataFrame:
+    m = met.classification_metrics(scored_long(spark, sf_dir)).select(
+        "model", reg.registered_name("model").alias("name"), "f1_score", "accuracy", "precision", "recall"
+    )
+    return met.rank_models(m, S.MODEL_KEYS)
+
+
+def derived_ab_weights(spark, sf_dir) -> DataFrame:
+    return ab.derive_ab_weights(ranked_models(spark, sf_dir))
+
+
+def derived_ab_config(spark, sf_dir) -> DataFrame:
+    w = derived_ab_weights(spark, sf_dir)
+    cfg = w.select(
+        F.col("champion").alias("model_a"), F.col("challenger").alias("model_b"),
+        F.col("champion_weight").alias("weight_a"), F.col("challenger_weight").alias("weight_b"),
+        (F.col("status") == "updated").alias("enabled"),
+    )
+    return ab.normalise_config(cfg)
+
+
+_SCORED_ALL = O.with_ctes(O.CTE_RAW, O.CTE_SCORED).rstrip("\n")
+
+
+@register("ab_weights", _SCORED_ALL + _RANKED_SQL + "SELECT * FROM abw")
+def q_ab_weights(spark, sf_dir):
+    return derived_ab_weights(spark, sf_dir)
+
+
+@register("ab_config", _SCORED_ALL + _RANKED_SQL + "SELECT * FROM cfg")
+def q_ab_config(spark, sf_dir):
+    return derived_ab_config(spark, sf_dir)
+
+
+@register(
+    "traffic_split",
+    _SCORED_ALL + _RANKED_SQL + "SELECT model_a AS model, weight_a AS weight FROM cfg UNION ALL SELECT model_b, weight_b FROM cfg",
+)
+def q_traffic_split(spark, sf_dir):
+    return ab.traffic_split(derived_ab_config(spark, sf_dir))
+
+
+@register(
+    "promotion_gate",
+    _SCORED_ALL + _COUNTS_SQL + f""", m AS ({_METRICS_SELECT})
+SELECT model, accuracy, CASE WHEN accuracy >= CAST(0.8 AS DOUBLE) THEN 'PROMOTE' ELSE 'REJECT' END AS decision FROM m""",
+)
+def q_promotion_gate(spark, sf_dir):
+    m = met.classification_metrics(scored_long(spark, sf_dir)).select("model", "accuracy")
+    return qual.promotion_gate(m)
+
+
+# --- 2.2 request-side scoring expressions ---------------------------------------
+def valid_requests(spark, sf_dir) -> DataFrame:
+    return qual.split_valid(fx.requests(spark, sf_dir))[0]
+
+
+@register("request_validation", O.REQ + "SELECT customer_id, reasons = '' AS is_valid, reasons FROM checked")
+def q_request_validation(spark, sf_dir):
+    v = qual.validate_requests(fx.requests(spark, sf_dir))
+    return v.select("customer_id", "is_valid", F.array_join("reasons", ";").alias("reasons"))
+
+
+@register("request_features", O.REQ + "SELECT * FROM rfeat")
+def q_request_features(spark, sf_dir):
+    return sco.request_features(valid_requests(spark, sf_dir))
+
+
+@register("request_risk_score", O.REQ + "SELECT customer_id, risk_score, total_services FROM rfeat")
+def q_request_risk_score(spark, sf_dir):
+    return sco.request_features(valid_requests(spark, sf_dir)).select("customer_id", "risk_score", "total_services")
+
+
+@register(
+    "risk_level_counts",
+    O.SCORED + """SELECT model, CASE WHEN probability >= CAST(0.7 AS DOUBLE) THEN 'HIGH'
+  WHEN probability >= CAST(0.4 AS DOUBLE) THEN 'MEDIUM' ELSE 'LOW' END AS risk_level, COUNT(*) AS count
+FROM scored GROUP BY ALL""",
+)
+def q_risk_level_counts(spark, sf_dir):
+    s = fx.scored(spark, sf_dir)
+    return s.groupBy("model", sco.risk_level("probability").alias("risk_level")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register(
+    "prediction_display",
+    O.SCORED + """SELECT customerID, model, probability, probability >= CAST(0.5 AS DOUBLE) AS churn_prediction,
+  CASE WHEN probability >= CAST(0.7 AS DOUBLE) THEN 'HIGH' WHEN probability >= CAST(0.4 AS DOUBLE) THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+  printf('%.1f%%', probability * 100) AS probability_text,
+  CASE WHEN probability >= CAST(0.5 AS DOUBLE) THEN 'WILL CHURN' ELSE 'WILL STAY' END AS decision_text
+FROM scored""",
+)
+def q_prediction_display(spark, sf_dir):
+    return sco.present(fx.scored(spark, sf_dir).drop("label"))
+
+
+_UNIFORM_TOP = "\nUNION ALL ".join(
+    f"SELECT customer_id, {i + 1} AS rank, '{n}' AS feature, CAST({n} AS DOUBLE) AS value, "
+    f"CAST(1 AS DOUBLE) / 24 AS importance, "
+    f"CASE WHEN CAST({n} AS DOUBLE) > CAST(0.5 AS DOUBLE) THEN 'increases' ELSE 'decreases' END AS contribution FROM rfeat"
+    for i, n in enumerate(S.ALL_FEATURES[:5])
+)
+
+
+@register("top_risk_factors", O.REQ + _UNIFORM_TOP)
+def q_top_risk_factors(spark, sf_dir):
+    """W6 for a model without importances (uniform branch of M9)."""
+    f = sco.request_features(valid_requests(spark, sf_dir))
+    return xpl.factors_long(xpl.with_top_factors(f, xpl.uniform_importances()), ["customer_id"])
+
+
+@register(
+    "model_lookup",
+    O.with_ctes(O.CTE_RAW, O.CTE_REQUESTS, O.CTE_MODEL_VERSIONS) + f"""
+, sv AS (SELECT name, version, run_id, stage FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name
+    ORDER BY CASE WHEN stage = 'Production' THEN 1 ELSE 0 END DESC, CAST(version AS BIGINT) DESC) AS rn FROM mv) x
+  WHERE rn = 1),
+rt AS (SELECT customer_id,
+  CASE WHEN {unit_hash_sql('customer_id', 'ab')} < CAST(0.8 AS DOUBLE) THEN 'telco-churn-random_forest'
+       ELSE 'telco-churn-gradient_boosting' END AS model,
+  CASE WHEN {unit_hash_sql('customer_id', 'ab')} < CAST(0.8 AS DOUBLE) THEN 'A' ELSE 'B' END AS ab_group
+  FROM requests)
+SELECT rt.customer_id, rt.model, rt.ab_group,
+  CASE WHEN k.name IS NULL THEN 'telco-churn-random_forest' ELSE rt.model END AS model_name,
+  COALESCE(d.version, 'unknown') AS model_version, COALESCE(d.stage, 'None') AS model_stage,
+  COALESCE(d.run_id, 'unknown') AS model_run_id
+FROM rt LEFT JOIN sv k ON rt.model = k.name
+LEFT JOIN sv d ON d.name = CASE WHEN k.name IS NULL THEN 'telco-churn-random_forest' ELSE rt.model END""".replace(
+        "\n, sv AS", ", sv AS", 1),
+)
+def q_model_lookup(spark, sf_dir):
+    routed = ab.route(fx.requests(spark, sf_dir).select("customer_id"), ab.ABConfig())
+    info = reg.serving_versions(fx.model_versions(spark, sf_dir))
+    return xpl.lookup_model_info(routed, info, default_name=S.DEFAULT_AB_MODEL_A)

@@ -127,3 +127,92 @@ def with_ctes(*ctes: str) -> str:
 RAW = with_ctes(CTE_RAW)
 FEAT = with_ctes(CTE_RAW, CTE_FEATURES)
 SCORED = with_ctes(CTE_RAW, CTE_SCORED)
+
+CTE_REQUESTS = """
+requests AS (
+  SELECT customerID AS customer_id,
+    CAST(tenure AS DOUBLE) AS tenure_months,
+    CASE WHEN c_custkey % 23 = 0 THEN -MonthlyCharges ELSE MonthlyCharges END AS monthly_charges,
+    TRY_CAST(TotalCharges AS DOUBLE) AS total_charges,
+    Contract AS contract_type, PaymentMethod AS payment_method, InternetService AS internet_service,
+    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE PhoneService = 'Yes' END AS has_phone,
+    Partner = 'Yes' AS has_partner, Dependents = 'Yes' AS has_dependents, SeniorCitizen = 1 AS is_senior,
+    COALESCE(OnlineSecurity = 'Yes', false) AS has_online_security,
+    TechSupport = 'Yes' AS has_tech_support,
+    (StreamingTV = 'Yes' OR StreamingMovies = 'Yes') AS has_streaming,
+    PaperlessBilling = 'Yes' AS paperless_billing
+  FROM rawk
+),
+checked AS (
+  SELECT *, concat_ws(';',
+    CASE WHEN customer_id IS NULL THEN 'missing:customer_id' END,
+    CASE WHEN tenure_months IS NULL THEN 'missing:tenure_months' END,
+    CASE WHEN monthly_charges IS NULL THEN 'missing:monthly_charges' END,
+    CASE WHEN total_charges IS NULL THEN 'missing:total_charges' END,
+    CASE WHEN contract_type IS NULL THEN 'missing:contract_type' END,
+    CASE WHEN payment_method IS NULL THEN 'missing:payment_method' END,
+    CASE WHEN internet_service IS NULL THEN 'missing:internet_service' END,
+    CASE WHEN tenure_months < 0 THEN 'negative:tenure_months' END,
+    CASE WHEN monthly_charges < 0 THEN 'negative:monthly_charges' END,
+    CASE WHEN total_charges < 0 THEN 'negative:total_charges' END) AS reasons
+  FROM requests
+),
+valid AS (
+  SELECT * EXCLUDE (has_phone, reasons), COALESCE(has_phone, true) AS has_phone FROM checked WHERE reasons = ''
+),
+rfeat AS (
+  SELECT customer_id,
+    tenure_months, tenure_months / 12 AS tenure_years, monthly_charges, total_charges,
+    total_charges / (tenure_months + 1) AS avg_monthly_charge,
+    monthly_charges / (tenure_months + 1) AS charge_per_tenure,
+    CAST(has_phone AS INT) + CAST(has_online_security AS INT) + CAST(has_tech_support AS INT)
+      + CAST(has_streaming AS INT) + CAST(internet_service <> 'No' AS INT) AS total_services,
+    (CASE WHEN contract_type = 'Month-to-month' THEN 3 ELSE 0 END)
+      + (CASE WHEN lower(payment_method) LIKE '%electronic%' THEN 2 ELSE 0 END)
+      + (CASE WHEN tenure_months <= 6 THEN 2 WHEN tenure_months >= 24 THEN -2 ELSE 0 END)
+      + (CASE WHEN NOT has_tech_support THEN 1 ELSE 0 END)
+      + (CASE WHEN internet_service = 'Fiber optic' THEN 1 ELSE 0 END) AS risk_score,
+    CAST(tenure_months <= 6 AS INT) AS is_new_customer,
+    CAST(tenure_months >= 24 AS INT) AS is_loyal_customer,
+    CAST(contract_type = 'Month-to-month' AS INT) AS contract_month_to_month,
+    CAST(contract_type = 'One year' AS INT) AS contract_one_year,
+    CAST(contract_type = 'Two year' AS INT) AS contract_two_year,
+    CAST(lower(payment_method) LIKE '%electronic%' AS INT) AS payment_electronic,
+    CAST(lower(payment_method) LIKE '%automatic%' AS INT) AS payment_auto,
+    CAST(internet_service <> 'No' AS INT) AS has_internet,
+    CAST(internet_service = 'Fiber optic' AS INT) AS has_fiber,
+    CAST(is_senior AS INT) AS is_senior,
+    CAST(has_partner AS INT) AS has_partner,
+    CAST(has_dependents AS INT) AS has_dependents,
+    CAST(paperless_billing AS INT) AS paperless_billing,
+    CAST(has_online_security AS INT) AS has_security,
+    CAST(has_tech_support AS INT) AS has_support,
+    CAST(has_streaming AS INT) AS has_streaming
+  FROM valid
+)"""
+
+CTE_PREDICTION_LOG = """
+plog AS (
+  SELECT event_id AS request_id, ts, CAST(user_id AS VARCHAR(20)) AS customer_id, value AS latency_ms,
+    CASE WHEN event_type = 'view' THEN 'batch' ELSE 'predict' END AS endpoint,
+    CASE WHEN """ + unit_hash_sql("CAST(user_id AS VARCHAR(20))", "ab") + """ < CAST(0.8 AS DOUBLE)
+         THEN 'telco-churn-random_forest' ELSE 'telco-churn-gradient_boosting' END AS model,
+    CASE WHEN """ + unit_hash_sql("CAST(user_id AS VARCHAR(20))", "ab") + """ < CAST(0.8 AS DOUBLE)
+         THEN 'A' ELSE 'B' END AS ab_group
+  FROM events
+)"""
+
+CTE_MODEL_VERSIONS = """
+mv AS (
+  SELECT CASE user_id % 3 WHEN 0 THEN 'telco-churn-logistic_regression'
+                          WHEN 1 THEN 'telco-churn-random_forest'
+                          ELSE 'telco-churn-gradient_boosting' END AS name,
+    CAST(event_id AS VARCHAR(20)) AS version,
+    concat('run-', CAST(event_id AS VARCHAR(20))) AS run_id,
+    CASE WHEN event_id % 97 = 0 THEN 'Production' WHEN event_id % 7 = 0 THEN 'Archived' ELSE 'None' END AS stage
+  FROM events
+)"""
+
+REQ = with_ctes(CTE_RAW, CTE_REQUESTS)
+PLOG = with_ctes(CTE_PREDICTION_LOG)
+MV = with_ctes(CTE_MODEL_VERSIONS)
