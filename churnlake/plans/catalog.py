@@ -638,3 +638,134 @@ def q_model_lookup(spark, sf_dir):
     routed = ab.route(fx.requests(spark, sf_dir).select("customer_id"), ab.ABConfig())
     info = reg.serving_versions(fx.model_versions(spark, sf_dir))
     return xpl.lookup_model_info(routed, info, default_name=S.DEFAULT_AB_MODEL_A)
+
+
+# --- 2.4 J3: evaluation report ---------------------------------------------------
+@register(
+    "evaluation_report",
+    O.with_ctes(O.CTE_RAW, O.CTE_SCORED, O.CTE_MODEL_VERSIONS).rstrip("\n") + _RANKED_SQL + """,
+prod AS (SELECT name, version, run_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY CAST(version AS BIGINT) DESC) AS rn
+  FROM mv WHERE stage = 'Production') x WHERE rn = 1),
+au AS (SELECT model, roc_auc FROM (
+  SELECT model, CASE WHEN p = 0 OR n = 0 THEN NULL ELSE CAST(r2 - p * (p + 1) AS DOUBLE) / CAST(2 * p * n AS DOUBLE) END AS roc_auc
+  FROM (SELECT model, SUM(CASE WHEN label = 1 THEN 2 * rk + tie - 1 ELSE 0 END) AS r2,
+               COUNT_IF(label = 1) AS p, COUNT_IF(label <> 1) AS n
+        FROM (SELECT model, label, RANK() OVER (PARTITION BY model ORDER BY probability) AS rk,
+                     COUNT(*) OVER (PARTITION BY model, probability) AS tie FROM scored) r GROUP BY model) a) b)
+SELECT prod.name, prod.version, prod.run_id, m.f1_score, au.roc_auc,
+  CASE WHEN prod.name = abw.champion THEN 'champion' WHEN prod.name = abw.challenger THEN 'challenger' END AS role,
+  CASE WHEN prod.name = abw.champion THEN abw.champion_weight WHEN prod.name = abw.challenger THEN abw.challenger_weight END AS weight,
+  COUNT(*) OVER () AS total_models,
+  (SELECT name FROM rk WHERE rank = 1) AS best_model
+FROM prod
+LEFT JOIN m ON prod.name = 'telco-churn-' || m.model
+LEFT JOIN au ON prod.name = 'telco-churn-' || au.model
+CROSS JOIN abw""",
+)
+def q_evaluation_report(spark, sf_dir):
+    from churnlake.plans import reports
+
+    return reports.evaluation_report(
+        reg.production_versions(fx.model_versions(spark, sf_dir)),
+        met.classification_metrics(scored_long(spark, sf_dir)).select(
+            reg.registered_name("model").alias("name"), "f1_score"),
+        auc_ops.roc_auc(scored_long(spark, sf_dir)).select(reg.registered_name("model").alias("name"), "roc_auc"),
+        ranked_models(spark, sf_dir),
+    )
+
+
+# --- 2.1 S9: object listing (rows-only: file sizes are not SQL-visible) ----------
+@register("object_listing")
+def q_object_listing(spark, sf_dir):
+    from churnlake.sources import files
+
+    return files.list_objects(spark, sf_dir, "*.parquet")
+
+
+# --- 2.8 T1: streaming counters, checked against the batch SQL -------------------
+@register(
+    "stream_ab_stats",
+    O.PLOG + """SELECT model, COUNT(*) AS requests, round(AVG(latency_ms), 6) AS avg_latency_ms
+FROM plog WHERE endpoint = 'predict' GROUP BY model""",
+)
+def q_stream_ab_stats(spark, sf_dir):
+    from churnlake.session import scratch_path
+    from churnlake.streaming import ab_stats as sab
+
+    out, cp = scratch_path(spark, "ab_counters"), scratch_path(spark, "ab_counters_cp")
+    q = sab.start_counters(spark, sf_dir, out, cp, available_now=True)
+    q.awaitTermination()
+    return _round_cols(spark.read.parquet(out), {"avg_latency_ms"}, 6)
+
+
+# --- 2.7 Spark ML (rows-only: fitted models are not SQL-expressible) -------------
+from churnlake.plans import trained  # noqa: E402
+
+
+def _train_query(key):
+    def q(spark, sf_dir):
+        run = trained.models_for(spark, sf_dir, [key])
+        data = trained.prepared(spark, sf_dir)
+        from churnlake.plans import models as mdl
+
+        return mdl.evaluate(mdl.long_predictions({key: run[key]}, data.test))
+
+    return q
+
+
+register("train_lr")(_train_query("logistic_regression"))
+register("train_rf")(_train_query("random_forest"))
+register("train_gbt")(_train_query("gradient_boosting"))
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    from churnlake.plans import models as mdl
+
+    data = trained.prepared(spark, sf_dir)
+    rows = []
+    for key in ["logistic_regression"]:
+        mean, std = mdl.cross_validate(key, data)
+        rows.append((key, mean, std))
+    return spark.createDataFrame(rows, "model string, cv_f1_mean double, cv_f1_std double")
+
+
+@register("model_importance")
+def q_model_importance(spark, sf_dir):
+    from churnlake.plans import models as mdl
+
+    m = trained.models_for(spark, sf_dir, ["random_forest"])["random_forest"]
+    t = xpl.importance_table(spark, "random_forest", mdl.importances(m))
+    return xpl.sorted_importance(t)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    from churnlake.plans import serving
+
+    models = trained.registry_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
+    info = reg.serving_versions(fx.model_versions(spark, sf_dir))
+    return serving.score_requests(fx.requests(spark, sf_dir), models, ab.ABConfig(), info)
+
+
+@register("score_explain")
+def q_score_explain(spark, sf_dir):
+    from churnlake.plans import serving
+
+    m = trained.models_for(spark, sf_dir, ["random_forest"])["random_forest"]
+    ex = serving.explain_requests(fx.requests(spark, sf_dir), S.DEFAULT_AB_MODEL_A, m)
+    return xpl.factors_long(ex.select("customer_id", "probability", "risk_level", "top_risk_factors"),
+                            ["customer_id", "probability", "risk_level"])
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    from churnlake.session import scratch_path
+    from churnlake.streaming import scoring as sscore
+
+    models = trained.registry_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
+    out, cp = scratch_path(spark, "stream_score"), scratch_path(spark, "stream_score_cp")
+    q = sscore.start_scoring(spark, sf_dir, models, ab.ABConfig(), out, cp, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)
