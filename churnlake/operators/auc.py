@@ -7,10 +7,11 @@ computed in two levels so that no task holds a whole model:
 1. collapse ties: one row per (group, score) with its positive and negative
    counts (partial aggregation map-side, so a score value shared by a third
    of all rows collapses to one row per mapper first);
-2. cut the score axis into buckets at approximate quantiles of the distinct
-   scores, so every (group, bucket) holds about the same number of rows even
-   when scores crowd into a narrow range; the split points are a bounded
-   list (``n_buckets`` numbers);
+2. cut the score axis into buckets at approximate quantiles of the scores
+   (a mergeable sketch over the input rows: one narrow scan, no shuffle), so
+   every (group, bucket) holds about 1/n_buckets of the rows, and so at most
+   that many distinct scores, even when scores crowd into a narrow range;
+   the split points are a bounded list (``n_buckets`` numbers);
 3. per-bucket negative totals (at most n_buckets rows per group), prefix
    summed across buckets: a tiny window;
 4. the within-bucket prefix: a window partitioned by (group, bucket), each
@@ -30,9 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucket_splits(distinct_scores: DataFrame, score: str, n_buckets: int) -> list[float]:
+def _bucket_splits(scores: DataFrame, score: str, n_buckets: int) -> list[float]:
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = distinct_scores.stat.approxQuantile(score, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
+    qs = scores.stat.approxQuantile(score, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
     inner = sorted({q for q in qs if q is not None and q == q})
     return [float("-inf"), *inner, float("inf")]
 
@@ -42,10 +43,9 @@ def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "la
     """Per group: auc (null when one class is absent), positives, negatives, status."""
     group = list(group)
     y = F.col(label)
-    ties = long.filter(F.col(score).isNotNull() & y.isNotNull()).groupBy(*group, score).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")
-    )
-    splits = _bucket_splits(ties.select(score), score, n_buckets)
+    rows = long.filter(F.col(score).isNotNull() & y.isNotNull())
+    splits = _bucket_splits(rows.select(score), score, n_buckets)
+    ties = rows.groupBy(*group, score).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
     bucketed = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(
         ties.withColumn(score, F.col(score).cast("double"))
     )

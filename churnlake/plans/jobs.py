@@ -185,7 +185,7 @@ def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
         except Exception:  # noqa: BLE001 - a model that cannot load is skipped (M12)
             continue
     feats = files.read_latest(spark, _p(base, "features"))
-    test = mdl.prepare(feats).test
+    test = mdl.prepare(feats, materialize=False).test
     comparison, failed = mdl.compare_production(models, test)
     named = comparison.withColumn("name", reg.registered_name("model"))
     ranked = met.rank_models(named, list(models))

@@ -82,10 +82,29 @@ class PreparedData:
     weights: DataFrame
 
 
-def prepare(features: DataFrame) -> PreparedData:
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Cuts the lineage before iterative fits (each L-BFGS step, tree level,
+    boosting round and CV fold re-reads a compact columnar table instead of
+    re-running the feature plan), and a lost executor recomputes from the
+    table, not from the raw inputs.
+    """
+    from churnlake.session import scratch_path
+
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
     """P4 + M1 + A10 + A9 + J4: split, fit the scaler, attach class weights."""
-    f = fill_missing(features)
-    train, test = spl.train_test(f)
+    f = fill_missing(features).select(S.ID, *S.ALL_FEATURES, S.TARGET).withColumn("split", spl.split_column())
+    if materialize:
+        f = materialise(f, "prepared")
+    train = f.filter(F.col("split") == "train").drop("split")
+    test = f.filter(F.col("split") == "test").drop("split")
     scaler = scl.FittedScaler.fit(train)
     weights = scl.class_weights(train)
     train_w = scl.with_class_weight(train, weights, out="class_weight")
