@@ -769,3 +769,24 @@ def q_stream_score(spark, sf_dir):
     q = sscore.start_scoring(spark, sf_dir, models, ab.ABConfig(), out, cp, available_now=True)
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# --- A13 + P22: loaded models with display names and equal traffic shares -------
+@register(
+    "model_traffic",
+    O.MV + """, sv AS (SELECT name, version, stage FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name
+    ORDER BY CASE WHEN stage = 'Production' THEN 1 ELSE 0 END DESC, CAST(version AS BIGINT) DESC) AS rn FROM mv) x
+  WHERE rn = 1)
+SELECT name AS model_name,
+  CASE WHEN starts_with(name, 'telco-churn-') THEN substr(name, 13) ELSE name END AS display_name,
+  version AS model_version, stage,
+  CAST(100 AS DOUBLE) / COUNT(*) OVER () AS traffic_percentage, true AS is_active
+FROM sv""",
+)
+def q_model_traffic(spark, sf_dir):
+    sv = reg.serving_versions(fx.model_versions(spark, sf_dir)).select(
+        F.col("name").alias("model_name"), reg.display_name("name").alias("display_name"),
+        F.col("version").alias("model_version"), "stage",
+    )
+    return ab.model_traffic(sv)

@@ -26,6 +26,12 @@ def snapshot_key(run_ts: _dt.datetime) -> str:
     return run_ts.strftime(SNAPSHOT_FORMAT)
 
 
+def snapshot_key_col(ts: str = "ts"):
+    """P23 as a column: the same key for each row's timestamp, and its ISO form."""
+    c = F.col(ts)
+    return F.date_format(c, "yyyyMMdd_HHmmss"), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 # --- S1 / S2 -----------------------------------------------------------------
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
     """Header CSV with an explicit schema.
