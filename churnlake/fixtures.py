@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake import schemas as S
-from churnlake.functions import unit_hash
+from churnlake.functions import ntz_lit, unit_hash
 
 CHURN_CUTOFF = _dt.datetime(2000, 7, 1)
 SPLIT_SALT = "split42"
@@ -73,7 +73,7 @@ def raw_columns(b: DataFrame) -> list[Column]:
     t = F.col("t")
     phone_absent = (k * 11) % 10 >= 9
     churn = (
-        ((F.col("last_order").isNull() | (F.col("last_order") < F.lit(CHURN_CUTOFF).cast("timestamp_ntz"))) & (k % 3 != 2))
+        ((F.col("last_order").isNull() | (F.col("last_order") < ntz_lit(CHURN_CUTOFF))) & (k % 3 != 2))
         | ((k % 3 == 0) & (t <= 12))
     )
     return [

@@ -54,3 +54,8 @@ def flag_any_eq(cols: Iterable[Column | str], value) -> Column:
 def flag_icontains(c: Column | str, needle: str) -> Column:
     """Integer flag: case-insensitive substring; null -> 0 (stated deviation)."""
     return F.coalesce(F.lower(_c(c)).contains(needle.lower()), F.lit(False)).cast("int")
+
+
+def ntz_lit(ts) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime, independent of any time zone."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlake import schemas as S
-from churnlake.functions import flag_any_eq, flag_cmp, flag_eq, flag_icontains, flag_in, flag_ne
+from churnlake.functions import flag_any_eq, flag_cmp, flag_eq, flag_icontains, flag_in, flag_ne, ntz_lit
 
 
 def clean_total_charges(raw: DataFrame) -> Column:
@@ -107,7 +107,7 @@ def select_features(engineered: DataFrame, run_ts: _dt.datetime) -> DataFrame:
 
     ``run_ts`` is passed in, so re-running a snapshot gives identical rows.
     """
-    ts = F.lit(run_ts).cast("timestamp_ntz").alias("feature_timestamp")
+    ts = ntz_lit(run_ts).alias("feature_timestamp")
     return engineered.select(S.ID, *S.ALL_FEATURES, S.TARGET, ts)
 
 

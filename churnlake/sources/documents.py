@@ -11,6 +11,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.functions import ntz_lit
 from churnlake.sources.files import write_json_record
 
 
@@ -35,7 +36,7 @@ def training_summary(results: DataFrame, order: list[str], run_ts: _dt.datetime,
         F.max_by(F.col("model"), key).alias("champion_model"),
         F.map_from_entries(F.collect_list(entry)).alias("results"),
     ).select(
-        F.lit(run_ts).cast("timestamp_ntz").alias("timestamp"), F.lit(experiment).alias("experiment"),
+        ntz_lit(run_ts).alias("timestamp"), F.lit(experiment).alias("experiment"),
         "champion_model", "results",
     )
 
@@ -57,7 +58,7 @@ def ab_config_document(weights: DataFrame, metrics: DataFrame, run_ts: _dt.datet
         F.struct(F.col("challenger").alias("name"), F.col("challenger_weight").alias("weight"),
                  F.col("challenger_metrics").alias("metrics")).alias("challenger"),
         F.col("status"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("updated_at"),
+        ntz_lit(run_ts).alias("updated_at"),
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake import schemas as S
+from churnlake.functions import ntz_lit
 
 SNAPSHOT_FORMAT = "%Y%m%d_%H%M%S"
 
@@ -126,7 +127,7 @@ def feature_schema_record(features: DataFrame, run_ts: _dt.datetime) -> DataFram
         F.avg(F.col(S.TARGET).cast("double")).alias("churn_rate"),
     ).select(
         cols.alias("feature_columns"), "total_records",
-        F.lit(run_ts).cast("timestamp_ntz").alias("created_at"), "churn_rate",
+        ntz_lit(run_ts).alias("created_at"), "churn_rate",
     )
 
 
