@@ -725,8 +725,8 @@ def q_cross_validate(spark, sf_dir):
 
     data = trained.prepared(spark, sf_dir)
     rows = []
-    for key in ["logistic_regression"]:
-        mean, std = mdl.cross_validate(key, data)
+    for key in S.MODEL_KEYS:
+        mean, std = mdl.cross_validate(key, data, parallelism=5)
         rows.append((key, mean, std))
     return spark.createDataFrame(rows, "model string, cv_f1_mean double, cv_f1_std double")
 

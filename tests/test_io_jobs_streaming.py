@@ -83,3 +83,22 @@ def test_full_run(spark, tmp_dir):
     reg_tbl = files.read_latest(spark, os.path.join(base, "registry"))
     assert reg_tbl.filter(F.col("stage") == "Production").count() == 1
     assert spark.read.json(os.path.join(base, "status")).count() == 2
+
+
+def test_stream_scoring_equals_batch(spark):
+    from churnlake.plans import serving, trained
+
+    models = trained.registry_models(spark, SF_SMALL, ["logistic_regression", "random_forest"])
+    cfg = ab.ABConfig(model_a=S.MODEL_PREFIX + "logistic_regression", model_b=S.MODEL_PREFIX + "random_forest")
+    from churnlake.session import scratch_path
+    from churnlake.streaming import scoring as sscore
+
+    out, cp = scratch_path(spark, "t_stream"), scratch_path(spark, "t_stream_cp")
+    sscore.start_scoring(spark, SF_SMALL, models, cfg, out, cp).awaitTermination()
+    streamed = spark.read.parquet(out).drop("batch_id")
+    batch = serving.score_requests(fx.requests(spark, SF_SMALL), models, cfg)
+    key = ["customer_id", "model", "ab_group", "risk_level", "churn_prediction"]
+    assert sorted(streamed.select(*key).collect()) == sorted(batch.select(*key).collect())
+    a = {r.customer_id: r.churn_probability for r in streamed.collect()}
+    b = {r.customer_id: r.churn_probability for r in batch.collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
