@@ -77,20 +77,23 @@ def factors_long(df: DataFrame, keys: Sequence[str], col: str = "top_risk_factor
     )
 
 
-def lookup_model_info(rows: DataFrame, info: DataFrame, default_name: str, name_col: str = "model") -> DataFrame:
-    """Attach version/stage/run of each row's model; unknown models fall
-    back to ``default_name`` (the first loaded model).
-
-    ``info`` has one row per loaded model name; the join is left to the
-    planner (AQE broadcasts it at runtime when its measured size is small).
+def lookup_model_info(rows: DataFrame, info: DataFrame, default_name: str, loaded: Sequence[str],
+                      name_col: str = "model") -> DataFrame:
+    """Attach version/stage/run of each row's model; a model that is not
+    among ``loaded`` falls back to ``default_name`` (the first loaded model).
+
+    The fallback is a literal membership test, so one left join on the
+    resolved name suffices; ``info`` has one row per model name and the
+    planner broadcasts it at runtime (AQE) when its measured size is small.
     """
+    resolved = rows.withColumn(
+        "model_name", F.when(F.col(name_col).isin(list(loaded)), F.col(name_col)).otherwise(F.lit(default_name))
+    )
     inf = info.select(F.col("name").alias("_n"), F.col("version").alias("_v"), F.col("stage").alias("_s"),
                       F.col("run_id").alias("_r"))
-    known = rows.join(inf.select(F.col("_n").alias("_k")), rows[name_col] == F.col("_k"), "left")
-    resolved = known.withColumn("model_name", F.when(F.col("_k").isNull(), F.lit(default_name)).otherwise(F.col(name_col))).drop("_k")
     joined = resolved.join(inf, resolved["model_name"] == inf["_n"], "left")
     return joined.select(
-        *[c for c in resolved.columns],
+        *resolved.columns,
         F.coalesce(F.col("_v"), F.lit("unknown")).alias("model_version"),
         F.coalesce(F.col("_s"), F.lit("None")).alias("model_stage"),
         F.coalesce(F.col("_r"), F.lit("unknown")).alias("model_run_id"),

@@ -626,18 +626,22 @@ rt AS (SELECT customer_id,
        ELSE 'telco-churn-gradient_boosting' END AS model,
   CASE WHEN {unit_hash_sql('customer_id', 'ab')} < CAST(0.8 AS DOUBLE) THEN 'A' ELSE 'B' END AS ab_group
   FROM requests)
-SELECT rt.customer_id, rt.model, rt.ab_group,
-  CASE WHEN k.name IS NULL THEN 'telco-churn-random_forest' ELSE rt.model END AS model_name,
+SELECT rt.customer_id, rt.model, rt.ab_group, r.model_name,
   COALESCE(d.version, 'unknown') AS model_version, COALESCE(d.stage, 'None') AS model_stage,
   COALESCE(d.run_id, 'unknown') AS model_run_id
-FROM rt LEFT JOIN sv k ON rt.model = k.name
-LEFT JOIN sv d ON d.name = CASE WHEN k.name IS NULL THEN 'telco-churn-random_forest' ELSE rt.model END""".replace(
+FROM rt
+JOIN (SELECT customer_id, CASE WHEN model IN ('telco-churn-random_forest', 'telco-churn-gradient_boosting',
+        'telco-churn-logistic_regression') THEN model ELSE 'telco-churn-random_forest' END AS model_name FROM rt) r
+  USING (customer_id)
+LEFT JOIN sv d ON d.name = r.model_name""".replace(
         "\n, sv AS", ", sv AS", 1),
 )
 def q_model_lookup(spark, sf_dir):
     routed = ab.route(fx.requests(spark, sf_dir).select("customer_id"), ab.ABConfig())
     info = reg.serving_versions(fx.model_versions(spark, sf_dir))
-    return xpl.lookup_model_info(routed, info, default_name=S.DEFAULT_AB_MODEL_A)
+    # The serving process loads the registered names, random forest first.
+    loaded = [S.MODEL_PREFIX + k for k in ("random_forest", "gradient_boosting", "logistic_regression")]
+    return xpl.lookup_model_info(routed, info, default_name=loaded[0], loaded=loaded)
 
 
 # --- 2.4 J3: evaluation report ---------------------------------------------------

@@ -20,18 +20,27 @@ from churnlake.operators import scoring as sco
 from churnlake.plans import models as mdl
 
 
-def _branches(routed: DataFrame, models: dict[str, PipelineModel], names: list[str], keep: list[str],
-              default: str) -> DataFrame:
-    parts = []
-    for name in names:
+def _score_routed(routed: DataFrame, models: dict[str, PipelineModel], names: list[str], keep: list[str],
+                  default: str) -> DataFrame:
+    """Probability of each row under the model it was routed to.
+
+    The routed rows pass once through every routed pipeline (a narrow chain
+    of projections), and each row keeps the probability of its own model.
+    Branching per model and stacking with a union would run the whole
+    upstream plan (scans and the order-facts shuffle) once per branch.
+    """
+    cur = routed
+    probs = []
+    for i, name in enumerate(names):
         model = models.get(name) or models[default]
-        rows = routed.filter(F.col("model") == name)
-        scored = model.transform(rows).select(*keep, "model", "ab_group", mdl.p1().alias("probability"))
-        parts.append(scored)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        col = f"_p{i}"
+        cur = model.transform(cur).select(*cur.columns, mdl.p1().alias(col))
+        probs.append((name, col))
+    chosen = None
+    for name, col in probs:
+        chosen = F.when(F.col("model") == name, F.col(col)) if chosen is None else chosen.when(
+            F.col("model") == name, F.col(col))
+    return cur.select(*keep, "model", "ab_group", chosen.alias("probability"))
 
 
 def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: ab.ABConfig,
@@ -47,7 +56,7 @@ def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: a
     routed = ab.route(feats, cfg)
     default = next(iter(models))
     names = [cfg.model_a] if not cfg.enabled else [cfg.model_a, cfg.model_b]
-    scored = _branches(routed, models, list(dict.fromkeys(names)), ["customer_id"], default)
+    scored = _score_routed(routed, models, list(dict.fromkeys(names)), ["customer_id"], default)
     out = scored.select(
         "customer_id",
         F.col("probability").alias("churn_probability"),
@@ -56,7 +65,7 @@ def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: a
         "model", "ab_group",
     )
     if model_info is not None:
-        out = xpl.lookup_model_info(out, model_info, default_name=default)
+        out = xpl.lookup_model_info(out, model_info, default_name=default, loaded=list(models))
     return out
 
 

@@ -116,3 +116,14 @@ def test_class_weights_and_scaler(spark):
     assert s.means["x"] == 4.0 and abs(s.scales["x"] - 5 ** 0.5) < 1e-12   # population std
     const = scl.FittedScaler.fit(spark.createDataFrame([(2.0,), (2.0,)], "x double"), ["x"])
     assert const.scales["x"] == 1.0
+
+
+def test_model_lookup_falls_back_to_first_loaded(spark):
+    from churnlake.operators import explain as xpl
+
+    rows = spark.createDataFrame([("c1", "m_b"), ("c2", "m_x")], "customer_id string, model string")
+    info = spark.createDataFrame([("m_a", "3", "r3", "Production"), ("m_b", "7", "r7", "None")],
+                                 S.MODEL_VERSION_SCHEMA)
+    out = {r.customer_id: (r.model_name, r.model_version) for r in
+           xpl.lookup_model_info(rows, info, default_name="m_a", loaded=["m_a", "m_b"]).collect()}
+    assert out == {"c1": ("m_b", "7"), "c2": ("m_a", "3")}
