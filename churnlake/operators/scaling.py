@@ -50,15 +50,25 @@ def scaler_stats(df: DataFrame, columns: Sequence[str] = S.NUMERIC_FEATURES) ->
 class FittedScaler:
     """Means and scales of the numeric features, fitted on the training part."""
 
-    def __init__(self, means: dict[str, float], scales: dict[str, float]):
+    def __init__(self, means: dict[str, float], scales: dict[str, float], n: int = 0):
         self.means = means
         self.scales = scales
+        self.n = n
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str] = S.NUMERIC_FEATURES) -> FittedScaler:
-        # One aggregate; the result is 3 numbers per column (bounded).
-        rows = scaler_stats(df, columns).collect()
-        return cls({r["feature"]: r["mean"] for r in rows}, {r["feature"]: r["scale"] for r in rows})
+        """One aggregate pass: mean, population std and the row count.
+
+        The result is two numbers per column plus the count (bounded).
+        """
+        row = df.agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.avg(c).alias(f"{c}__mean") for c in columns],
+            *[F.stddev_pop(c).alias(f"{c}__std") for c in columns],
+        ).first()
+        means = {c: row[f"{c}__mean"] for c in columns}
+        scales = {c: (1.0 if row[f"{c}__std"] == 0 else row[f"{c}__std"]) for c in columns}
+        return cls(means, scales, int(row["__n"]))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """M3: (x - mean) / scale for fitted columns, others unchanged."""

@@ -35,6 +35,7 @@ from churnlake.operators import features as feat
 from churnlake.operators import metrics as met
 from churnlake.operators import quality as qual
 from churnlake.operators import registry as reg
+from churnlake.operators import split as spl
 from churnlake.plans import models as mdl
 from churnlake.plans import reports
 from churnlake.sources import documents as docs
@@ -185,7 +186,7 @@ def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
         except Exception:  # noqa: BLE001 - a model that cannot load is skipped (M12)
             continue
     feats = files.read_latest(spark, _p(base, "features"))
-    test = mdl.prepare(feats, materialize=False).test
+    test = spl.evaluation_sample(feat.fill_missing(feats))  # M2 = M1's test part (D6)
     comparison, failed = mdl.compare_production(models, test)
     named = comparison.withColumn("name", reg.registered_name("model"))
     ranked = met.rank_models(named, list(models))

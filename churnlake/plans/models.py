@@ -108,8 +108,7 @@ def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
     scaler = scl.FittedScaler.fit(train)
     weights = scl.class_weights(train)
     train_w = scl.with_class_weight(train, weights, out="class_weight")
-    n_train = train.count()
-    return PreparedData(train_w, test, scaler, n_train, weights)
+    return PreparedData(train_w, test, scaler, scaler.n, weights)
 
 
 def pipeline(key: str, data: PreparedData) -> Pipeline:
