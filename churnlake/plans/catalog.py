@@ -728,11 +728,7 @@ def q_cross_validate(spark, sf_dir):
     from churnlake.plans import models as mdl
 
     data = trained.prepared(spark, sf_dir)
-    rows = []
-    for key in S.MODEL_KEYS:
-        mean, std = mdl.cross_validate(key, data, parallelism=5)
-        rows.append((key, mean, std))
-    return spark.createDataFrame(rows, "model string, cv_f1_mean double, cv_f1_std double")
+    return mdl.cross_validate_models(S.MODEL_KEYS, data).select("model", "cv_f1_mean", "cv_f1_std")
 
 
 @register("model_importance")

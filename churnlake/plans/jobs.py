@@ -121,11 +121,13 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
     keys = keys or list(S.MODEL_KEYS)
     key = files.snapshot_key(run_ts)
     feats = files.read_latest(spark, _p(base, "features"))
-    data = mdl.prepare(feats)
-    data.train.persist()
+    data = mdl.prepare(feats)  # the training part is cached once
     try:
         fitted = {k: mdl.fit(k, data) for k in keys}
-        cv = {k: mdl.cross_validate(k, data) for k in keys} if with_cv else {}
+        cv = {}
+        if with_cv:  # one row per model (bounded)
+            for r in mdl.cross_validate_models(keys, data).collect():
+                cv[r["model"]] = (float(r["cv_f1_mean"]), float(r["cv_f1_std"]))
     finally:
         data.train.unpersist()
     long = mdl.long_predictions(fitted, data.test)

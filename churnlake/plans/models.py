@@ -5,7 +5,8 @@
   model is always scored on the data it was trained on (fixes D5).
 * Class weights (``class_weight='balanced'``) are a ``weightCol`` attached
   by a broadcast join of a two-row table (one row per class: bounded).
-* CV folds are a per-row hash (``foldCol``), so no sort or random split.
+* CV folds are a per-row hash, so no sort or random split; the fold fits of
+  all models run concurrently and are measured in one aggregate.
 * All models are measured in one pass over long predictions (U1 + A5 + A6).
 """
 
@@ -15,12 +16,11 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +71,8 @@ def estimator(key: str, n_train: int, weighted: bool = True):
 
 
 MODEL_WEIGHTED = {"logistic_regression": True, "random_forest": True, "gradient_boosting": False}
+# Relative fit cost, used only to start the slowest fits first.
+_FIT_COST = {"gradient_boosting": 3, "random_forest": 2, "logistic_regression": 1}
 
 
 @dataclass
@@ -107,7 +109,11 @@ def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
     test = f.filter(F.col("split") == "test").drop("split")
     scaler = scl.FittedScaler.fit(train)
     weights = scl.class_weights(train)
-    train_w = scl.with_class_weight(train, weights, out="class_weight")
+    # Every fit and CV fold re-reads the training part many times (each
+    # L-BFGS step, tree level, boosting round): keep it cached once.  Its
+    # lineage starts at the written table, so a lost block is re-read, not
+    # re-derived from the raw inputs.
+    train_w = scl.with_class_weight(train, weights, out="class_weight").persist(StorageLevel.MEMORY_AND_DISK)
     return PreparedData(train_w, test, scaler, scaler.n, weights)
 
 
@@ -162,16 +168,75 @@ def evaluate(long: DataFrame) -> DataFrame:
     return m.join(a, "model", "left").select("model", "accuracy", "precision", "recall", "f1_score", "roc_auc")
 
 
-def cross_validate(key: str, data: PreparedData, k: int = 5, parallelism: int = 2) -> tuple[float, float]:
-    """K-fold F1 of class 1 on the train part; (mean, population std)."""
-    train = spl.with_folds(data.train, k=k)
-    ev = MulticlassClassificationEvaluator(labelCol=S.TARGET, predictionCol="prediction",
-                                           metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=pipeline(key, data), estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=ev, numFolds=k, foldCol="fold", parallelism=parallelism, seed=42)
-    cvm = cv.fit(train)
-    std = cvm.stdMetrics[0] if cvm.stdMetrics else float("nan")
-    return float(cvm.avgMetrics[0]), float(std)
+def fold_class_weights(folds: DataFrame, k: int,
+                       label: str = S.TARGET) -> dict[int, tuple[int, dict[int, float]]]:
+    """Rows and balanced weights of each fold's training part (all folds but one).
+
+    One aggregate of at most ``k x classes`` rows (bounded), so each CV fit
+    weighs its classes as a refit on that part would (n / (classes * n_c)).
+    """
+    counts: dict[int, dict[int, int]] = {}
+    for r in folds.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(int(r["fold"]), {})[int(r[label])] = int(r["n"])
+    total: dict[int, int] = {}
+    for per in counts.values():
+        for c, n in per.items():
+            total[c] = total.get(c, 0) + n
+    out = {}
+    for i in range(k):
+        part = {c: n - counts.get(i, {}).get(c, 0) for c, n in total.items()}
+        part = {c: n for c, n in part.items() if n > 0}
+        n_all = sum(part.values())
+        out[i] = (n_all, {c: n_all / (len(part) * n) for c, n in part.items()})
+    return out
+
+
+def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
+                          parallelism: int = 8) -> DataFrame:
+    """K-fold F1 of class 1 on the train part, for several models at once.
+
+    Folds are a per-row hash of the id (no shuffle, no random split).  Every
+    (model, fold) fit is an independent Spark job chain, so they run
+    ``parallelism`` at a time from a thread pool (``CrossValidator`` runs
+    folds one after another and parallelises only over a param grid).  The
+    pool size bounds how many fold copies the fits persist at once.  Each fit
+    gets its fold's own class weights and, for logistic regression, its own
+    ``1/n``.  Scaling keeps the whole-train statistics (D17).  All fold
+    predictions are then measured in one ``groupBy(model, fold)`` aggregate.
+    Returns (model, cv_f1_mean, cv_f1_std, folds) with the population std.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    folds = spl.with_folds(data.train.drop("class_weight"), k=k)
+    weights = fold_class_weights(folds, k)
+    y = F.col(S.TARGET)
+
+    def fit_fold(task: tuple[str, int]) -> DataFrame:
+        key, i = task
+        n_fold, w = weights[i]
+        part = folds.filter(F.col("fold") != i)
+        if MODEL_WEIGHTED[key]:
+            wcol = F.lit(0.0)
+            for c, v in sorted(w.items()):
+                wcol = F.when(y == c, F.lit(v)).otherwise(wcol)
+            part = part.withColumn("class_weight", wcol)
+        est = estimator(key, n_fold, MODEL_WEIGHTED[key])
+        model = Pipeline(stages=[scaling_stage(data.scaler), assembler(), est]).fit(part)
+        held = folds.filter(F.col("fold") == i)
+        return score(model, held, keep=(S.TARGET,)).select(
+            F.lit(key).alias("model"), F.lit(i).alias("fold"), F.col(S.TARGET).alias("label"), "prediction")
+
+    # Slowest models first, so the pool's tail is short.
+    order = sorted(keys, key=lambda m: -_FIT_COST.get(m, 0))
+    tasks = [(key, i) for key in order for i in range(k)]
+    with ThreadPoolExecutor(max(1, min(parallelism, len(tasks)))) as pool:
+        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(fit_fold), tasks))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return met.cv_summary(met.fold_f1(long))
 
 
 def save(model: PipelineModel, path: str, input_schema_json: str) -> None:
