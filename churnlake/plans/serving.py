@@ -24,23 +24,19 @@ def _score_routed(routed: DataFrame, models: dict[str, PipelineModel], names: li
                   default: str) -> DataFrame:
     """Probability of each row under the model it was routed to.
 
-    The routed rows pass once through every routed pipeline (a narrow chain
-    of projections), and each row keeps the probability of its own model.
-    Branching per model and stacking with a union would run the whole
-    upstream plan (scans and the order-facts shuffle) once per branch.
+    One branch per routed model: the branch keeps its own rows (a filter on
+    the row-local route column) and only they pass through that pipeline, so
+    every row is scored by exactly one model.  The branches share their
+    upstream plan; Spark reuses its exchanges (the order-facts shuffle runs
+    once), and only the narrow columnar scan is repeated per branch.
     """
-    cur = routed
-    probs = []
-    for i, name in enumerate(names):
+    out = None
+    for name in names:
         model = models.get(name) or models[default]
-        col = f"_p{i}"
-        cur = model.transform(cur).select(*cur.columns, mdl.p1().alias(col))
-        probs.append((name, col))
-    chosen = None
-    for name, col in probs:
-        chosen = F.when(F.col("model") == name, F.col(col)) if chosen is None else chosen.when(
-            F.col("model") == name, F.col(col))
-    return cur.select(*keep, "model", "ab_group", chosen.alias("probability"))
+        part = routed.filter(F.col("model") == name)
+        scored = model.transform(part).select(*keep, "model", "ab_group", mdl.p1().alias("probability"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
 def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: ab.ABConfig,
