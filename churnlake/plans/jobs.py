@@ -123,7 +123,7 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
     feats = files.read_latest(spark, _p(base, "features"))
     data = mdl.prepare(feats)  # the training part is cached once
     try:
-        fitted = {k: mdl.fit(k, data) for k in keys}
+        fitted = mdl.fit_all(keys, data)
         cv = {}
         if with_cv:  # one row per model (bounded)
             for r in mdl.cross_validate_models(keys, data).collect():

@@ -32,13 +32,10 @@ def prepared(spark: SparkSession, sf_dir: str) -> mdl.PreparedData:
 
 def models_for(spark: SparkSession, sf_dir: str, keys: list[str]) -> dict[str, PipelineModel]:
     data = prepared(spark, sf_dir)
-    out = {}
-    for k in keys:
-        ck = (_app(spark), sf_dir, k)
-        if ck not in _MODELS:
-            _MODELS[ck] = mdl.fit(k, data)
-        out[k] = _MODELS[ck]
-    return out
+    missing = [k for k in keys if (_app(spark), sf_dir, k) not in _MODELS]
+    for k, m in mdl.fit_all(missing, data).items():
+        _MODELS[(_app(spark), sf_dir, k)] = m
+    return {k: _MODELS[(_app(spark), sf_dir, k)] for k in keys}
 
 
 def registry_models(spark: SparkSession, sf_dir: str, keys: list[str]) -> dict[str, PipelineModel]:
