@@ -83,15 +83,19 @@ def lookup_model_info(rows: DataFrame, info: DataFrame, default_name: str, loade
     among ``loaded`` falls back to ``default_name`` (the first loaded model).
 
     The fallback is a literal membership test, so one left join on the
-    resolved name suffices; ``info`` has one row per model name and the
-    planner broadcasts it at runtime (AQE) when its measured size is small.
+    resolved name suffices.  Every resolved name is one of ``loaded`` (a
+    literal list), so ``info`` (one row per model name) is cut to those names
+    first: at most ``len(loaded)`` rows, broadcast.  The rows are never
+    shuffled on the model name, which one model may hold most of.
     """
+    names = list(dict.fromkeys([*loaded, default_name]))
     resolved = rows.withColumn(
         "model_name", F.when(F.col(name_col).isin(list(loaded)), F.col(name_col)).otherwise(F.lit(default_name))
     )
-    inf = info.select(F.col("name").alias("_n"), F.col("version").alias("_v"), F.col("stage").alias("_s"),
-                      F.col("run_id").alias("_r"))
-    joined = resolved.join(inf, resolved["model_name"] == inf["_n"], "left")
+    inf = info.filter(F.col("name").isin(names)).select(
+        F.col("name").alias("_n"), F.col("version").alias("_v"), F.col("stage").alias("_s"),
+        F.col("run_id").alias("_r"))
+    joined = resolved.join(F.broadcast(inf), resolved["model_name"] == inf["_n"], "left")
     return joined.select(
         *resolved.columns,
         F.coalesce(F.col("_v"), F.lit("unknown")).alias("model_version"),

@@ -1,0 +1,27 @@
+"""Broadcasting a small join side only behind a size check.
+
+A side whose size is not bounded by construction is measured first: it is
+cached (so the check and the join read it once), counted with a ``limit``
+that stops after ``max_rows + 1`` rows, and hinted for broadcast only when
+it fits.  Beyond the bound the join stays a shuffle join, where AQE splits
+partitions of hot keys (``spark.sql.adaptive.skewJoin.enabled``).
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a narrow key table that may be shipped to every executor.
+MAX_BROADCAST_ROWS = 10_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(side, broadcast?)``: the side hinted for broadcast when it has at
+    most ``max_rows`` rows, else the side unchanged (shuffle join)."""
+    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(cached), True
+    cached.unpersist()
+    return small, False

@@ -76,11 +76,17 @@ def promote_latest(versions: DataFrame, chosen_names: DataFrame) -> DataFrame:
     ``chosen_names`` (one row per chosen name, e.g. the champion).
 
     The chosen versions are a per-name aggregate joined back on ``name``;
-    no value passes through the driver.
+    no value passes through the driver.  A name may hold a third of all
+    versions, so neither join shuffles ``versions`` on ``name``: the chosen
+    names are broadcast after a size check, and the per-name targets (at
+    most one row per chosen name, so within the same bound) with them.
     """
-    latest = latest_versions(versions.join(chosen_names.select("name").distinct(), "name", "left_semi"))
+    from churnlake.operators.joins import checked_broadcast
+
+    names, small = checked_broadcast(chosen_names.select("name").distinct())
+    latest = latest_versions(versions.join(names, "name", "left_semi"))
     target = latest.select("name", F.col("version").alias("_promote_version"))
-    joined = versions.join(target, "name", "left")
+    joined = versions.join(F.broadcast(target) if small else target, "name", "left")
     chosen = F.col("_promote_version").isNotNull()
     stage = (
         F.when(chosen & (F.col("version") == F.col("_promote_version")), "Production")
