@@ -127,3 +127,16 @@ def test_model_lookup_falls_back_to_first_loaded(spark):
     out = {r.customer_id: (r.model_name, r.model_version) for r in
            xpl.lookup_model_info(rows, info, default_name="m_a", loaded=["m_a", "m_b"]).collect()}
     assert out == {"c1": ("m_b", "7"), "c2": ("m_a", "3")}
+
+
+def test_checked_broadcast_falls_back_beyond_bound(spark):
+    from churnlake.operators.joins import checked_broadcast
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 1000, 100).withColumnRenamed("id", "k")
+    side, hinted = checked_broadcast(small, max_rows=10)
+    assert hinted
+    assert big.join(side, "k", "left_semi").count() == 10
+    side, hinted = checked_broadcast(small, max_rows=9)
+    assert not hinted
+    assert big.join(side, "k", "left_semi").count() == 10
