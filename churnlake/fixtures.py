@@ -38,13 +38,9 @@ def _mod_lt(c: Column, m: int, k: int) -> Column:
     return (c % m) < k
 
 
-def customer_base(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
-    """``customer`` LEFT JOIN per-customer order facts, plus tenure ``t``.
-
-    ``customers`` may be a stream of customer rows (a stream-static join
-    against the order facts).
-    """
-    orders = (
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-customer order facts: count, spend (exact decimal), last order date."""
+    return (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(
@@ -53,7 +49,18 @@ def customer_base(spark: SparkSession, sf_dir: str, customers: DataFrame | None
             F.max("o_orderdate").alias("last_order"),
         )
     )
-    cust = (customers if customers is not None else table(spark, sf_dir, "customer")).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def customer_base(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None,
+                  facts: DataFrame | None = None) -> DataFrame:
+    """``customer`` LEFT JOIN per-customer order facts, plus tenure ``t``.
+
+    ``customers`` may be a subset of customer rows (a micro-batch), and
+    ``facts`` an already written copy of ``order_facts``.
+    """
+    orders = facts if facts is not None else order_facts(spark, sf_dir)
+    cust = (customers if customers is not None else table(spark, sf_dir, "customer")).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     b = cust.join(orders, cust.c_custkey == orders.o_custkey, "left").drop("o_custkey")
     t = ((F.col("c_custkey") * 31 + F.coalesce(F.col("n_orders"), F.lit(0)) * 7) % 73).cast("int")
     return b.withColumn("t", t)
@@ -112,9 +119,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(*raw_columns(b))
 
 
-def raw_customers_keyed(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
+def raw_customers_keyed(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None,
+                        facts: DataFrame | None = None) -> DataFrame:
     """Raw columns plus ``c_custkey`` (used to derive requests)."""
-    b = customer_base(spark, sf_dir, customers)
+    b = customer_base(spark, sf_dir, customers, facts)
     return b.select("c_custkey", *raw_columns(b))
 
 
@@ -138,14 +146,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None,
+             facts: DataFrame | None = None) -> DataFrame:
     """FIXTURES §5: scoring requests derived from raw customers.
 
     ``monthly_charges`` is negated where ``c_custkey % 23 = 0`` and blank
     totals stay null, so validation has rows to reject; ``has_phone`` is
     left null where ``c_custkey % 13 = 0`` to exercise the defaults.
     """
-    r = raw_customers_keyed(spark, sf_dir, customers)
+    r = raw_customers_keyed(spark, sf_dir, customers, facts)
     k = F.col("c_custkey")
     return r.select(
         F.col("customerID").alias("customer_id"),

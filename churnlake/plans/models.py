@@ -90,19 +90,16 @@ class PreparedData:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Write ``df`` once in the shared folder and read it back.
 
     Cuts the lineage before iterative fits (each L-BFGS step, tree level,
     boosting round and CV fold re-reads a compact columnar table instead of
     re-running the feature plan), and a lost executor recomputes from the
     table, not from the raw inputs.
     """
-    from churnlake.session import scratch_path
+    from churnlake.session import write_shared
 
-    spark = SparkSession.getActiveSession()
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return write_shared(df, name)
 
 
 def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:

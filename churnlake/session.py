@@ -65,3 +65,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_shared(df, name: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    The lineage of the result starts at the written table: later passes (and
+    recomputation after a lost executor) read it instead of re-deriving it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

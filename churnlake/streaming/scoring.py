@@ -1,17 +1,29 @@
 """Online scoring of arriving customers.
 
-Customer rows arrive as files; each row is joined (stream-static) with the
-per-customer order facts, turned into a request, validated, routed and
-scored with fixed, already-fitted pipelines and a fixed A/B configuration.
-Each micro-batch is scored by the batch code (``foreachBatch``) and written
-under ``batch_id=<n>`` with overwrite, so a replayed batch replaces its own
-output instead of duplicating it.
+Customer rows arrive as files; each row is joined with the per-customer
+order facts, turned into a request, validated, routed and scored with
+fixed, already-fitted pipelines and a fixed A/B configuration.
+
+* The order facts are aggregated once, when the stream starts, and written
+  to the shared folder; micro-batches read that table instead of
+  re-aggregating all orders on every trigger.  (A new snapshot of the facts
+  is taken by restarting the stream.)
+* A micro-batch holds at most what one trigger admits (``maxFilesPerTrigger``
+  bounds it), so its customer keys are broadcast after a size check and the
+  facts table is cut to those keys with a broadcast semi join: a narrow scan,
+  the facts are never shuffled per batch.  A batch above the bound falls
+  back to a shuffle join.
+* Each micro-batch is scored by the batch code (``foreachBatch``) and written
+  under ``batch_id=<n>`` with overwrite, so a replayed batch replaces its own
+  output instead of duplicating it.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from churnlake import fixtures as fx
@@ -19,20 +31,48 @@ from churnlake.operators import abtest as ab
 from churnlake.plans import serving
 
 
-def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parquet") -> DataFrame:
+def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parquet",
+                    max_files_per_trigger: int | None = None) -> DataFrame:
     schema = spark.read.parquet(f"{folder.rstrip('/')}/{glob}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(folder)
+
+
+def facts_for_batch(facts: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The order-facts rows of the batch's customers, and the cached keys
+    (to release after the batch is written; None when not cut)."""
+    from churnlake.operators.joins import checked_broadcast
+
+    keys, small = checked_broadcast(batch.select(F.col("c_custkey").alias("o_custkey")).distinct())
+    if not small:
+        return facts, None
+    # ``facts`` has one row per key, so the cut is within the checked bound.
+    return F.broadcast(facts.join(keys, "o_custkey", "left_semi")), keys
 
 
 def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineModel], cfg: ab.ABConfig,
                   out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Requests stream -> V4 -> P18 -> R1 -> M8 -> append sink."""
-    requests = fx.requests(spark, folder, customers=customer_stream(spark, folder))
+    """Customer stream -> requests -> V4 -> P18 -> R1 -> M8 -> sink."""
+    from churnlake.session import write_shared
+
+    facts = write_shared(fx.order_facts(spark, folder), "order_facts")
+    customers = customer_stream(spark, folder)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        scored = serving.score_requests(batch, models, cfg)
-        scored.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
+        keys = None
+        try:
+            batch_facts, keys = facts_for_batch(facts, batch)
+            requests = fx.requests(spark, folder, customers=batch, facts=batch_facts)
+            scored = serving.score_requests(requests, models, cfg)
+            scored.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            if keys is not None:
+                keys.unpersist()
+            batch.unpersist()
 
-    w = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = customers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
