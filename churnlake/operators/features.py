@@ -63,30 +63,30 @@ def engineer_features(raw: DataFrame) -> DataFrame:
     base = raw.withColumn("TotalCharges", total)
     denom = tenure + 1
     flags = {
-        "churn_label": flag_eq("Churn", "Yes"),
+        "churn_label": flag_eq("Churn", "Yes"),  # P5
         "tenure_months": tenure,
-        "tenure_years": tenure / 12,
-        "is_new_customer": flag_cmp(tenure <= 6),
-        "is_loyal_customer": flag_cmp(tenure >= 24),
+        "tenure_years": tenure / 12,  # P9
+        "is_new_customer": flag_cmp(tenure <= 6),  # P8
+        "is_loyal_customer": flag_cmp(tenure >= 24),  # P8
         "monthly_charges": F.col("MonthlyCharges"),
         "total_charges": F.col("TotalCharges"),
-        "avg_monthly_charge": F.try_divide(F.col("TotalCharges"), denom),
-        "charge_per_tenure": F.try_divide(F.col("MonthlyCharges"), denom),
+        "avg_monthly_charge": F.try_divide(F.col("TotalCharges"), denom),  # P9
+        "charge_per_tenure": F.try_divide(F.col("MonthlyCharges"), denom),  # P9
         "total_services": service_count(raw.columns),
         "contract_month_to_month": flag_eq("Contract", S.CONTRACTS[0]),
         "contract_one_year": flag_eq("Contract", S.CONTRACTS[1]),
         "contract_two_year": flag_eq("Contract", S.CONTRACTS[2]),
-        "payment_electronic": flag_eq("PaymentMethod", "Electronic check"),
-        "payment_auto": flag_icontains("PaymentMethod", "automatic"),
-        "has_internet": flag_ne("InternetService", "No"),
-        "has_fiber": flag_eq("InternetService", "Fiber optic"),
+        "payment_electronic": flag_eq("PaymentMethod", "Electronic check"),  # P6
+        "payment_auto": flag_icontains("PaymentMethod", "automatic"),  # P12
+        "has_internet": flag_ne("InternetService", "No"),  # P7
+        "has_fiber": flag_eq("InternetService", "Fiber optic"),  # P6
         "is_senior": F.col("SeniorCitizen"),
-        "has_partner": flag_eq("Partner", "Yes"),
-        "has_dependents": flag_eq("Dependents", "Yes"),
-        "paperless_billing": flag_eq("PaperlessBilling", "Yes"),
-        "has_security": flag_any_eq(["OnlineSecurity", "OnlineBackup", "DeviceProtection"], "Yes"),
-        "has_support": flag_eq("TechSupport", "Yes"),
-        "has_streaming": flag_any_eq(["StreamingTV", "StreamingMovies"], "Yes"),
+        "has_partner": flag_eq("Partner", "Yes"),  # P6
+        "has_dependents": flag_eq("Dependents", "Yes"),  # P6
+        "paperless_billing": flag_eq("PaperlessBilling", "Yes"),  # P6
+        "has_security": flag_any_eq(["OnlineSecurity", "OnlineBackup", "DeviceProtection"], "Yes"),  # P13
+        "has_support": flag_eq("TechSupport", "Yes"),  # P6
+        "has_streaming": flag_any_eq(["StreamingTV", "StreamingMovies"], "Yes"),  # P13
     }
     out = base.select("*", *[e.alias(n) for n, e in flags.items()])
     score = risk_score(
