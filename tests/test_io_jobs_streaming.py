@@ -102,3 +102,24 @@ def test_stream_scoring_equals_batch(spark):
     a = {r.customer_id: r.churn_probability for r in streamed.collect()}
     b = {r.customer_id: r.churn_probability for r in batch.collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_routed_scoring_uses_each_rows_own_model(spark):
+    """Brute force: score every request with every model, keep the routed one."""
+    from churnlake.operators import quality as qual
+    from churnlake.operators import scoring as sco
+    from churnlake.plans import models as mdl
+    from churnlake.plans import serving, trained
+
+    models = trained.registry_models(spark, SF_SMALL, ["logistic_regression", "random_forest"])
+    cfg = ab.ABConfig(model_a=S.MODEL_PREFIX + "logistic_regression", model_b=S.MODEL_PREFIX + "random_forest")
+    got = {r.customer_id: (r.model, r.churn_probability)
+           for r in serving.score_requests(fx.requests(spark, SF_SMALL), models, cfg).collect()}
+    feats = ab.route(sco.request_features(qual.split_valid(fx.requests(spark, SF_SMALL))[0]), cfg.normalised())
+    routes = {r.customer_id: r.model for r in feats.select("customer_id", "model").collect()}
+    assert got.keys() == routes.keys() and len(got) > 0
+    for name, m in models.items():
+        probs = {r.customer_id: r.p for r in m.transform(feats).select("customer_id", mdl.p1().alias("p")).collect()}
+        for cid, routed in routes.items():
+            if routed == name:
+                assert got[cid][0] == name and abs(got[cid][1] - probs[cid]) < 1e-12
