@@ -183,8 +183,16 @@ def long_predictions(models: dict[str, PipelineModel], test: DataFrame) -> DataF
     return out
 
 
-def evaluate(long: DataFrame) -> DataFrame:
-    """A5 + A6 for all models: one conditional-count pass and one AUC pass."""
+def evaluate(long: DataFrame, materialize: bool = True) -> DataFrame:
+    """A5 + A6 for all models: one conditional-count pass and one AUC pass.
+
+    The long predictions are written once to the shared folder first (five
+    narrow columns), so model inference (100 trees per row for the forests)
+    runs once, not once for the quantile sketch, once for the counts and once
+    for the AUC.
+    """
+    if materialize:
+        long = materialise(long, "predictions")
     m = met.classification_metrics(long)
     a = auc_ops.roc_auc(long).select("model", "roc_auc")
     return m.join(a, "model", "left").select("model", "accuracy", "precision", "recall", "f1_score", "roc_auc")
