@@ -1,10 +1,18 @@
 """Model-version table operators.
 
 The version table (name, version, run_id, stage) stands in for the model
-registry.  ``version`` is a string and is compared as an integer.  All
-per-name reductions are aggregates with a struct ordering key (``max_by``),
-which Spark combines map-side: a name holding a third of all versions costs
-one partial row per mapper, not one hot task.
+registry.  ``version`` is a string and is compared as an integer.
+
+Per-name argmax (W1, W2) in three steps, none of which shuffles or sorts
+the version table:
+
+1. a hash aggregate per name of numeric maxima only (map-side combined, so a
+   name holding a third of all versions costs one partial row per mapper);
+2. that one-row-per-name table is broadcast after a size check and an inner
+   join keeps the rows that carry the maximum (no shuffle of the big side);
+3. ``max_by`` with the struct key (a sort-based aggregate, as its buffer is a
+   struct) runs only on those few rows, so ties and nulls resolve exactly as
+   a ``max_by`` over the whole table would.
 """
 
 from __future__ import annotations
@@ -31,22 +39,56 @@ def display_name(name: Column | str, prefix: str = S.MODEL_PREFIX) -> Column:
     return F.when(n.startswith(prefix), F.substring(n, len(prefix) + 1, 1 << 20)).otherwise(n)
 
 
-def _pick(versions: DataFrame, key: Column) -> DataFrame:
-    row = F.struct("version", "run_id", "stage")
-    return versions.groupBy("name").agg(F.max_by(row, key).alias("v")).select(
-        "name", "v.version", "v.run_id", "v.stage"
-    )
+_ROW = ("version", "run_id", "stage")
+
+
+def _winners(keyed: DataFrame, best: DataFrame, match: Column) -> tuple[DataFrame, bool]:
+    """Rows of ``keyed`` that carry their name's maximum (step 2), and
+    whether the per-name table passed the broadcast size check."""
+    from churnlake.operators.joins import checked_broadcast
+
+    side, small = checked_broadcast(best)
+    return keyed.join(side, "name", "inner").filter(match), small
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
-    """The highest version per name, compared as int."""
-    return _pick(versions, version_number())
+    """The highest version per name, compared as int.
+
+    Rows whose version is not a number are ignored; a name with no numeric
+    version gives one row of nulls.
+    """
+    keyed = versions.select("name", *_ROW, version_number().alias("_v"))
+    best = keyed.groupBy("name").agg(F.max("_v").alias("_bv"))
+    won, small = _winners(keyed, best, F.col("_v") == F.col("_bv"))
+    picked = won.groupBy("name").agg(F.max_by(F.struct(*_ROW), F.col("_v")).alias("r"))
+    # ``picked`` has at most one row per name of ``best``: within the checked bound.
+    picked = F.broadcast(picked) if small else picked
+    return best.select("name").join(picked, "name", "left").select("name", *[f"r.{c}" for c in _ROW])
 
 
 def serving_versions(versions: DataFrame) -> DataFrame:
-    """Per name, the highest Production version, else the highest version."""
+    """Per name, the highest Production version, else the highest version.
+
+    The order is (is Production, version as int), nulls lowest.  The flag has
+    three values (1, 0, null), so step 1 keeps the top flag and the highest
+    version under each flag value: all numeric maxima.
+    """
     is_prod = (F.col("stage") == "Production").cast("int")
-    return _pick(versions, F.struct(is_prod, version_number())).withColumn(
+    keyed = versions.select("name", *_ROW, is_prod.alias("_p"), version_number().alias("_v"))
+    p, v = F.col("_p"), F.col("_v")
+    best = keyed.groupBy("name").agg(
+        F.max(p).alias("_bp"),
+        F.max(F.when(p == 1, v)).alias("_v1"),
+        F.max(F.when(p == 0, v)).alias("_v0"),
+        F.max(F.when(p.isNull(), v)).alias("_vn"),
+    ).select(
+        "name", "_bp",
+        F.when(F.col("_bp") == 1, F.col("_v1")).when(F.col("_bp") == 0, F.col("_v0"))
+        .otherwise(F.col("_vn")).alias("_bv"),
+    )
+    won, _ = _winners(keyed, best, p.eqNullSafe(F.col("_bp")) & v.eqNullSafe(F.col("_bv")))
+    picked = won.groupBy("name").agg(F.max_by(F.struct(*_ROW), F.struct(p, v)).alias("r"))
+    return picked.select("name", *[f"r.{c}" for c in _ROW]).withColumn(
         "resolved_by", F.when(F.col("stage") == "Production", "Production").otherwise("latest")
     )
 
@@ -54,7 +96,7 @@ def serving_versions(versions: DataFrame) -> DataFrame:
 def production_versions(versions: DataFrame) -> DataFrame:
     """V5 then one row per name: the highest Production version."""
     prod = versions.filter(F.col("stage") == "Production")
-    return _pick(prod, version_number())
+    return latest_versions(prod)
 
 
 def promote(versions: DataFrame, name: str, version: str) -> DataFrame:

@@ -140,3 +140,38 @@ def test_checked_broadcast_falls_back_beyond_bound(spark):
     side, hinted = checked_broadcast(small, max_rows=9)
     assert not hinted
     assert big.join(side, "k", "left_semi").count() == 10
+
+
+def _max_by_reference(versions, key):
+    """The direct formulation: one max_by over the whole table."""
+    from pyspark.sql import functions as F
+
+    row = F.struct("version", "run_id", "stage")
+    return versions.groupBy("name").agg(F.max_by(row, key).alias("v")).select(
+        "name", "v.version", "v.run_id", "v.stage")
+
+
+def test_registry_argmax_equals_whole_table_max_by(spark):
+    from pyspark.sql import functions as F
+
+    rows = [
+        ("a", "2", "r2", "None"), ("a", "10", "r10", "None"), ("a", "9", "r9", "Production"),
+        ("a", "x", "rx", "Production"), ("a", "3", "r3", None),
+        ("b", "1", "r1", "Archived"), ("b", "07", "r7", "None"), ("b", "zz", "rz", "Production"),
+        ("c", "q", "rq", "None"), ("c", None, "rn", None),
+        ("d", "5", "r5", None), ("d", "4", "r4", None),
+        ("e", "8", "r8a", "Production"), ("e", "8", "r8b", "None"),
+    ]
+    versions = spark.createDataFrame(rows, "name string, version string, run_id string, stage string")
+    v = reg.version_number()
+    want = {r.name: tuple(r) for r in _max_by_reference(versions, v).collect()}
+    got = {r.name: tuple(r) for r in reg.latest_versions(versions).collect()}
+    # "e" ties on version 8: either row is a maximum.
+    assert got.pop("e") in {("e", "8", "r8a", "Production"), ("e", "8", "r8b", "None")}
+    want.pop("e")
+    assert got == want and got["c"] == ("c", None, None, None)
+    is_prod = (F.col("stage") == "Production").cast("int")
+    want = {r.name: tuple(r) for r in _max_by_reference(versions, F.struct(is_prod, v)).collect()}
+    got = {r.name: tuple(r)[:4] for r in reg.serving_versions(versions).collect()}
+    assert got == want
+    assert got["a"][1] == "9" and got["b"][1] == "zz" and got["d"][1] == "5" and got["e"][2] == "r8a"
