@@ -1,15 +1,17 @@
 """Broadcasting a small join side only behind a size check.
 
-A side whose size is not bounded by construction is measured first: it is
-cached (so the check and the join read it once), counted with a ``limit``
-that stops after ``max_rows + 1`` rows, and hinted for broadcast only when
-it fits.  Beyond the bound the join stays a shuffle join, where AQE splits
-partitions of hot keys (``spark.sql.adaptive.skewJoin.enabled``).
+A side whose size is not bounded by construction is measured first: at most
+``max_rows + 1`` of its rows are computed and written, with ``checkpoint()``,
+to the shared folder named by ``spark.checkpoint.dir``.  If no more than
+``max_rows`` came back, the limit cut nothing: the snapshot *is* the whole
+side, taken once at call time with its lineage cut, and it is broadcast.
+Otherwise the join keeps the original side as a shuffle join, where AQE
+splits partitions of hot keys (``spark.sql.adaptive.skewJoin.enabled``).
+Nothing is cached, so a later call never sees a stale copy.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,12 @@ MAX_BROADCAST_ROWS = 10_000
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(side, broadcast?)``: the side hinted for broadcast when it has at
-    most ``max_rows`` rows, else the side unchanged (shuffle join)."""
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached), True
-    cached.unpersist()
+    """``(side, broadcast?)``: a snapshot of the side hinted for broadcast
+    when it has at most ``max_rows`` rows, else the side unchanged."""
+    from churnlake.session import shared_dir
+
+    shared_dir(small.sparkSession)  # make sure the checkpoint folder is set
+    snap = small.limit(max_rows + 1).checkpoint(eager=True)
+    if snap.count() <= max_rows:
+        return F.broadcast(snap), True
     return small, False

@@ -40,16 +40,15 @@ def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parq
     return reader.parquet(folder)
 
 
-def facts_for_batch(facts: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The order-facts rows of the batch's customers, and the cached keys
-    (to release after the batch is written; None when not cut)."""
+def facts_for_batch(facts: DataFrame, batch: DataFrame) -> DataFrame:
+    """The order-facts rows of the batch's customers."""
     from churnlake.operators.joins import checked_broadcast
 
     keys, small = checked_broadcast(batch.select(F.col("c_custkey").alias("o_custkey")).distinct())
     if not small:
-        return facts, None
+        return facts
     # ``facts`` has one row per key, so the cut is within the checked bound.
-    return F.broadcast(facts.join(keys, "o_custkey", "left_semi")), keys
+    return F.broadcast(facts.join(keys, "o_custkey", "left_semi"))
 
 
 def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineModel], cfg: ab.ABConfig,
@@ -62,15 +61,11 @@ def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineMo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
-        keys = None
         try:
-            batch_facts, keys = facts_for_batch(facts, batch)
-            requests = fx.requests(spark, folder, customers=batch, facts=batch_facts)
+            requests = fx.requests(spark, folder, customers=batch, facts=facts_for_batch(facts, batch))
             scored = serving.score_requests(requests, models, cfg)
             scored.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         finally:
-            if keys is not None:
-                keys.unpersist()
             batch.unpersist()
 
     w = customers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

@@ -175,3 +175,15 @@ def test_registry_argmax_equals_whole_table_max_by(spark):
     got = {r.name: tuple(r)[:4] for r in reg.serving_versions(versions).collect()}
     assert got == want
     assert got["a"][1] == "9" and got["b"][1] == "zz" and got["d"][1] == "5" and got["e"][2] == "r8a"
+
+
+def test_registry_reads_are_not_stale_after_overwrite(spark, tmp_dir):
+    """The size check snapshots at call time and caches nothing."""
+    import os
+
+    path = os.path.join(tmp_dir, "versions")
+    schema = "name string, version string, run_id string, stage string"
+    spark.createDataFrame([("m", "1", "r1", "None")], schema).write.mode("overwrite").parquet(path)
+    assert reg.latest_versions(spark.read.parquet(path)).first().version == "1"
+    spark.createDataFrame([("m", "2", "r2", "None")], schema).write.mode("overwrite").parquet(path)
+    assert reg.latest_versions(spark.read.parquet(path)).first().version == "2"
