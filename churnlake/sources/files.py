@@ -88,8 +88,9 @@ def list_snapshots(spark: SparkSession, base: str) -> list[str]:
 def read_latest(spark: SparkSession, base: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """The newest snapshot, as a partition filter over ``base``.
 
-    The key comes from the listing, so the filter is a literal and prunes
-    every other snapshot at planning time.
+    The key comes from a directory listing of ``base`` (one entry per
+    snapshot), and only that snapshot's folder is loaded, so file listing
+    and the scan never touch older snapshots however many accumulate.
     """
     keys = list_snapshots(spark, base)
     if not keys:
@@ -99,8 +100,8 @@ def read_latest(spark: SparkSession, base: str, fmt: str = "parquet", schema: T.
         reader = reader.option("header", True).option("nullValue", "")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(base)
-    return df.filter(F.col("snapshot") == F.lit(keys[-1])).drop("snapshot")
+    df = reader.load(f"{base.rstrip('/')}/snapshot={keys[-1]}")
+    return df.drop("snapshot")
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
