@@ -52,12 +52,13 @@ def facts_for_batch(facts: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineModel], cfg: ab.ABConfig,
-                  out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                  out_path: str, checkpoint: str, available_now: bool = True,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Customer stream -> requests -> V4 -> P18 -> R1 -> M8 -> sink."""
     from churnlake.session import write_shared
 
     facts = write_shared(fx.order_facts(spark, folder), "order_facts")
-    customers = customer_stream(spark, folder)
+    customers = customer_stream(spark, folder, max_files_per_trigger=max_files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
