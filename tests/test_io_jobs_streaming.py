@@ -123,3 +123,19 @@ def test_routed_scoring_uses_each_rows_own_model(spark):
         for cid, routed in routes.items():
             if routed == name:
                 assert got[cid][0] == name and abs(got[cid][1] - probs[cid]) < 1e-12
+
+
+def test_train_job_records_cv(spark, tmp_dir):
+    raw = fx.raw_customers(spark, SF_SMALL)
+    csv = os.path.join(tmp_dir, "small.csv")
+    files.write_raw_csv(raw, csv)
+    base = os.path.join(tmp_dir, "lake_cv")
+    ts = dt.datetime(2024, 3, 2)
+    jobs.ingest(spark, csv, base, ts, min_rows=100)
+    jobs.build_features(spark, base, ts)
+    res = jobs.train(spark, base, ts, keys=["logistic_regression"], with_cv=True)
+    assert set(res.cv) == {"logistic_regression"}
+    mean, std = res.cv["logistic_regression"]
+    assert 0.0 <= mean <= 1.0 and std >= 0.0
+    keys = {r.key for r in spark.read.parquet(os.path.join(base, "runs", "metrics")).collect()}
+    assert {"cv_f1_mean", "cv_f1_std", "f1_score", "roc_auc"} <= keys
