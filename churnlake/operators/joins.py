@@ -7,11 +7,16 @@ to the shared folder named by ``spark.checkpoint.dir``.  If no more than
 side, taken once at call time with its lineage cut, and it is broadcast.
 Otherwise the join keeps the original side as a shuffle join, where AQE
 splits partitions of hot keys (``spark.sql.adaptive.skewJoin.enabled``).
-Nothing is cached, so a later call never sees a stale copy.
+Nothing is cached, so a later call never sees a stale copy.  Inside one
+micro-batch, where the side's lifetime is known, ``checked_broadcast_scoped``
+caches the bounded rows instead and frees them when the batch is done.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +34,16 @@ def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> t
     if snap.count() <= max_rows:
         return F.broadcast(snap), True
     return small, False
+
+
+def checked_broadcast_scoped(small: DataFrame,
+                             max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool, Callable[[], None]]:
+    """As ``checked_broadcast`` for a side used within one known scope (a
+    micro-batch): the bounded rows are cached instead of checkpointed, so
+    nothing accumulates in the shared folder, and ``release()`` frees them
+    once the scope's output is written."""
+    snap = small.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    if snap.count() <= max_rows:
+        return F.broadcast(snap), True, snap.unpersist
+    snap.unpersist()
+    return small, False, lambda: None

@@ -20,6 +20,8 @@ fixed, already-fitted pipelines and a fixed A/B configuration.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,15 +42,16 @@ def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parq
     return reader.parquet(folder)
 
 
-def facts_for_batch(facts: DataFrame, batch: DataFrame) -> DataFrame:
-    """The order-facts rows of the batch's customers."""
-    from churnlake.operators.joins import checked_broadcast
+def facts_for_batch(facts: DataFrame, batch: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The order-facts rows of the batch's customers, and a ``release()`` for
+    the cached keys (call it once the batch's output is written)."""
+    from churnlake.operators.joins import checked_broadcast_scoped
 
-    keys, small = checked_broadcast(batch.select(F.col("c_custkey").alias("o_custkey")).distinct())
+    keys, small, release = checked_broadcast_scoped(batch.select(F.col("c_custkey").alias("o_custkey")).distinct())
     if not small:
-        return facts
+        return facts, release
     # ``facts`` has one row per key, so the cut is within the checked bound.
-    return F.broadcast(facts.join(keys, "o_custkey", "left_semi"))
+    return F.broadcast(facts.join(keys, "o_custkey", "left_semi")), release
 
 
 def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineModel], cfg: ab.ABConfig,
@@ -62,11 +65,15 @@ def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineMo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
+        release = None
         try:
-            requests = fx.requests(spark, folder, customers=batch, facts=facts_for_batch(facts, batch))
+            batch_facts, release = facts_for_batch(facts, batch)
+            requests = fx.requests(spark, folder, customers=batch, facts=batch_facts)
             scored = serving.score_requests(requests, models, cfg)
             scored.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         finally:
+            if release is not None:
+                release()
             batch.unpersist()
 
     w = customers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

@@ -187,3 +187,16 @@ def test_registry_reads_are_not_stale_after_overwrite(spark, tmp_dir):
     assert reg.latest_versions(spark.read.parquet(path)).first().version == "1"
     spark.createDataFrame([("m", "2", "r2", "None")], schema).write.mode("overwrite").parquet(path)
     assert reg.latest_versions(spark.read.parquet(path)).first().version == "2"
+
+
+def test_scoped_checked_broadcast_releases_its_cache(spark):
+    from churnlake.operators.joins import checked_broadcast_scoped
+
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    side, hinted, release = checked_broadcast_scoped(small, max_rows=100)
+    assert hinted and spark.range(1000).withColumnRenamed("id", "k").join(side, "k", "left_semi").count() == 50
+    release()
+    assert not small.limit(101).storageLevel.useMemory
+    side, hinted, release = checked_broadcast_scoped(small, max_rows=10)
+    assert not hinted
+    release()
