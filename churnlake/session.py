@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     # PySpark otherwise records the Python call site of every Column call
     # (four extra JVM round trips each); plans are built from hundreds of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoint files (size-check snapshots, tree/boosting checkpoints) are
+    # deleted once nothing references them, so the shared folder stays small.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
