@@ -37,3 +37,9 @@ def test_cv_summary_shape_and_range(spark, data):
     r = rows[0]
     assert r.model == "logistic_regression" and r.folds == 3
     assert 0.0 <= r.cv_f1_mean <= 1.0 and r.cv_f1_std >= 0.0
+
+
+def test_cv_result_does_not_depend_on_pool_size(spark, data):
+    one = mdl.cross_validate_models(["logistic_regression"], data, k=3, parallelism=1).first()
+    three = mdl.cross_validate_models(["logistic_regression"], data, k=3, parallelism=3).first()
+    assert abs(one.cv_f1_mean - three.cv_f1_mean) < 1e-12 and abs(one.cv_f1_std - three.cv_f1_std) < 1e-12
