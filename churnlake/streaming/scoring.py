@@ -42,12 +42,14 @@ def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parq
     return reader.parquet(folder)
 
 
-def facts_for_batch(facts: DataFrame, batch: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+def facts_for_batch(facts: DataFrame, batch: DataFrame,
+                    max_rows: int | None = None) -> tuple[DataFrame, Callable[[], None]]:
     """The order-facts rows of the batch's customers, and a ``release()`` for
     the cached keys (call it once the batch's output is written)."""
-    from churnlake.operators.joins import checked_broadcast_scoped
+    from churnlake.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast_scoped
 
-    keys, small, release = checked_broadcast_scoped(batch.select(F.col("c_custkey").alias("o_custkey")).distinct())
+    keys, small, release = checked_broadcast_scoped(
+        batch.select(F.col("c_custkey").alias("o_custkey")).distinct(), max_rows or MAX_BROADCAST_ROWS)
     if not small:
         return facts, release
     # ``facts`` has one row per key, so the cut is within the checked bound.

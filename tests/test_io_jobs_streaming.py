@@ -139,3 +139,19 @@ def test_train_job_records_cv(spark, tmp_dir):
     assert 0.0 <= mean <= 1.0 and std >= 0.0
     keys = {r.key for r in spark.read.parquet(os.path.join(base, "runs", "metrics")).collect()}
     assert {"cv_f1_mean", "cv_f1_std", "f1_score", "roc_auc"} <= keys
+
+
+def test_batch_facts_cut_and_fallback_agree(spark):
+    from churnlake.streaming import scoring as sscore
+
+    facts = fx.order_facts(spark, SF_SMALL)
+    batch = fx.table(spark, SF_SMALL, "customer").filter(F.col("c_custkey") % 2 == 0)
+    cut, release_cut = sscore.facts_for_batch(facts, batch)
+    full, release_full = sscore.facts_for_batch(facts, batch, max_rows=5)
+    try:
+        a = fx.requests(spark, SF_SMALL, customers=batch, facts=cut).collect()
+        b = fx.requests(spark, SF_SMALL, customers=batch, facts=full).collect()
+        assert len(a) == batch.count() and sorted(a) == sorted(b)
+    finally:
+        release_cut()
+        release_full()
