@@ -2,21 +2,26 @@
 
 AUC = sum over positives of (negatives scored lower + half the negatives
 scored equal) / (P * N).  The prefix count of negatives in score order is
-computed in two levels so that no task holds a whole model:
+computed in two levels so that no task holds a whole model, in one linear
+chain (no self-join, so the input is read and reduced once):
 
 1. collapse ties: one row per (group, score) with its positive and negative
    counts (partial aggregation map-side, so a score value shared by a third
    of all rows collapses to one row per mapper first);
 2. cut the score axis into buckets at approximate quantiles of the scores
-   (a mergeable sketch over the input rows: one narrow scan, no shuffle), so
-   every (group, bucket) holds about 1/n_buckets of the rows, and so at most
-   that many distinct scores, even when scores crowd into a narrow range;
-   the split points are a bounded list (``n_buckets`` numbers);
-3. per-bucket negative totals (at most n_buckets rows per group), prefix
-   summed across buckets: a tiny window;
-4. the within-bucket prefix: a window partitioned by (group, bucket), each
-   partition about 1/n_buckets of the distinct scores;
-5. numerator summed in integers (2x to keep the half exact), one division.
+   (a mergeable sketch over the input rows: one narrow scan), so every
+   (group, bucket) holds about 1/n_buckets of the rows, and so at most that
+   many distinct scores, even when scores crowd into a narrow range; the
+   split points are a bounded list (``n_buckets`` numbers);
+3. within each (group, bucket), a window gives the negatives scored lower in
+   the same bucket, and one aggregate folds the bucket to three numbers:
+   its positives, its negatives and its local numerator;
+4. across the at most ``n_buckets + 1`` bucket rows of a group, a window
+   adds the negatives of all lower buckets:
+   sum pos * (2 * below + neg) = local + 2 * (negatives before bucket) * (bucket positives);
+5. the numerator is summed exactly in DECIMAL(38,0) (2x keeps the half
+   exact; 64-bit integers would overflow once P * N passes 9.2e18), and the
+   denominator in double.
 
 The result equals the all-pairs count with ties counted half (tested
 against a brute-force count on small tables).
@@ -49,25 +54,28 @@ def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "la
     bucketed = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(
         ties.withColumn(score, F.col(score).cast("double"))
     )
-    bucket_neg = bucketed.groupBy(*group, "bucket").agg(F.sum("neg").alias("bucket_neg"))
-    before_bucket = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucket_neg.select(
-        *group, "bucket", F.coalesce(F.sum("bucket_neg").over(before_bucket), F.lit(0)).alias("neg_before_bucket")
-    )
     in_bucket = Window.partitionBy(*group, "bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     local = bucketed.withColumn("neg_before_local", F.coalesce(F.sum("neg").over(in_bucket), F.lit(0)))
-    joined = local.join(offsets, [*group, "bucket"], "inner")
-    below = F.col("neg_before_bucket") + F.col("neg_before_local")
-    agg = joined.groupBy(*group).agg(
-        F.sum(F.col("pos") * (2 * below + F.col("neg"))).alias("num2"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
+    exact = "decimal(38,0)"
+    per_bucket = local.groupBy(*group, "bucket").agg(
+        F.sum("pos").alias("bucket_pos"),
+        F.sum("neg").alias("bucket_neg"),
+        F.sum(F.col("pos").cast(exact) * (2 * F.col("neg_before_local") + F.col("neg")).cast(exact)).alias("local2"),
+    )
+    before_bucket = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.withColumn(
+        "neg_before_bucket", F.coalesce(F.sum("bucket_neg").over(before_bucket), F.lit(0)))
+    agg = offsets.groupBy(*group).agg(
+        F.sum(F.col("local2") + F.lit(2).cast(exact) * F.col("neg_before_bucket").cast(exact)
+              * F.col("bucket_pos").cast(exact)).alias("num2"),
+        F.sum("bucket_pos").alias("positives"),
+        F.sum("bucket_neg").alias("negatives"),
     )
-    pn2 = 2 * F.col("positives") * F.col("negatives")
+    pn2 = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     one_class = (F.col("positives") == 0) | (F.col("negatives") == 0)
     return agg.select(
         *group,
-        F.when(one_class, F.lit(None).cast("double")).otherwise(F.col("num2") / pn2).alias("roc_auc"),
+        F.when(one_class, F.lit(None).cast("double")).otherwise(F.col("num2").cast("double") / pn2).alias("roc_auc"),
         F.col("positives").cast("long").alias("positives"),
         F.col("negatives").cast("long").alias("negatives"),
         F.when(one_class, "one_class").otherwise("ok").alias("status"),
