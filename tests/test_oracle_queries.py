@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from churnlake.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -35,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     res = duck.execute(entry.oracle_sql()[name])
@@ -47,7 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_model_stream_or_listing():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert missing <= SLOW | {"object_listing"}
 
 
