@@ -37,6 +37,20 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.suffix_dedup import remove_repeated_bytes
+
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.window_dedup import remove_repeated_windows
+
+    out = remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlake.llm.line_dedup import dedup_lines, line_digests
 
@@ -46,6 +60,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op9_window_dedup": op9_window_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
