@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
+import churnlake
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,25 @@ from churnlake.session import shared_dir
 _written: dict[str, list[str]] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(churnlake.__file__)
+    archive = os.path.join(tempfile.mkdtemp(prefix="churnlake-code-"), "churnlake-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(top):
+            for name in files:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name under ``spark.checkpoint.dir``, remembered for ``release``."""
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"

@@ -18,6 +18,10 @@ BYTE_VALUE_LOWER[65:91] = BYTE_VALUE[97:123]
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+# Separators of word models: every ASCII character but letters and digits.
+IS_MARK = np.ones(256, bool)
+IS_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -89,10 +93,13 @@ def blocks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the first word index of each row (one more at the end)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the first word index of each row (one more at the end).
+
+    ``between`` flags the bytes between words, if they are others.
+    """
     n = len(data)
-    word = ~IS_SPACE[data]
+    word = ~between[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     start = word.copy()
@@ -108,3 +115,20 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     """A mixed 64-bit hash of every word (A-Z lower-cased first if asked)."""
     s = prefix_hash((BYTE_VALUE_LOWER if lower else BYTE_VALUE)[data])
     return mix(span_hash(s, starts, ends) ^ (ends - starts).astype(np.uint64))
+
+
+def word_runs(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every run of ``size`` words in one row and the row of each; a shorter row is one run."""
+    counts = np.diff(first)
+    whole = rolling_hash(hashes, size)
+    row = np.repeat(np.arange(len(counts)), counts)
+    last = np.repeat(first[1:], counts) - size
+    at = np.flatnonzero(np.arange(len(whole)) <= last[: len(whole)])
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    if not len(short):
+        return whole[at], row[at]
+    s = prefix_hash(hashes)
+    own = mix(span_hash(s, first[short], first[short + 1]) ^ counts[short].astype(np.uint64))
+    rows = np.concatenate([row[at], short])
+    order = np.argsort(rows, kind="stable")
+    return np.concatenate([whole[at], own])[order], rows[order]

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlake.llm._common import ship_code
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,6 +23,12 @@ def tokenizer_json() -> str:
         return f.read()
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlake.llm.chat_format import chat_digests, format_chats
 
@@ -44,6 +53,20 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.toxicity import fit_toxicity, held_out, score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("segments").cast("long").alias("n_segments"))
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op9_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlake.llm.window_dedup import remove_repeated_windows
 
@@ -58,9 +81,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_chat_format": op2_chat_format,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_window_dedup": op9_window_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
