@@ -7,12 +7,11 @@
    after one or two steps for large sets.  The values are cut to 16 bits, four to a band.
 3. Classes that share a band are candidates.  First each is verified against the least
    class that shares a band with it: one pair per class, however large a group is.
-4. Buckets that still hold several components go on: each class outside a bucket's largest
-   component is verified against the others there, nearest signatures first, in rounds of
-   doubling width, until the components agree or every pair is done.  Pairs whose
-   signatures agree in fewer than ``MIN_AGREE`` of the 80 places are not opened: a pair at
-   similarity 0.8 falls below that with a probability of about 1e-8, less than the chance
-   that the bands miss it (3e-5).
+4. Buckets that still hold several components go on: their classes form clusters (the
+   components of sharing an open bucket), and a cluster's sets meet in blocks of bounded
+   bytes, each pair of blocks in one task.  An inverted index over the block counts the
+   common shingles of every class outside the block's largest component; only a spanning
+   set of the links is emitted, never the pairs.
 Verified links go through distributed connected components; sets are compared in tasks.
 """
 
@@ -30,7 +29,7 @@ from churnlake.llm._text import blocks, mix, text_buffers, word_hashes, word_run
 
 BANDS, ROWS = 20, 4
 PLACES = BANDS * ROWS
-MIN_AGREE = 44
+BLOCK_BYTES = 4 << 20
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 _STEP = np.uint64(48)
 _WORD = (1 << 64) - 1
@@ -131,33 +130,57 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def _propose(first: int, last: int):
-    """Pairs across components in a bucket, of ranks first to last in each class's list of near signatures."""
+def _linker(percent: int):
+    """Links of a pair of blocks (``rep, component, block, shingles``) that join different components."""
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(key: tuple, group: pa.Table) -> pa.Table:
         order = np.argsort(group["rep"].to_numpy(), kind="stable")
-        rep, comp = group["rep"].to_numpy()[order], group["component"].to_numpy()[order]
-        sig = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
-        sig = np.ascontiguousarray(sig).view(np.uint16)
-        names, size = np.unique(comp, return_counts=True)
-        rest = np.flatnonzero(comp != names[np.argmax(size)])
-        a, b, more = [], [], False
-        for k in rest.tolist():
-            agree = (sig == sig[k]).sum(1)
-            agree[k] = 0
-            near = np.flatnonzero(agree >= MIN_AGREE)
-            near = near[np.argsort(-agree[near], kind="stable")]
-            more |= len(near) > last
-            near = near[first:last]
-            near = near[comp[near] != comp[k]]
-            a += [rep[k]] * len(near)
-            b += rep[near].tolist()
-        low, high = (np.array(f(a, b), np.int64) if a else np.empty(0, np.int64) for f in (np.minimum, np.maximum))
-        return pa.table({"a": pa.array([*high.tolist(), *([None] * more)], pa.int64()), "b": pa.array([*low.tolist(), *([None] * more)], pa.int64())})
+        rep, comp, block = (group[c].to_numpy()[order] for c in ("rep", "component", "block"))
+        sets = group["shingles"].combine_chunks()
+        sets = [np.frombuffer(sets[k].as_buffer(), np.uint64) for k in order.tolist()]
+        size = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(sets)), size)
+        term = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        first = np.cumsum(size) - size
+        posting = row[np.argsort(term, kind="stable")]
+        bound = np.concatenate([[0], np.cumsum(np.bincount(term))])
+        names, local, count = np.unique(comp, return_inverse=True, return_counts=True)
+        local = local.copy()
+        a, b = [], []
+        for k in np.flatnonzero(local != np.argmax(count)).tolist():
+            own = term[first[k] : first[k] + size[k]]
+            n = bound[own + 1] - bound[own]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bound[own], n)
+            both = np.bincount(posting[at], minlength=len(sets))
+            linked = (100 * both >= percent * (size + size[k] - both)) & (local != local[k])
+            if key[1] != key[2]:
+                linked &= block != block[k]
+            for other in np.flatnonzero(linked).tolist():
+                if local[other] != local[k]:
+                    local[local == local[other]] = local[k]
+                    a.append(max(rep[k], rep[other]))
+                    b.append(min(rep[k], rep[other]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def _cluster_links(members: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The links between components that share a bucket (a spanning set of them in every pair of blocks)."""
+    placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("rep").alias("low")).where("x < y")
+    open_ = materialise(placed.join(several.select("key", "low"), "key").select("rep", "component", "low").distinct(), "open")
+    cluster = connected_components(open_.select(F.col("rep").alias("a"), F.col("low").alias("b")))
+    rows = (open_.select("rep", "component").distinct().join(cluster.select(F.col("id").alias("rep"), F.col("component").alias("cluster")), "rep")
+            .join(sets.withColumnRenamed("id", "rep"), "rep"))
+    blocks_of = rows.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("shingles")) / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
+    rows = rows.join(blocks_of, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block", "shingles")
+    return rows.groupBy("cluster", "lo", "hi").applyInArrow(_linker(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``.
 
@@ -183,21 +206,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     # Rows of one id with different texts are one vertex.
     links = materialise(_verified(pairs, sets, percent), "links")
     found = connected_components(links)
-    first, width = 0, 8
-    while True:
-        placed = members.drop("low").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep"))
-        split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        open_ = placed.join(split, "key").join(classes.groupBy("rep").agg(F.first("bands").alias("bands")), "rep")
-        proposed = materialise(open_.select("key", "rep", "component", "bands").groupBy("key").applyInArrow(
-            _propose(first, first + width), "a long, b long").distinct(), "proposed")
-        state = proposed.agg(F.count("a"), F.count("*")).first()
-        if state[0]:
-            links = links.unionByName(materialise(_verified(proposed.where("a is not null"), sets, percent), "links"))
-            found = connected_components(links)
-        if state[1] == state[0]:
-            break
-        first, width = first + width, width * 2
+    more = materialise(_cluster_links(members.drop("low"), sets, found, percent), "links")
+    found = connected_components(links.unionByName(more))
     where = classes.drop("bands").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("of_class"))
     # Rows of one id in several classes take the least component.
