@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlake.session import shared_dir
 
-# Folders written since the last release(), per application.
+# Folders written and not released, per application.
 _written: dict[str, list[str]] = {}
 
 
@@ -55,10 +55,18 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables written so far; call when their results are written."""
-    for path in _written.pop(spark.sparkContext.applicationId, []):
-        delete_folder(spark, path)
+def written(spark: SparkSession) -> list[str]:
+    """The folders of this application that are not released."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables; call when what was computed from them is written."""
+    own = _written.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path in own:
+            delete_folder(spark, path)
+            own.remove(path)
 
 
 def text_bytes(docs: DataFrame, text_col: str) -> int:

@@ -40,6 +40,21 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_chats(rows))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.warc import look_up, page_keys, write_archives, write_index
+
+    pages = table(spark, sf_dir, "pages")
+    folder, captures = write_archives(pages)
+    records = look_up(page_keys(pages), write_index(captures, folder), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlake.llm.packing import pack_documents
 
@@ -80,15 +95,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_chat_format": op2_chat_format,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_warc": op4_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_window_dedup": op9_window_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "pipeline": pipeline,
 }
 
 _OP2 = """
@@ -131,4 +155,14 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_chat_format": _OP2, "op10_line_dedup": _OP10}
+_OP4 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS latest FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN g.latest <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.latest <> p.page_id THEN g.latest END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
+"""
+
+ORACLE: dict[str, str] = {"op4_warc": _OP4, "op2_chat_format": _OP2, "op10_line_dedup": _OP10}

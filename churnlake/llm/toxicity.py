@@ -256,3 +256,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                 ["doc_id", "score", "predicted", "segments"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, f"doc_id long, score double, predicted int, segments {SEGMENTS}")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that the model scores below 0.5 (null and empty texts like any other)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            keep = [np.dot((1.0, *_features(n, s, m.lam, m.log_k, m.e_value)), m.curve) < 0 for n, s in _documents(batch.column(at), m.weights, m.drift)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
