@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from churnlake.llm import _chunks as C
 from churnlake.llm._text import BYTE_VALUE, blocks, rolling_hash, text_buffers
 
-GRAM = 25
+GRAM = 25  # so a string has 26 grams, and a reign fits 32 bits
 LEAD = 24  # bytes that the splitters compare: three tokens, fewer than GRAM
 SUFFIXES = "part int, chunk long, suffixes binary, reign binary, owner binary, ordinal binary"
 ANSWERS = "chunk long, ordinal binary, mask binary"
@@ -80,6 +80,9 @@ class _Chunk:
 
         Bytes that no such string covers are zero, so equal content gives equal rows.
         """
+        if len(which) > 1 << 15:  # bounded index arrays
+            parts = [self.suffixes(which[a : a + (1 << 15)]) for a in range(0, len(which), 1 << 15)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         at, span, before = self.at[which], self.span, self.span - 1
         start = at[:, None] - np.arange(span)
         own = (start >= 0) & (self.least[np.maximum(start, 0)] == self.gram[which][:, None])
@@ -98,18 +101,17 @@ def _rows_as_keys(reign: np.ndarray, text: np.ndarray) -> np.ndarray:
     return wide.view(np.dtype((np.void, wide.shape[1]))).ravel()
 
 
-def _equal_runs(tokens: list[np.ndarray]) -> np.ndarray:
-    """Run number of every string, equal exactly for equal strings: multikey quicksort on the tokens.
+def _equal_runs(strings: np.ndarray) -> np.ndarray:
+    """Run number of every string, equal exactly for equal strings: multikey quicksort on tokens of 8 bytes.
 
     The first token sorts all; then every run of equals is sorted by the next one.
     """
-    n = len(tokens[0])
-    run = np.zeros(n, np.int64)
-    todo = np.arange(n)
-    for token in tokens:
+    run = np.zeros(len(strings), np.int64)
+    todo = np.arange(len(strings))
+    for k in range(0, strings.shape[1], 8):
         if not len(todo):
             break
-        key = token[todo]
+        key = np.ascontiguousarray(strings[todo, k : k + 8]).view(">u8").ravel().astype(np.uint64)
         order = np.lexsort((key, run[todo]))
         todo, key = todo[order], key[order]
         old = run[todo]
@@ -142,8 +144,8 @@ def _earlier(reign: np.ndarray, text: np.ndarray, owner: np.ndarray, length: int
     for k in range(before + 1):
         at = o == k
         strings[at, :length] = text[one[who[at]], before - k : before - k + length]
-    tokens = strings.view(">u8").astype(np.uint64)
-    run = _equal_runs([np.ascontiguousarray(tokens[:, k]) for k in range(tokens.shape[1])])
+    run = _equal_runs(strings)
+    del strings
     least = np.full(run.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, run, owner[one][who])
     table = np.full((len(one), before + 1), np.iinfo(np.int64).max)
@@ -152,10 +154,10 @@ def _earlier(reign: np.ndarray, text: np.ndarray, owner: np.ndarray, length: int
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                          chunk_bytes: int = C.CHUNK_BYTES, part_bytes: int = 8 << 20) -> DataFrame:
+                          chunk_bytes: int = C.CHUNK_BYTES, part_bytes: int = 4 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, removed, kept``: one row per row of ``docs``.
 
-    A byte goes if a ``length``-byte string over it (``length`` from 48 to 88) also starts
+    A byte goes if a ``length``-byte string over it (``length`` from 25 to 56) also starts
     in a document with a smaller id; strings are judged on the input and never cross
     documents.  ``removed`` lists the maximal runs, ``kept`` holds the other bytes.  A null
     text is empty.  Rows of one id are not smaller than each other.  Rows without an id
@@ -198,18 +200,18 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_
                 at = np.flatnonzero(part == p)
                 out["part"].append(p)
                 out["suffixes"].append(text[at].tobytes())
-                out["reign"].append(reign[at].tobytes())
+                out["reign"].append(reign[at].astype(np.uint32).tobytes())
                 out["owner"].append(chunk.ids[chunk.doc[which[at]]].astype(np.int64).tobytes())
-                out["ordinal"].append(which[at].astype(np.int64).tobytes())
+                out["ordinal"].append(which[at].astype(np.uint32).tobytes())
         n = len(out["part"])
         return pa.table({"part": pa.array(out["part"], pa.int32()), "chunk": pa.array([key[0].as_py()] * n, pa.int64()),
                          **{k: pa.array(out[k], pa.binary()) for k in ("suffixes", "reign", "owner", "ordinal")}})
 
     def compare(group: pa.Table) -> pa.Table:
         load = lambda name, kind: [np.frombuffer(x, kind) for x in group[name].to_pylist()]
-        reign, owner, ordinal = load("reign", np.uint64), load("owner", np.int64), load("ordinal", np.int64)
+        reign, owner, ordinal = load("reign", np.uint32), load("owner", np.int64), load("ordinal", np.uint32)
         text = np.concatenate(load("suffixes", np.uint8)).reshape(-1, 2 * length - GRAM)
-        mask = _earlier(np.concatenate(reign), text, np.concatenate(owner), length)
+        mask = _earlier(np.concatenate(reign).astype(np.uint64), text, np.concatenate(owner), length)
         masks = np.split(mask, np.cumsum([len(r) for r in reign])[:-1])
         hit = [m != 0 for m in masks]
         return pa.table({"chunk": group["chunk"], "ordinal": pa.array([o[h].tobytes() for o, h in zip(ordinal, hit, strict=True)], pa.binary()),
@@ -227,7 +229,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_
             np.add.at(edge, start + length, -1)
 
         # What other chunks have: an answer holds for every anchor with the same suffix.
-        ordinal = np.concatenate([np.frombuffer(x, np.int64) for x in found["ordinal"].to_pylist()] or [np.empty(0, np.int64)])
+        ordinal = np.concatenate([np.frombuffer(x, np.uint32) for x in found["ordinal"].to_pylist()] or [np.empty(0, np.uint32)])
         if len(ordinal):
             mask = np.concatenate([np.frombuffer(x, np.uint64) for x in found["mask"].to_pylist()])
             which = np.flatnonzero(np.isin(chunk.gram, chunk.gram[ordinal]))
