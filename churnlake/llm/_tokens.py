@@ -79,7 +79,7 @@ def pre_token_starts(points: np.ndarray, row_starts: np.ndarray) -> np.ndarray:
 class WordTokenizer:
     """Ids of text columns; remembers up to ``remembered`` pre-tokens (then starts anew)."""
 
-    def __init__(self, tokenizer_json: str, remembered: int = 700_000):
+    def __init__(self, tokenizer_json: str, remembered: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -96,7 +96,7 @@ class WordTokenizer:
                 self.known[w] = array("I", e.ids).tobytes()
         return [self.known[w] for w in words]
 
-    def encode(self, column: pa.Array, end_id: int, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def encode(self, column: pa.Array, end_id: int, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(i, j, ids, ends): rows i to j's ids, ``end_id`` after each row, and where each row ends."""
         data, offsets = text_buffers(column)
         for i, j in blocks(offsets, limit):
