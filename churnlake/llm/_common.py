@@ -103,4 +103,5 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         last = state
     else:
         raise RuntimeError("components did not settle")
-    return cur.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component")
+    roots = cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return cur.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(roots)

@@ -51,19 +51,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = (held.select("h1", "h2", "id").distinct().groupBy("h1", "h2")
               .agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).drop("n"))
     drops = (held.join(shared, ["h1", "h2"]).where(F.col("id") != F.col("keeper"))
-             .groupBy("id", "mark").agg(F.collect_set("pos").alias("drop")))
-    # The join key and the dropped positions sit beside a struct of the row, so no name can clash.
-    out = (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), id_.alias("id"), mark.alias("mark"))
-           .join(drops, ["id", "mark"], "left"))
-    lines_now = _lines(F.col("row")[text_col])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines_now) - 1), F.col("drop"))
+             .groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set("pos").alias("__drop")))
+    # The join key and the dropped positions sit beside a struct of the row, under names with two underscores.
+    out = (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), id_.alias("__id"), mark.alias("__mark"))
+           .join(drops, ["__id", "__mark"], "left"))
+    lines_now = _lines(F.col("__row")[text_col])
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines_now) - 1), F.col("__drop"))
     kept_text = F.array_join(F.transform(kept, lambda i: F.get(lines_now, i)), "\n")
     names = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     return out.select(
-        *[F.col("row")[c].alias(c) for c in names],
-        F.when(F.col("drop").isNull(), F.col("row")[text_col]).otherwise(kept_text).alias(text_col),
+        *[F.col("__row")[c].alias(c) for c in names],
+        F.when(F.col("__drop").isNull(), F.col("__row")[text_col]).otherwise(kept_text).alias(text_col),
         F.size(lines_now).cast("long").alias("n_lines"),
-        F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_dropped"))
+        F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long").alias("n_dropped"))
 
 
 def line_digests(deduped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
