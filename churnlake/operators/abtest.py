@@ -85,8 +85,12 @@ def route(df: DataFrame, cfg: ABConfig, id_col: str = "customer_id", salt: str =
 
 def traffic_split(cfg_df: DataFrame) -> DataFrame:
     """Map model -> weight per config row, and its rows."""
-    m = F.create_map(F.col("model_a"), F.col("weight_a"), F.col("model_b"), F.col("weight_b"))
-    return cfg_df.select(F.explode(m).alias("model", "weight"))
+    same = F.col("model_a") == F.col("model_b")
+    one = F.array(F.struct(F.col("model_a").alias("model"), (F.col("weight_a") + F.col("weight_b")).alias("weight")))
+    two = F.array(F.struct(F.col("model_a").alias("model"), F.col("weight_a").alias("weight")),
+                  F.struct(F.col("model_b").alias("model"), F.col("weight_b").alias("weight")))
+    rows = F.filter(F.when(same, one).otherwise(two), lambda r: r["model"].isNotNull())
+    return cfg_df.select(F.inline(rows))
 
 
 def weights_from_gap(gap: Column) -> tuple[Column, Column]:

@@ -86,7 +86,7 @@ def validate_raw(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
 def request_reasons(df: DataFrame) -> Column:
     """V4: array of rejection reasons, in field order; empty when valid."""
     checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in S.REQUEST_REQUIRED]
-    checks += [F.when(F.col(c) < 0, F.lit(f"negative:{c}")) for c in S.REQUEST_NON_NEGATIVE]
+    checks += [F.when((F.col(c) < 0) | F.isnan(F.col(c).cast("double")), F.lit(f"negative:{c}")) for c in S.REQUEST_NON_NEGATIVE]
     return F.array_compact(F.array(*checks))
 
 

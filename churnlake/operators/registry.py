@@ -36,7 +36,7 @@ def registered_name(key: Column | str, prefix: str = S.MODEL_PREFIX) -> Column:
 def display_name(name: Column | str, prefix: str = S.MODEL_PREFIX) -> Column:
     """Strip the registry prefix for display."""
     n = F.col(name) if isinstance(name, str) else name
-    return F.when(n.startswith(prefix), F.substring(n, len(prefix) + 1, 1 << 20)).otherwise(n)
+    return F.when(n.startswith(prefix), F.substring(n, F.lit(len(prefix) + 1), F.length(n))).otherwise(n)
 
 
 _ROW = ("version", "run_id", "stage")

@@ -27,10 +27,9 @@ def with_split(df: DataFrame, id_col: str = "customerID", test_size: float = 0.2
 
 def train_test(df: DataFrame, id_col: str = "customerID", test_size: float = 0.2,
                salt: str = SPLIT_SALT) -> tuple[DataFrame, DataFrame]:
-    """M1: disjoint, complete parts."""
-    u = unit_hash(id_col, salt)
-    cut = F.lit(1.0 - test_size)
-    return df.filter(u < cut), df.filter(u >= cut)
+    """M1: disjoint, complete parts (``split_column``'s; a null id is a test row)."""
+    part = split_column(id_col, test_size, salt)
+    return df.filter(part == "train"), df.filter(part == "test")
 
 
 def evaluation_sample(df: DataFrame, id_col: str = "customerID") -> DataFrame:
@@ -39,7 +38,7 @@ def evaluation_sample(df: DataFrame, id_col: str = "customerID") -> DataFrame:
 
 
 def fold_column(id_col: str = "customerID", k: int = 5, salt: str = FOLD_SALT) -> Column:
-    return F.floor(unit_hash(id_col, salt) * k).cast("int")
+    return F.coalesce(F.floor(unit_hash(id_col, salt) * k).cast("int"), F.lit(0))
 
 
 def with_folds(df: DataFrame, id_col: str = "customerID", k: int = 5, salt: str = FOLD_SALT) -> DataFrame:

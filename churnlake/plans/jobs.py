@@ -61,19 +61,18 @@ def ingest(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
     written = spark.read.parquet(snap)
     stats = written.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("Churn") == "Yes").alias("churn_yes"),
-        F.count_if(F.col("Churn") == "No").alias("churn_no"),
         qual.churn_rate_expr().alias("churn_rate"),
         *[F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in written.columns],
     ).first()  # one row of counters (bounded)
     rows = int(stats["rows"])
+    labels = {r[0]: int(r[1]) for r in written.groupBy("Churn").count().collect()}  # one row per label
     high_null = [c for c in written.columns if rows and stats[f"null__{c}"] / rows > S.HIGH_NULL_SHARE]
     meta = qual.dataset_summary(written, source=source)
     files.write_snapshot(meta, _p(base, "raw_meta"), run_ts, fmt="json")
-    qual.verify_written(spark.read.parquet(snap), rows)  # V7 (footer count)
+    qual.verify_written(spark.read.parquet(snap), raw.count())  # V7: the source's own count
     return {
         "rows": rows, "columns": len(written.columns), "churn_rate": stats["churn_rate"],
-        "label_distribution": {"Yes": int(stats["churn_yes"]), "No": int(stats["churn_no"])},
+        "label_distribution": labels,
         "high_null_columns": high_null, "snapshot": snap,
     }
 
@@ -191,10 +190,11 @@ def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
     test = spl.evaluation_sample(feat.fill_missing(feats))  # M2 = M1's test part (D6)
     comparison, failed = mdl.compare_production(models, test)
     named = comparison.withColumn("name", reg.registered_name("model"))
-    ranked = met.rank_models(named, list(models))
+    ranked = met.rank_models(named, [k for k in S.MODEL_KEYS if k in models] + sorted(set(models) - set(S.MODEL_KEYS)))
     weights = ab.derive_ab_weights(ranked)
     cfg_doc = docs.ab_config_document(weights, named.select("name", "f1_score", "roc_auc"), run_ts)
-    docs.write_ab_config(cfg_doc, _p(base, "ab_config"))
+    if weights.first()["status"] == "updated":  # else the stored configuration stays
+        docs.write_ab_config(cfg_doc, _p(base, "ab_config"))
     report = reports.evaluation_report(
         prod, named.select("name", "f1_score"), named.select("name", "roc_auc"), ranked
     )
@@ -206,6 +206,9 @@ def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
 
 def load_ab_config(spark: SparkSession, base: str) -> ab.ABConfig:
     """Serving reads the stored configuration (one small document)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_p(base, "ab_config"))
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return ab.ABConfig()
     doc = spark.read.json(_p(base, "ab_config")).first()
     if doc is None or doc["status"] != "updated":
         return ab.ABConfig()

@@ -335,7 +335,7 @@ def compare_production(models: dict[str, PipelineModel], test: DataFrame) -> tup
             m.transform(test.limit(1)).select("probability").collect()
             ok[name] = m
         except Exception as e:  # noqa: BLE001 - recorded, not hidden
-            failed.append((name, f"{type(e).__name__}: {e}"[:500]))
+            failed.append((name, f"{type(e).__name__}: {e}"))
     if not ok:
         raise ValueError("no production model could be evaluated")
     return evaluate(long_predictions(ok, test)), failed

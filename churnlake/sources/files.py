@@ -35,13 +35,15 @@ def snapshot_key_col(ts: str = "ts"):
 
 # --- S1 / S2 -----------------------------------------------------------------
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """Header CSV with an explicit schema.
+    """Header CSV, its columns bound by name and cast to the schema's types.
 
+    Columns that the schema lacks are ignored; a column that the file lacks is absent
+    from the result, so V1 fails on it.  A field that is not of its type is null.
     Empty fields are null; a single space is kept as text (D15), so the
     blank TotalCharges survives to the numeric coercion of P2.
     """
-    return (
-        spark.read.schema(schema)
+    raw = (
+        spark.read
         .option("header", True)
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
@@ -49,6 +51,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SC
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns])
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -70,7 +73,7 @@ def write_snapshot(df: DataFrame, base: str, run_ts: _dt.datetime, fmt: str = "p
 
 
 def list_snapshots(spark: SparkSession, base: str) -> list[str]:
-    """Snapshot keys under ``base`` from a directory listing (metadata only)."""
+    """Keys of the complete snapshots (with ``_SUCCESS``) under ``base``, from directory listings only."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(base)
@@ -80,7 +83,7 @@ def list_snapshots(spark: SparkSession, base: str) -> list[str]:
     keys = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("snapshot="):
+        if st.isDirectory() and name.startswith("snapshot=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             keys.append(name.split("=", 1)[1])
     return sorted(keys)
 
