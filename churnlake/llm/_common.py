@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import churnlake
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Arrow batches of few rows for what is run inside: whole texts, whose batches else take tens of MB in both processes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

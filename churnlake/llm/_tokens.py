@@ -7,6 +7,7 @@ one is encoded by ``tokenizers`` and remembered.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
 import unicodedata
@@ -96,7 +97,7 @@ class WordTokenizer:
                 self.known[w] = array("I", e.ids).tobytes()
         return [self.known[w] for w in words]
 
-    def encode(self, column: pa.Array, end_id: int, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def encode(self, column: pa.Array, end_id: int, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(i, j, ids, ends): rows i to j's ids, ``end_id`` after each row, and where each row ends."""
         data, offsets = text_buffers(column)
         for i, j in blocks(offsets, limit):
@@ -127,3 +128,15 @@ class WordTokenizer:
             index += np.arange(len(index), dtype=np.int32)
             ends = word_ends[row_ends - 1].astype(np.int64)
             yield i, j, flat[index], ends
+
+
+_loaded: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(tokenizer_json: str) -> WordTokenizer:
+    """The tokenizer of this Python worker: parsed once, then shared by its tasks; only the last one is held."""
+    key = hashlib.sha1(tokenizer_json.encode()).hexdigest()
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = WordTokenizer(tokenizer_json)
+    return _loaded[key]

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.llm._common import materialise
-from churnlake.llm._tokens import WordTokenizer
+from churnlake.llm._common import materialise, small_batches
+from churnlake.llm._tokens import word_tokenizer
 
 SEQ_LEN = 2048
 GROUPS = 1024
@@ -47,7 +47,8 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN, e
     vocabulary = spark.sparkContext.broadcast(tokenizer_json)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(vocabulary.value)
+        pa.default_memory_pool().release_unused()  # what earlier stages left in this worker
+        tokenizer = word_tokenizer(vocabulary.value)
         for batch in batches:
             ids = batch.column(0)
             for i, j, tokens, ends in tokenizer.encode(batch.column(1), end_id):
@@ -257,5 +258,6 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN,
 
     An empty table gives no rows.  Columns other than the id and the text are ignored.
     """
-    pieces = materialise(token_pieces(docs, tokenizer_json, seq_len, 0, id_col, text_col), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialise(token_pieces(docs, tokenizer_json, seq_len, 0, id_col, text_col), "pieces")
     return pack_pieces(pieces, seq_len, groups)
