@@ -3,16 +3,9 @@
 The version table (name, version, run_id, stage) stands in for the model
 registry.  ``version`` is a string and is compared as an integer.
 
-Per-name argmax (W1, W2) in three steps, none of which shuffles or sorts
-the version table:
-
-1. a hash aggregate per name of numeric maxima only (map-side combined, so a
-   name holding a third of all versions costs one partial row per mapper);
-2. that one-row-per-name table is broadcast after a size check and an inner
-   join keeps the rows that carry the maximum (no shuffle of the big side);
-3. ``max_by`` with the struct key (a sort-based aggregate, as its buffer is a
-   struct) runs only on those few rows, so ties and nulls resolve exactly as
-   a ``max_by`` over the whole table would.
+Per-name argmax (W1, W2) is one ``max_by`` aggregate: one scan, combined map-side, so a
+name that holds a third of all versions costs one partial row per mapper.  Equal versions
+of a name fall to the greater (run_id, stage).
 """
 
 from __future__ import annotations
@@ -42,13 +35,11 @@ def display_name(name: Column | str, prefix: str = S.MODEL_PREFIX) -> Column:
 _ROW = ("version", "run_id", "stage")
 
 
-def _winners(keyed: DataFrame, best: DataFrame, match: Column) -> tuple[DataFrame, bool]:
-    """Rows of ``keyed`` that carry their name's maximum (step 2), and
-    whether the per-name table passed the broadcast size check."""
-    from churnlake.operators.joins import checked_broadcast
-
-    side, small = checked_broadcast(best)
-    return keyed.join(side, "name", "inner").filter(match), small
+def _argmax(versions: DataFrame, *key: Column) -> DataFrame:
+    """Per name the row of the greatest key; rows whose whole key is null do not count."""
+    order = F.struct(*key, F.col("run_id"), F.col("stage"))
+    order = F.when(F.coalesce(*[k.cast("string") for k in key]).isNotNull(), order)
+    return versions.groupBy("name").agg(F.max_by(F.struct(*_ROW), order).alias("r")).select("name", *[f"r.{c}" for c in _ROW])
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
@@ -57,40 +48,17 @@ def latest_versions(versions: DataFrame) -> DataFrame:
     Rows whose version is not a number are ignored; a name with no numeric
     version gives one row of nulls.
     """
-    keyed = versions.select("name", *_ROW, version_number().alias("_v"))
-    best = keyed.groupBy("name").agg(F.max("_v").alias("_bv"))
-    won, small = _winners(keyed, best, F.col("_v") == F.col("_bv"))
-    picked = won.groupBy("name").agg(F.max_by(F.struct(*_ROW), F.col("_v")).alias("r"))
-    # ``picked`` has at most one row per name of ``best``: within the checked bound.
-    picked = F.broadcast(picked) if small else picked
-    return best.select("name").join(picked, "name", "left").select("name", *[f"r.{c}" for c in _ROW])
+    return _argmax(versions, version_number())
 
 
 def serving_versions(versions: DataFrame) -> DataFrame:
     """Per name, the highest Production version, else the highest version.
 
-    The order is (is Production, version as int), nulls lowest.  The flag has
-    three values (1, 0, null), so step 1 keeps the top flag and the highest
-    version under each flag value: all numeric maxima.
+    The order is (is Production, version as int), nulls lowest.
     """
     is_prod = (F.col("stage") == "Production").cast("int")
-    keyed = versions.select("name", *_ROW, is_prod.alias("_p"), version_number().alias("_v"))
-    p, v = F.col("_p"), F.col("_v")
-    best = keyed.groupBy("name").agg(
-        F.max(p).alias("_bp"),
-        F.max(F.when(p == 1, v)).alias("_v1"),
-        F.max(F.when(p == 0, v)).alias("_v0"),
-        F.max(F.when(p.isNull(), v)).alias("_vn"),
-    ).select(
-        "name", "_bp",
-        F.when(F.col("_bp") == 1, F.col("_v1")).when(F.col("_bp") == 0, F.col("_v0"))
-        .otherwise(F.col("_vn")).alias("_bv"),
-    )
-    won, _ = _winners(keyed, best, p.eqNullSafe(F.col("_bp")) & v.eqNullSafe(F.col("_bv")))
-    picked = won.groupBy("name").agg(F.max_by(F.struct(*_ROW), F.struct(p, v)).alias("r"))
-    return picked.select("name", *[f"r.{c}" for c in _ROW]).withColumn(
-        "resolved_by", F.when(F.col("stage") == "Production", "Production").otherwise("latest")
-    )
+    return _argmax(versions, F.coalesce(is_prod, F.lit(-1)), version_number()).withColumn(
+        "resolved_by", F.when(F.col("stage") == "Production", "Production").otherwise("latest"))
 
 
 def production_versions(versions: DataFrame) -> DataFrame:
@@ -117,18 +85,14 @@ def promote_latest(versions: DataFrame, chosen_names: DataFrame) -> DataFrame:
     """W3 driven by data: promote the latest version of each name in
     ``chosen_names`` (one row per chosen name, e.g. the champion).
 
-    The chosen versions are a per-name aggregate joined back on ``name``;
-    no value passes through the driver.  A name may hold a third of all
-    versions, so neither join shuffles ``versions`` on ``name``: the chosen
-    names are broadcast after a size check, and the per-name targets (at
-    most one row per chosen name, so within the same bound) with them.
+    The chosen versions are a per-name aggregate joined back on ``name``; no
+    value passes through the driver.  The joins carry no hint: the planner
+    broadcasts the short side by its measured size, and AQE splits a hot name.
     """
-    from churnlake.operators.joins import checked_broadcast
-
-    names, small = checked_broadcast(chosen_names.select("name").distinct())
+    names = chosen_names.select("name").distinct()
     latest = latest_versions(versions.join(names, "name", "left_semi"))
     target = latest.select("name", F.col("version").alias("_promote_version"))
-    joined = versions.join(F.broadcast(target) if small else target, "name", "left")
+    joined = versions.join(target, "name", "left")
     chosen = F.col("_promote_version").isNotNull()
     stage = (
         F.when(chosen & (F.col("version") == F.col("_promote_version")), "Production")

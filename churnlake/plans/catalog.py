@@ -679,14 +679,6 @@ def q_evaluation_report(spark, sf_dir):
     )
 
 
-# --- 2.1 S9: object listing (rows-only: file sizes are not SQL-visible) ----------
-@register("object_listing")
-def q_object_listing(spark, sf_dir):
-    from churnlake.sources import files
-
-    return files.list_objects(spark, sf_dir, "*.parquet")
-
-
 # --- 2.8 T1: streaming counters, checked against the batch SQL -------------------
 @register(
     "stream_ab_stats",
@@ -790,3 +782,7 @@ def q_model_traffic(spark, sf_dir):
         F.col("version").alias("model_version"), "stage",
     )
     return ab.model_traffic(sv)
+
+
+# --- 2.1 sinks and sources: written and read back -------------------------------
+from churnlake.plans import roundtrips  # noqa: E402, F401

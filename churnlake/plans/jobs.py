@@ -4,6 +4,7 @@ Layout under one base folder (a shared cluster path)::
 
     raw/snapshot=<key>/            K1  raw rows as Parquet (written once)
     raw_meta/snapshot=<key>/       K1  dataset metadata (S7)
+    raw_malformed/snapshot=<key>/  K1  rows with a field that is not of its type
     features/snapshot=<key>/       K2  27-column feature table (S6)
     feature_schema/snapshot=<key>/ K2  feature schema document (S8)
     models/<key>/<model>/          K3  one PipelineModel per model (M10)
@@ -13,6 +14,9 @@ Layout under one base folder (a shared cluster path)::
     artifacts/<key>/...            K3  importance and confusion CSVs (S14)
     ab_config/                     K4  current A/B config (S12), overwritten
     reports/snapshot=<key>/        K4  evaluation report (S13)
+    predictions/snapshot=<key>/    K5  scored requests
+    rejects/snapshot=<key>/        K5  rejected requests with their reasons (V4)
+    prediction_log/snapshot=<key>/ K5  one row per scored request (input of T1)
     status/                        K6  run status rows by execution date (S10)
 
 Every snapshot is written once; "latest" is a partition filter (S4).
@@ -37,7 +41,7 @@ from churnlake.operators import quality as qual
 from churnlake.operators import registry as reg
 from churnlake.operators import split as spl
 from churnlake.plans import models as mdl
-from churnlake.plans import reports
+from churnlake.plans import reports, serving
 from churnlake.sources import documents as docs
 from churnlake.sources import files
 
@@ -67,13 +71,15 @@ def ingest(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
     rows = int(stats["rows"])
     labels = {r[0]: int(r[1]) for r in written.groupBy("Churn").count().collect()}  # one row per label
     high_null = [c for c in written.columns if rows and stats[f"null__{c}"] / rows > S.HIGH_NULL_SHARE]
+    malformed = spark.read.schema(files.MALFORMED_SCHEMA).json(
+        files.write_snapshot(files.malformed_rows(spark, raw_csv), _p(base, "raw_malformed"), run_ts, fmt="json")).count()
     meta = qual.dataset_summary(written, source=source)
     files.write_snapshot(meta, _p(base, "raw_meta"), run_ts, fmt="json")
     qual.verify_written(spark.read.parquet(snap), raw.count())  # V7: the source's own count
     return {
         "rows": rows, "columns": len(written.columns), "churn_rate": stats["churn_rate"],
         "label_distribution": labels,
-        "high_null_columns": high_null, "snapshot": snap,
+        "high_null_columns": high_null, "malformed": malformed, "snapshot": snap,
     }
 
 
@@ -216,6 +222,34 @@ def load_ab_config(spark: SparkSession, base: str) -> ab.ABConfig:
                        float(doc["champion"]["weight"]), float(doc["challenger"]["weight"]), True).normalised()
 
 
+# --- K5 -------------------------------------------------------------------------
+def score(spark: SparkSession, base: str, requests: DataFrame, run_ts: _dt.datetime) -> dict:
+    """K5: stored models and A/B config -> V4 -> R1 -> M13 -> predictions, rejects and a prediction log.
+
+    A name whose serving version cannot be loaded is recorded and its rows go to the first loaded model.
+    """
+    info = reg.serving_versions(files.read_latest(spark, _p(base, "registry")))
+    models: dict[str, PipelineModel] = {}
+    failed: list[tuple[str, str]] = []
+    for r in sorted(info.collect(), key=lambda r: r["name"]):  # one row per model name (bounded)
+        try:
+            models[r["name"]] = mdl.load(_p(base, "models", r["run_id"].split("-")[1], r["name"][len(S.MODEL_PREFIX):]), S.ALL_FEATURES)
+        except Exception as e:  # noqa: BLE001 - recorded
+            failed.append((r["name"], f"{type(e).__name__}: {e}"))
+    if not models:
+        raise FileNotFoundError(f"no model of {base} can be loaded: {failed}")
+    cfg = load_ab_config(spark, base)
+    predictions = files.write_snapshot(serving.score_requests(requests, models, cfg, info, run_ts), _p(base, "predictions"), run_ts)
+    rejects = files.write_snapshot(serving.rejected_requests(requests), _p(base, "rejects"), run_ts)
+    written = spark.read.parquet(predictions)
+    log = written.select(
+        F.xxhash64("customer_id", "timestamp").alias("request_id"), F.col("timestamp").alias("ts"), "customer_id",
+        F.lit(None).cast("double").alias("latency_ms"), F.lit("batch").alias("endpoint"), "model", "ab_group")
+    files.write_snapshot(log, _p(base, "prediction_log"), run_ts)
+    return {"scored": written.count(), "rejected": spark.read.parquet(rejects).count(), "models": list(models), "failed": failed,
+            "predictions": predictions}
+
+
 # --- K6 -------------------------------------------------------------------------
 def full_run(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
              keys: list[str] | None = None, with_cv: bool = True) -> dict:

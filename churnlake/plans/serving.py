@@ -8,11 +8,14 @@ narrow projection or filter: the only data movement is the scan itself.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake import schemas as S
+from churnlake.functions import ntz_lit
 from churnlake.operators import abtest as ab
 from churnlake.operators import explain as xpl
 from churnlake.operators import quality as qual
@@ -40,8 +43,8 @@ def _score_routed(routed: DataFrame, models: dict[str, PipelineModel], names: li
 
 
 def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: ab.ABConfig,
-                   model_info: DataFrame | None = None) -> DataFrame:
-    """Valid requests -> routed, scored, presented predictions.
+                   model_info: DataFrame | None = None, run_ts: _dt.datetime | None = None) -> DataFrame:
+    """Valid requests -> routed, scored, presented predictions (with ``timestamp`` if ``run_ts`` is given).
 
     ``models`` maps registry names to fitted pipelines; a routed name that is
     not loaded falls back to the first loaded model (as the reference does).
@@ -62,7 +65,14 @@ def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: a
     )
     if model_info is not None:
         out = xpl.lookup_model_info(out, model_info, default_name=default, loaded=list(models))
-    return out
+    return out if run_ts is None else out.withColumn("timestamp", ntz_lit(run_ts))
+
+
+def routed_requests(requests: DataFrame, cfg: ab.ABConfig, model_info: DataFrame, loaded: list[str]) -> DataFrame:
+    """R1 + J2 of the valid requests: route, and the version that serves each row."""
+    valid, _ = qual.split_valid(requests)
+    routed = ab.route(valid.select("customer_id"), cfg)
+    return xpl.lookup_model_info(routed, model_info, default_name=loaded[0], loaded=loaded)
 
 
 def rejected_requests(requests: DataFrame) -> DataFrame:

@@ -57,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:
             configured = None
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="churnlake-shared-")
     sc.setCheckpointDir(configured)

@@ -54,6 +54,20 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SC
     return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns])
 
 
+MALFORMED_SCHEMA = "customerID string, field string, value string"
+
+
+def malformed_rows(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+    """S1's null fields that held text: (customerID, field, value), one row per such field."""
+    raw = spark.read.option("header", True).option("nullValue", "").csv(path)
+    typed = [f for f in schema.fields if f.name in raw.columns and not isinstance(f.dataType, T.StringType)]
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("field"), F.col(f"`{f.name}`").alias("value"))) for f in typed]
+    if not bad:
+        return spark.createDataFrame([], MALFORMED_SCHEMA)
+    return raw.select("customerID", F.inline(F.array_compact(F.array(*bad))))
+
+
 def write_raw_csv(df: DataFrame, path: str) -> None:
     """Overwrite the 'latest' raw copy."""
     (df.write.mode("overwrite").option("header", True).option("nullValue", "")

@@ -8,11 +8,8 @@ fixed, already-fitted pipelines and a fixed A/B configuration.
   to the shared folder; micro-batches read that table instead of
   re-aggregating all orders on every trigger.  (A new snapshot of the facts
   is taken by restarting the stream.)
-* A micro-batch holds at most what one trigger admits (``maxFilesPerTrigger``
-  bounds it), so its customer keys are broadcast after a size check and the
-  facts table is cut to those keys with a broadcast semi join: a narrow scan,
-  the facts are never shuffled per batch.  A batch above the bound falls
-  back to a shuffle join.
+* A micro-batch's facts are those of its customers (a semi join that the planner
+  broadcasts by the keys' measured size); ``maxFilesPerTrigger`` bounds a batch.
 * Each micro-batch is scored by the batch code (``foreachBatch``) and written
   under ``batch_id=<n>`` with overwrite, so a replayed batch replaces its own
   output instead of duplicating it.
@@ -20,8 +17,6 @@ fixed, already-fitted pipelines and a fixed A/B configuration.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +27,8 @@ from churnlake import fixtures as fx
 from churnlake.operators import abtest as ab
 from churnlake.plans import serving
 
+MAX_FILES = 1000  # files that one trigger admits
+
 
 def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parquet",
                     max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,24 +39,15 @@ def customer_stream(spark: SparkSession, folder: str, glob: str = "customer.parq
     return reader.parquet(folder)
 
 
-def facts_for_batch(facts: DataFrame, batch: DataFrame,
-                    max_rows: int | None = None) -> tuple[DataFrame, Callable[[], None]]:
-    """The order-facts rows of the batch's customers, and a ``release()`` for
-    the cached keys (call it once the batch's output is written)."""
-    from churnlake.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast_scoped
-
-    keys, small, release = checked_broadcast_scoped(
-        batch.select(F.col("c_custkey").alias("o_custkey")).distinct(), max_rows or MAX_BROADCAST_ROWS)
-    if not small:
-        return facts, release
-    # ``facts`` has one row per key, so the cut is within the checked bound.
-    return F.broadcast(facts.join(keys, "o_custkey", "left_semi")), release
+def facts_for_batch(facts: DataFrame, batch: DataFrame) -> DataFrame:
+    """The order-facts rows of the batch's customers."""
+    return facts.join(batch.select(F.col("c_custkey").alias("o_custkey")).distinct(), "o_custkey", "left_semi")
 
 
 def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineModel], cfg: ab.ABConfig,
                   out_path: str, checkpoint: str, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Customer stream -> requests -> V4 -> P18 -> R1 -> M8 -> sink."""
+                  max_files_per_trigger: int = MAX_FILES) -> StreamingQuery:
+    """Customer stream -> requests -> V4 -> P18 -> R1 -> M8 -> sink; rejects go to ``<out_path>-rejects``."""
     from churnlake.session import write_shared
 
     facts = write_shared(fx.order_facts(spark, folder), "order_facts")
@@ -67,15 +55,12 @@ def start_scoring(spark: SparkSession, folder: str, models: dict[str, PipelineMo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
-        release = None
         try:
-            batch_facts, release = facts_for_batch(facts, batch)
-            requests = fx.requests(spark, folder, customers=batch, facts=batch_facts)
-            scored = serving.score_requests(requests, models, cfg)
-            scored.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+            requests = fx.requests(spark, folder, customers=batch, facts=facts_for_batch(facts, batch))
+            path = out_path.rstrip("/")
+            serving.score_requests(requests, models, cfg).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            serving.rejected_requests(requests).write.mode("overwrite").parquet(f"{path}-rejects/batch_id={batch_id}")
         finally:
-            if release is not None:
-                release()
             batch.unpersist()
 
     w = customers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)

@@ -129,19 +129,6 @@ def test_model_lookup_falls_back_to_first_loaded(spark):
     assert out == {"c1": ("m_b", "7"), "c2": ("m_a", "3")}
 
 
-def test_checked_broadcast_falls_back_beyond_bound(spark):
-    from churnlake.operators.joins import checked_broadcast
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 1000, 100).withColumnRenamed("id", "k")
-    side, hinted = checked_broadcast(small, max_rows=10)
-    assert hinted
-    assert big.join(side, "k", "left_semi").count() == 10
-    side, hinted = checked_broadcast(small, max_rows=9)
-    assert not hinted
-    assert big.join(side, "k", "left_semi").count() == 10
-
-
 def _max_by_reference(versions, key):
     """The direct formulation: one max_by over the whole table."""
     from pyspark.sql import functions as F
@@ -178,7 +165,7 @@ def test_registry_argmax_equals_whole_table_max_by(spark):
 
 
 def test_registry_reads_are_not_stale_after_overwrite(spark, tmp_dir):
-    """The size check snapshots at call time and caches nothing."""
+    """Nothing is cached between calls."""
     import os
 
     path = os.path.join(tmp_dir, "versions")
@@ -189,14 +176,27 @@ def test_registry_reads_are_not_stale_after_overwrite(spark, tmp_dir):
     assert reg.latest_versions(spark.read.parquet(path)).first().version == "2"
 
 
-def test_scoped_checked_broadcast_releases_its_cache(spark):
-    from churnlake.operators.joins import checked_broadcast_scoped
+def test_traffic_split_of_null_and_equal_names(spark):
+    rows = [("a", None, 0.8, 0.2, True), ("a", "a", 0.8, 0.2, True), ("a", "b", 0.8, 0.2, True)]
+    got = [(r.model, r.weight) for r in ab.traffic_split(spark.createDataFrame(rows, S.AB_CONFIG_SCHEMA)).collect()]
+    assert got == [("a", 0.8), ("a", 1.0), ("a", 0.8), ("b", 0.2)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from churnlake.session import shared_dir
+
+    class Fake:
+        master = "spark://host:7077"
+        sparkContext = conf = property(lambda self: self)
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, *_):
+            return None
 
-    small = spark.range(0, 50).withColumnRenamed("id", "k")
-    side, hinted, release = checked_broadcast_scoped(small, max_rows=100)
-    assert hinted and spark.range(1000).withColumnRenamed("id", "k").join(side, "k", "left_semi").count() == 50
-    release()
-    assert not small.limit(101).storageLevel.useMemory
-    side, hinted, release = checked_broadcast_scoped(small, max_rows=10)
-    assert not hinted
-    release()
+    with pytest.raises(RuntimeError):
+        shared_dir(Fake())

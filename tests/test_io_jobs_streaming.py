@@ -141,17 +141,42 @@ def test_train_job_records_cv(spark, tmp_dir):
     assert {"cv_f1_mean", "cv_f1_std", "f1_score", "roc_auc"} <= keys
 
 
-def test_batch_facts_cut_and_fallback_agree(spark):
+def test_batch_facts_are_those_of_its_customers(spark):
     from churnlake.streaming import scoring as sscore
 
     facts = fx.order_facts(spark, SF_SMALL)
     batch = fx.table(spark, SF_SMALL, "customer").filter(F.col("c_custkey") % 2 == 0)
-    cut, release_cut = sscore.facts_for_batch(facts, batch)
-    full, release_full = sscore.facts_for_batch(facts, batch, max_rows=5)
-    try:
-        a = fx.requests(spark, SF_SMALL, customers=batch, facts=cut).collect()
-        b = fx.requests(spark, SF_SMALL, customers=batch, facts=full).collect()
-        assert len(a) == batch.count() and sorted(a) == sorted(b)
-    finally:
-        release_cut()
-        release_full()
+    a = fx.requests(spark, SF_SMALL, customers=batch, facts=sscore.facts_for_batch(facts, batch)).collect()
+    b = fx.requests(spark, SF_SMALL, customers=batch, facts=facts).collect()
+    assert len(a) == batch.count() and sorted(a) == sorted(b)
+
+
+def test_malformed_fields_are_recorded(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bad.csv")
+    spark.createDataFrame([("a", "x", "1.5"), ("b", "3", None), ("c", "1.5", "z")], "customerID string, tenure string, MonthlyCharges string").coalesce(1) \
+        .write.option("header", True).csv(path)
+    got = sorted(tuple(r) for r in files.malformed_rows(spark, path).collect())
+    assert ("a", "tenure", "x") in got and ("c", "MonthlyCharges", "z") in got and not any(g[0] == "b" for g in got)
+
+
+def test_scoring_job_follows_the_stored_config(spark, tmp_dir):
+    csv = os.path.join(tmp_dir, "k5.csv")
+    files.write_raw_csv(fx.raw_customers(spark, SF_SMALL), csv)
+    base = os.path.join(tmp_dir, "lake_k5")
+    ts = dt.datetime(2024, 3, 3)
+    jobs.ingest(spark, csv, base, ts, min_rows=100)
+    jobs.build_features(spark, base, ts)
+    jobs.train(spark, base, ts, keys=["logistic_regression"], with_cv=False)
+    requests = fx.requests(spark, SF_SMALL)
+    first = jobs.score(spark, base, requests, ts)
+    assert first["scored"] + first["rejected"] == requests.count() and not first["failed"]
+    seen = {r.model for r in spark.read.parquet(first["predictions"]).select("model").distinct().collect()}
+    assert seen == {S.DEFAULT_AB_MODEL_A, S.DEFAULT_AB_MODEL_B}
+    name = S.MODEL_PREFIX + "logistic_regression"
+    spark.createDataFrame([((name, 1.0), (name, 0.0), "updated")], "champion struct<name:string,weight:double>, challenger struct<name:string,weight:double>, status string") \
+        .coalesce(1).write.mode("overwrite").json(os.path.join(base, "ab_config"))
+    second = jobs.score(spark, base, requests, ts + dt.timedelta(days=1))
+    rows = spark.read.parquet(second["predictions"])
+    assert rows.filter(F.col("model") != name).count() == 0 and rows.filter(F.col("model_version") != "1").count() == 0
+    assert {"timestamp", "ab_group", "model_name"} <= set(rows.columns)
+    assert files.read_latest(spark, os.path.join(base, "prediction_log")).count() == second["scored"]

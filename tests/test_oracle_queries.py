@@ -49,7 +49,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle_or_is_model_stream_or_listing():
     missing = set(catalog.QUERIES) - set(catalog.ORACLE)
-    assert missing <= SLOW | {"object_listing"}
+    assert missing <= SLOW
 
 
 def test_entry_smoke(spark):

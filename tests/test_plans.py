@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 MODEL_QUERIES = {"train_lr", "train_rf", "train_gbt", "cross_validate", "model_importance", "score_batch",
-                 "score_explain", "stream_score", "stream_ab_stats", "object_listing"}
+                 "score_explain", "stream_score", "stream_ab_stats"}
 
 
 def _plan(spark, name):
@@ -36,11 +36,9 @@ def test_model_lookup_never_shuffles_rows_on_model_name(spark):
     assert not re.search(r"Exchange hashpartitioning\(model_name", plan)
 
 
-def test_promotion_joins_are_broadcast(spark):
-    plan = _plan(spark, "promote_model")
-    assert re.search(r"BroadcastHashJoin \[name#\d+\], \[name#\d+\], LeftOuter", plan)
-    assert re.search(r"BroadcastHashJoin \[name#\d+\], \[name#\d+\], LeftSemi", plan)
-    assert "SortMergeJoin" not in plan
+@pytest.mark.parametrize(("name", "scans"), [("latest_version", 1), ("serving_version", 1)])
+def test_registry_queries_scan_once(spark, name, scans):
+    assert _plan(spark, name).count("FileScan parquet") == scans
 
 
 def test_auc_has_no_single_partition_step(spark):
