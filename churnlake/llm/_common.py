@@ -53,7 +53,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
     """Arrow batches of few rows for what is run inside: whole texts, whose batches else take tens of MB in both processes."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
