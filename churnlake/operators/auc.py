@@ -3,7 +3,7 @@
 AUC = sum over positives of (negatives scored lower + half the negatives
 scored equal) / (P * N).  The prefix count of negatives in score order is
 computed in two levels so that no task holds a whole model, in one linear
-chain (no self-join, so the input is read and reduced once):
+chain (no self-join; the input is read for the quantile sketch and once more):
 
 1. collapse ties: one row per (group, score) with its positive and negative
    counts (partial aggregation map-side, so a score value shared by a third
@@ -45,12 +45,20 @@ def _bucket_splits(scores: DataFrame, score: str, n_buckets: int) -> list[float]
 
 def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "label",
             score: str = "probability", n_buckets: int = 1024) -> DataFrame:
-    """Per group: auc (null when one class is absent), positives, negatives, status."""
+    """Per group: auc (null when one class is absent), positives, negatives, status.
+
+    Rows whose score is null or NaN, or whose label is null, are ranked nowhere and turn
+    the status to ``invalid_rows``.
+    """
     group = list(group)
     y = F.col(label)
-    rows = long.filter(F.col(score).isNotNull() & y.isNotNull())
+    valid = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & y.isNotNull()
+    # Rows without a score or label count in no rank; they are reported by the status.
+    rows = long.select(*group, label, F.when(valid, F.col(score)).alias(score))
     splits = _bucket_splits(rows.select(score), score, n_buckets)
-    ties = rows.groupBy(*group, score).agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
+    ties = rows.groupBy(*group, score).agg(
+        F.count_if(F.col(score).isNotNull() & (y == 1)).alias("pos"), F.count_if(F.col(score).isNotNull() & (y != 1)).alias("neg"),
+        F.count_if(F.col(score).isNull()).alias("bad"))
     bucketed = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(
         ties.withColumn(score, F.col(score).cast("double"))
     )
@@ -60,6 +68,7 @@ def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "la
     per_bucket = local.groupBy(*group, "bucket").agg(
         F.sum("pos").alias("bucket_pos"),
         F.sum("neg").alias("bucket_neg"),
+        F.sum("bad").alias("bad"),
         F.sum(F.col("pos").cast(exact) * (2 * F.col("neg_before_local") + F.col("neg")).cast(exact)).alias("local2"),
     )
     before_bucket = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,6 +79,7 @@ def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "la
               * F.col("bucket_pos").cast(exact)).alias("num2"),
         F.sum("bucket_pos").alias("positives"),
         F.sum("bucket_neg").alias("negatives"),
+        F.sum("bad").alias("bad"),
     )
     pn2 = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     one_class = (F.col("positives") == 0) | (F.col("negatives") == 0)
@@ -78,5 +88,5 @@ def roc_auc(long: DataFrame, group: Sequence[str] = ("model",), label: str = "la
         F.when(one_class, F.lit(None).cast("double")).otherwise(F.col("num2").cast("double") / pn2).alias("roc_auc"),
         F.col("positives").cast("long").alias("positives"),
         F.col("negatives").cast("long").alias("negatives"),
-        F.when(one_class, "one_class").otherwise("ok").alias("status"),
+        F.when(one_class, "one_class").when(F.col("bad") > 0, "invalid_rows").otherwise("ok").alias("status"),
     )

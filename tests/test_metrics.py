@@ -93,3 +93,12 @@ def test_cv_summary_population_std(spark):
     df = spark.createDataFrame([("m", 0.5), ("m", 0.7)], "model string, f1_score double")
     r = met.cv_summary(df).first()
     assert abs(r.cv_f1_mean - 0.6) < 1e-12 and abs(r.cv_f1_std - 0.1) < 1e-12
+
+
+def test_auc_reports_rows_without_a_score(spark):
+    from churnlake.operators import auc
+
+    rows = [("m", 1, 0.9), ("m", 0, 0.1), ("m", 0, float("nan")), ("m", 1, None), ("m", None, 0.5), ("k", 1, 0.9), ("k", 0, 0.1)]
+    got = {r.model: (r.roc_auc, r.positives, r.negatives, r.status) for r in auc.roc_auc(
+        spark.createDataFrame(rows, "model string, label int, probability double")).collect()}
+    assert got == {"m": (1.0, 1, 1, "invalid_rows"), "k": (1.0, 1, 1, "ok")}
