@@ -11,7 +11,7 @@ Layout under one base folder (a shared cluster path)::
     registry/snapshot=<key>/       K3  model-version table after promotion (W1-W3)
     runs/{params,metrics,tags}/    K3  run tables (M11), appended
     summaries/snapshot=<key>/      K3  training summary (S11)
-    artifacts/<key>/...            K3  importance and confusion CSVs (S14)
+    artifacts/<key>/...            K3  importance and confusion CSVs (S14), classification report (A7)
     ab_config/                     K4  current A/B config (S12), overwritten
     reports/snapshot=<key>/        K4  evaluation report (S13)
     predictions/snapshot=<key>/    K5  scored requests
@@ -135,8 +135,9 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
                 cv[r["model"]] = (float(r["cv_f1_mean"]), float(r["cv_f1_std"]))
     finally:
         data.train.unpersist()
-    long = mdl.long_predictions(fitted, data.test)
-    metrics = mdl.evaluate(long)
+    # Written once: the metrics, AUC, reports and matrices below all read these rows.
+    long = mdl.materialise(mdl.long_predictions(fitted, data.test), "predictions")
+    metrics = mdl.evaluate(long, materialize=False)
     metrics_rows = [r.asDict() for r in metrics.collect()]  # one row per model (bounded)
     champion = met.champion(metrics, keys).first()["champion"]
 
@@ -151,7 +152,7 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
     promoted = reg.promote_latest(versions, chosen)
     files.write_snapshot(promoted, _p(base, "registry"), run_ts)
 
-    run = mdl.TrainingRun(fitted, metrics, cv, run_ids, data.n_train)
+    run = mdl.TrainingRun(fitted, metrics, cv, run_ids, data.n_train, long.filter(F.col("model") == keys[0]).count())
     mdl.run_params(spark, run, data).write.mode("append").parquet(_p(base, "runs", "params"))
     run_metrics = mdl.run_metrics(run)
     if cv:
@@ -170,7 +171,10 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
         files.write_csv_artifact(xpl.sorted_importance(imp).select("feature", "importance"),
                                  _p(base, "artifacts", key, k, "feature_importance"))
     cm = met.confusion_matrix(long)
+    report = met.classification_report(long)
     for k in keys:
+        files.write_json_record(report.filter(F.col("model") == k).drop("model"),
+                                _p(base, "artifacts", key, k, "classification_report"))
         files.write_csv_artifact(cm.filter(F.col("model") == k).drop("model"),
                                  _p(base, "artifacts", key, k, "confusion_matrix"))
     return TrainResult(champion, metrics_rows, cv, paths)
@@ -178,34 +182,42 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
 
 # --- K4 -------------------------------------------------------------------------
 def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
-    """K4: V5 -> M12 (on M1's test part, D6) -> W4 -> R7 -> S12 -> J3 -> S13."""
-    versions = files.read_latest(spark, _p(base, "registry"))
+    """K4: V5 -> M12 (on M1's test part, D6) -> W4 -> R7 -> S12 -> J3 -> S13.
+
+    A model that can't be loaded or scored is recorded in ``failed`` and in the report,
+    which is also written when no production model is left.
+    """
+    try:
+        versions = files.read_latest(spark, _p(base, "registry"))
+    except FileNotFoundError:
+        versions = spark.createDataFrame([], S.MODEL_VERSION_SCHEMA)
     prod = reg.production_versions(versions)
     prod_rows = prod.collect()  # one row per model name (bounded)
-    if not prod_rows:
-        return {"status": "no_models"}
     models: dict[str, PipelineModel] = {}
-    for r in prod_rows:
-        key = r["name"][len(S.MODEL_PREFIX):]
-        run_key = r["run_id"].split("-")[1]
-        try:
-            models[key] = mdl.load(_p(base, "models", run_key, key), S.ALL_FEATURES)
-        except Exception:  # noqa: BLE001 - a model that cannot load is skipped (M12)
-            continue
-    feats = files.read_latest(spark, _p(base, "features"))
-    test = spl.evaluation_sample(feat.fill_missing(feats))  # M2 = M1's test part (D6)
-    comparison, failed = mdl.compare_production(models, test)
+    failed: list[tuple[str, str]] = []
+    comparison = spark.createDataFrame([], mdl.METRICS)
+    if prod_rows:
+        feats = files.read_latest(spark, _p(base, "features"))
+        for r in prod_rows:
+            key = r["name"][len(S.MODEL_PREFIX):]
+            try:
+                models[key] = mdl.load(_p(base, "models", r["run_id"].split("-")[1], key), S.ALL_FEATURES, feats.schema)
+            except Exception as e:  # noqa: BLE001 - recorded (M12)
+                failed.append((key, f"{type(e).__name__}: {e}"))
+        test = spl.evaluation_sample(feat.fill_missing(feats))  # M2 = M1's test part (D6)
+        comparison, unscored = mdl.compare_production(models, test)
+        failed += unscored
     named = comparison.withColumn("name", reg.registered_name("model"))
     ranked = met.rank_models(named, [k for k in S.MODEL_KEYS if k in models] + sorted(set(models) - set(S.MODEL_KEYS)))
     weights = ab.derive_ab_weights(ranked)
-    cfg_doc = docs.ab_config_document(weights, named.select("name", "f1_score", "roc_auc"), run_ts)
-    if weights.first()["status"] == "updated":  # else the stored configuration stays
+    w = weights.first()
+    if w["status"] == "updated":  # else the stored configuration stays
+        cfg_doc = docs.ab_config_document(weights, named.select("name", "f1_score", "roc_auc"), run_ts)
         docs.write_ab_config(cfg_doc, _p(base, "ab_config"))
     report = reports.evaluation_report(
         prod, named.select("name", "f1_score"), named.select("name", "roc_auc"), ranked
     )
-    path = docs.write_report(report, _p(base, "reports"), run_ts)
-    w = weights.first()
+    path = docs.write_report(docs.report_document(report, w.asDict(), failed, run_ts), _p(base, "reports"), run_ts)
     return {"status": w["status"], "champion": w["champion"], "challenger": w["challenger"],
             "report": path, "failed": failed}
 

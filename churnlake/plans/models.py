@@ -23,6 +23,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnlake import schemas as S
 from churnlake.operators import auc as auc_ops
@@ -32,6 +33,7 @@ from churnlake.operators import split as spl
 from churnlake.operators.features import fill_missing
 
 SCALED_PREFIX = "z_"
+METRICS = "model string, accuracy double, precision double, recall double, f1_score double, roc_auc double"
 
 
 def scaling_stage(scaler: scl.FittedScaler, numeric: Sequence[str] = S.NUMERIC_FEATURES,
@@ -278,15 +280,19 @@ def save(model: PipelineModel, path: str, input_schema_json: str) -> None:
     )
 
 
-def load(path: str, expect_columns: Sequence[str] | None = None) -> PipelineModel:
-    """Load and check the saved signature against the expected inputs."""
+def load(path: str, expect_columns: Sequence[str] | None = None, expect_schema: StructType | None = None) -> PipelineModel:
+    """Load and check the saved signature against the expected inputs: their names and, with a schema, their types."""
     spark = SparkSession.getActiveSession()
     sig = spark.read.text(path.rstrip("/") + "_signature").first()
     if sig is not None and expect_columns is not None:
-        names = [f["name"] for f in json.loads(sig[0])["fields"]]
-        missing = [c for c in expect_columns if c not in names]
+        signed = {f.name: f.dataType.simpleString() for f in StructType.fromJson(json.loads(sig[0])).fields}
+        missing = [c for c in expect_columns if c not in signed]
         if missing:
             raise ValueError(f"model signature lacks {missing}")
+        given = {f.name: f.dataType.simpleString() for f in expect_schema.fields} if expect_schema is not None else {}
+        other = {c: (signed[c], given[c]) for c in expect_columns if c in given and given[c] != signed[c]}
+        if other:
+            raise ValueError(f"types differ from the model signature: {other}")
     return PipelineModel.load(path)
 
 
@@ -299,6 +305,7 @@ class TrainingRun:
     cv: dict[str, tuple[float, float]] = field(default_factory=dict)
     run_ids: dict[str, str] = field(default_factory=dict)
     n_train: int = 0
+    n_test: int = 0
 
 
 def run_params(spark: SparkSession, run: TrainingRun, data: PreparedData) -> DataFrame:
@@ -307,7 +314,7 @@ def run_params(spark: SparkSession, run: TrainingRun, data: PreparedData) -> Dat
     for key, model in run.models.items():
         rid = run.run_ids.get(key, key)
         rows += [(rid, "model_type", key), (rid, "n_features", str(len(S.ALL_FEATURES))),
-                 (rid, "train_samples", str(data.n_train))]
+                 (rid, "train_samples", str(data.n_train)), (rid, "test_samples", str(run.n_test))]
         est = model.stages[-1]
         for p, v in est.extractParamMap().items():
             if isinstance(v, (int, float, str, bool)):
@@ -326,16 +333,18 @@ def run_metrics(run: TrainingRun) -> DataFrame:
 def compare_production(models: dict[str, PipelineModel], test: DataFrame) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Evaluate every loadable production model on one test table.
 
-    A model whose scoring fails is skipped and recorded as (name, error).
+    Each model's predictions are written once.  A model that fails on any row is left out
+    of the comparison and recorded as (name, error); with no model left it is empty.
     """
-    ok: dict[str, PipelineModel] = {}
+    written: DataFrame | None = None
     failed: list[tuple[str, str]] = []
     for name, m in models.items():
         try:
-            m.transform(test.limit(1)).select("probability").collect()
-            ok[name] = m
+            part = materialise(long_predictions({name: m}, test), "predictions")
         except Exception as e:  # noqa: BLE001 - recorded, not hidden
             failed.append((name, f"{type(e).__name__}: {e}"))
-    if not ok:
-        raise ValueError("no production model could be evaluated")
-    return evaluate(long_predictions(ok, test)), failed
+            continue
+        written = part if written is None else written.unionByName(part)
+    if written is None:
+        return test.sparkSession.createDataFrame([], METRICS), failed
+    return evaluate(written, materialize=False), failed

@@ -67,6 +67,30 @@ def write_ab_config(doc: DataFrame, path: str) -> None:
     write_json_record(doc, path, "overwrite")
 
 
+def report_document(report: DataFrame, ab_weights: dict, failed: list[tuple[str, str]], run_ts: _dt.datetime) -> DataFrame:
+    """{generated_at, production_models, model_comparison, ab_configuration, failed_models, summary}, one row.
+
+    ``report`` is J3's table (one row per production model, perhaps none), ``ab_weights``
+    R7's one row, ``failed`` the models that could not be compared and why.
+    """
+    w = {k: F.lit(ab_weights[k]) for k in ("status", "champion", "champion_weight", "challenger", "challenger_weight")}
+    compared = F.when(F.col("f1_score").isNotNull(), F.struct("name", "f1_score", "roc_auc"))
+    return report.agg(
+        F.sort_array(F.collect_list(F.struct("name", "version", "run_id"))).alias("production_models"),
+        F.sort_array(F.collect_list(compared)).alias("model_comparison"),
+        F.struct(F.count(F.lit(1)).alias("total_models"), F.max("best_model").alias("best_model")).alias("summary"),
+    ).select(
+        ntz_lit(run_ts).alias("generated_at"), "production_models", "model_comparison",
+        F.struct(w["status"].alias("status"),
+                 F.struct(w["champion"].cast("string").alias("name"), w["champion_weight"].cast("double").alias("weight")).alias("champion"),
+                 F.struct(w["challenger"].cast("string").alias("name"), w["challenger_weight"].cast("double").alias("weight")).alias("challenger"),
+                 ).alias("ab_configuration"),
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(e).alias("error")) for n, e in failed])
+        .cast("array<struct<name:string,error:string>>").alias("failed_models"),
+        "summary",
+    )
+
+
 def write_report(doc: DataFrame, base: str, run_ts: _dt.datetime) -> str:
     """The evaluation report under its own ``snapshot=`` folder (write once)."""
     from churnlake.sources.files import snapshot_key

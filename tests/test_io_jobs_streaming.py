@@ -83,6 +83,44 @@ def test_full_run(spark, tmp_dir):
     reg_tbl = files.read_latest(spark, os.path.join(base, "registry"))
     assert reg_tbl.filter(F.col("stage") == "Production").count() == 1
     assert spark.read.json(os.path.join(base, "status")).count() == 2
+    report = spark.read.json(out["evaluate"]["report"]).first()
+    assert report.summary.total_models == 1 and report.summary.best_model == report.production_models[0].name
+    assert report.ab_configuration.status == "insufficient_models" and len(report.model_comparison) == 1
+    key = files.snapshot_key(dt.datetime(2024, 3, 1))
+    text = spark.read.json(os.path.join(base, "artifacts", key, "random_forest", "classification_report"))
+    assert {r["class"] for r in text.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    params = {r.value for r in spark.read.parquet(os.path.join(base, "runs", "params")).filter("key = 'test_samples'").collect()}
+    assert len(params) == 1 and 0 < int(params.pop()) < 1500
+
+
+def test_evaluation_without_models_writes_a_report(spark, tmp_dir):
+    out = jobs.evaluate(spark, os.path.join(tmp_dir, "lake_none"), dt.datetime(2024, 3, 5))
+    report = spark.read.json(out["report"]).first()
+    assert out["status"] == report.ab_configuration.status == "no_models"
+    assert report.summary.total_models == 0 and report.production_models == []
+
+
+def test_a_failing_model_is_recorded_and_types_are_checked(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from churnlake.plans import models as mdl
+    from churnlake.plans import trained
+
+    class Broken:
+        def transform(self, df):
+            return df.select(F.raise_error(F.lit("bad row")).cast("double").alias("probability"), "*")
+
+    data = trained.prepared(spark, SF_SMALL)
+    good = trained.models_for(spark, SF_SMALL, ["logistic_regression"])["logistic_regression"]
+    table, failed = mdl.compare_production({"broken": Broken(), "logistic_regression": good}, data.test)
+    assert [r.model for r in table.collect()] == ["logistic_regression"] and [n for n, _ in failed] == ["broken"]
+    path = os.path.join(tmp_dir, "typed")
+    schema = data.test.select(*S.ALL_FEATURES).schema
+    mdl.save(good, path, schema.json())
+    mdl.load(path, S.ALL_FEATURES, schema)
+    other = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    with pytest.raises(ValueError, match="types differ"):
+        mdl.load(path, S.ALL_FEATURES, other)
 
 
 def test_stream_scoring_equals_batch(spark):
