@@ -692,7 +692,7 @@ def q_stream_ab_stats(spark, sf_dir):
     out, cp = scratch_path(spark, "ab_counters"), scratch_path(spark, "ab_counters_cp")
     q = sab.start_counters(spark, sf_dir, out, cp, available_now=True)
     q.awaitTermination()
-    return _round_cols(spark.read.parquet(out), {"avg_latency_ms"}, 6)
+    return _round_cols(sab.read_counters(spark, out), {"avg_latency_ms"}, 6)
 
 
 # --- 2.7 Spark ML (rows-only: fitted models are not SQL-expressible) -------------

@@ -218,3 +218,35 @@ def test_scoring_job_follows_the_stored_config(spark, tmp_dir):
     assert rows.filter(F.col("model") != name).count() == 0 and rows.filter(F.col("model_version") != "1").count() == 0
     assert {"timestamp", "ab_group", "model_name"} <= set(rows.columns)
     assert files.read_latest(spark, os.path.join(base, "prediction_log")).count() == second["scored"]
+
+
+def test_half_written_counters_are_not_read(spark, tmp_dir):
+    from churnlake.streaming import ab_stats as sab
+
+    out = os.path.join(tmp_dir, "counters")
+    with pytest.raises(FileNotFoundError):
+        sab.read_counters(spark, out)
+    for batch, n in ((9, 1), (10, 2), (11, 3)):
+        spark.createDataFrame([("m", n)], "model string, requests long").write.parquet(f"{out}/batch_id={batch}")
+    os.remove(f"{out}/batch_id=11/_SUCCESS")
+    got = sab.read_counters(spark, out)
+    assert got.columns == ["model", "requests"] and [r.requests for r in got.collect()] == [2]
+
+
+def test_changed_tables_are_fitted_anew(spark, tmp_dir):
+    import shutil
+
+    from churnlake.plans import trained
+
+    folder = os.path.join(tmp_dir, "tables")
+    os.mkdir(folder)
+    for name in ("customer", "orders", "events"):
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", f"{folder}/{name}.parquet")
+    first = trained.prepared(spark, folder)
+    assert trained.prepared(spark, folder) is first
+    kept = spark.read.parquet(f"{SF_SMALL}/customer.parquet").filter("c_custkey % 2 = 0").toArrow()
+    import pyarrow.parquet as pq
+
+    pq.write_table(kept, f"{folder}/customer.parquet")
+    second = trained.prepared(spark, folder)
+    assert second is not first and second.n_train < first.n_train
