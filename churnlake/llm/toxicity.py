@@ -136,7 +136,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     Labels of one id that disagree count as toxic; null labels and ids are left out; rows of
     one id each count.  With no toxic or no clean document every score is the same.
-    Reaches the driver: three times 2**18 slot counts and two numbers for each of at most ``max_train`` rows.
+    Reaches the driver: three times 2**18 slot counts, and label, length and segment scores of
+    the rows that fit the curve (a quarter of at most ``max_train``).
     """
     train = train_rows(labels, id_col, label_col, max_train)
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
