@@ -8,10 +8,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat_format, decontaminate, embedding_dedup, line_dedup, minhash_dedup, packing, queries, suffix_dedup, toxicity, warc, window_dedup
+from churnlake.llm import _tokens, chat_format, decontaminate, embedding_dedup, line_dedup, minhash_dedup, packing, queries, suffix_dedup, toxicity, warc, window_dedup
 from churnlake.llm._common import connected_components
 from conftest import SF_SMALL
 
@@ -122,6 +123,28 @@ def test_packing_places_every_piece_once(docs, texts):
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
 
 
+def test_ids_are_those_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    end, new = "<|endoftext|>", chr(0x10D41)  # a digit of Unicode 16
+    rng = random.Random(8)
+    pieces = [end, end[:-1], "|>", "<|", " ", "  ", "\n", "'re", "'s", "a", "word", "7", "é", new, "\u1c89", "\uffff", "\u0378", "!", "\x85", "世"]
+    rows = ["hello <|endoftext|> world", end, end * 2, None, "", "a<|endof", "text|>b", f"1{new}2", f"x {end}{new} {end}  y"]
+    rows += ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
+    tokenizer = Tokenizer.from_str(queries.tokenizer_json())
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in rows]
+    assert want[0] == [31373, 220, 50256, 995, 0]
+    stripping = queries.tokenizer_json().replace('"lstrip":false', '"lstrip":true').replace('"lstrip": false', '"lstrip": true')
+    whole = Tokenizer.from_str(stripping)
+    assert whole.encode(rows[0], add_special_tokens=False).ids + [0] != want[0]
+    for source, expected in ((queries.tokenizer_json(), want), (stripping, [whole.encode(t or "", add_special_tokens=False).ids + [0] for t in rows])):
+        for limit in (200, 1 << 21):
+            got = []
+            for _, _, ids, ends in _tokens.WordTokenizer(source).encode(pa.array(rows), 0, limit):
+                got += [x.tolist() for x in np.split(ids, ends[:-1])]
+            assert got == expected
+
+
 def test_line_dedup_edges(spark):
     line = "This LINE is held by many documents, all of them."
     rows = [(i, f"  {line.lower()}\nown {i}\n{line}") for i in range(6)] + [(9, None), (10, ""), (None, line), (5, f"{line}\n")]
