@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     fewer words, the whole sequence is one shingle).  ``component_id`` is the least id
     reachable over links, ``kept`` marks the document that bears it.  Documents without
     words are linked with nothing.  Rows of one id are one document with several texts:
-    linked if any of its texts is.  Rows without an id have no component and are kept.
+    linked if any of its texts is, all in one component.  Rows without an id have no component and are kept.
     Other columns are ignored; no rows give no rows.
     """
     signed = materialise(sign(docs, size, id_col, text_col), "signed")
@@ -202,17 +202,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     members = materialise(bands.join(shared.drop("high"), "key"), "members")
     sets = materialise(_sets_of(docs, members.select(F.col("rep").alias("id")).distinct(), size, id_col, text_col), "sets")
 
+    # Rows of one id in several classes tie these together.
+    ids = signed.where(F.col("doc_id").isNotNull())
+    several = ids.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).where("x <> y").select("doc_id")
+    of_id = materialise(known.join(several, "doc_id", "left_semi").select("doc_id", *key).distinct().join(
+        classes.drop("bands"), key).select("doc_id", "rep").distinct(), "of_id")
+    least = of_id.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    same = of_id.join(least, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
+
     pairs = members.groupBy(F.col("rep").alias("a")).agg(F.min("low").alias("b")).where(F.col("a") != F.col("b"))
-    # Rows of one id with different texts are one vertex.
-    links = materialise(_verified(pairs, sets, percent), "links")
+    links = materialise(_verified(pairs, sets, percent).unionByName(same), "links")
     found = connected_components(links)
     more = materialise(_cluster_links(members.drop("low"), sets, found, percent), "links")
     found = connected_components(links.unionByName(more))
     where = classes.drop("bands").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("of_class"))
-    # Rows of one id in several classes take the least component.
-    own = F.coalesce("of_class", F.col("doc_id"))
-    return signed.drop("bands").join(where, key, "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id")).alias("component_id"),
+    # An id's rows without words are of the component of its other rows.
+    by_id = least.join(found.withColumnRenamed("id", "b"), "b", "left").select("doc_id", F.coalesce("component", "b").alias("of_id"))
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("of_id", "of_class", "doc_id")).otherwise(F.coalesce("of_id", "doc_id"))
+    return signed.drop("bands").join(where, key, "left").join(by_id, "doc_id", "left").select(
+        "doc_id", "n_shingles", own.alias("component_id"),
     ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))

@@ -102,6 +102,15 @@ def test_near_duplicates_match_brute_force(docs, texts, size, monkeypatch):
     assert got == {(i, len(sets[i])): (find(i), find(i) == i) for i in root}
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    rows = [(3, x), (5, x), (5, y), (9, y + " end"), (5, ""), (12, z), (11, z), (9, z + " end"), (20, "alone"), (21, "one"), (21, ""), (None, x), (30, None)]
+    got = collections.Counter((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    component = {3: 3, 5: 3, 9: 3, 11: 3, 12: 3, 20: 20, 21: 21, 30: 30, None: None}
+    assert got == collections.Counter((i, component[i], i in (3, 20, 21, 30, None)) for i, _ in rows)
+
+
 def test_packing_places_every_piece_once(docs, texts):
     from tokenizers import Tokenizer
 
