@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from churnlake.llm._common import connected_components, materialise
 from churnlake.llm._text import blocks, mix, text_buffers, word_hashes, word_runs, word_spans
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 30, 4
 PLACES = BANDS * ROWS
 BLOCK_BYTES = 4 << 20
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
