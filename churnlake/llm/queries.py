@@ -95,6 +95,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.filter_audit import audit, mask_counts
+
+    return audit(mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.quality_rules import judge_quality
+
+    return judge_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.llm.prefix_trie import prefix_nodes, rebuild
+
+    return prefix_nodes(*rebuild(table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_window_dedup": op9_window_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
 
@@ -165,4 +187,82 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
 """
 
-ORACLE: dict[str, str] = {"op4_warc": _OP4, "op2_chat_format": _OP2, "op10_line_dedup": _OP10}
+_OP11 = r"""
+WITH marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN texts.doc_id > min(texts.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM texts LEFT JOIN marks ON texts.doc_id = marks.doc_id),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, step, own.f AS own_f, own.bit AS own, coalesce(sum(before.bit), 0)::INT AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)
+  JOIN f own ON own.f = substr(filter_order, step, 1)
+  LEFT JOIN f before ON instr(filter_order, before.f) < step
+  GROUP BY ALL),
+audit AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE mask & own = 0 AND mask & earlier = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE mask & own <> 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE mask & own <> 0 AND mask & earlier <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE mask & own <> 0 AND mask & earlier = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE mask & own <> 0 AND mask & earlier = 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM audit
+"""
+
+_OP13 = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+-- crc32 of the decimal id, bit by bit.
+h AS (
+  SELECT c, count(*) AS own, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)), 4294967295::BIGINT) % 6 AS h
+  FROM t GROUP BY c),
+given AS (SELECT h.c, b.pos AS depth, b.role, b.text FROM h JOIN t b ON b.c = h.c - h.c % 100 AND b.pos <= h.h),
+heads AS (SELECT c, count(*) AS n FROM given GROUP BY c),
+rebuilt AS (
+  SELECT * FROM given
+  UNION ALL
+  SELECT h.c, coalesce(heads.n, 0) + t.pos - h.h, t.role, t.text FROM h JOIN t ON t.c = h.c AND t.pos > h.h LEFT JOIN heads ON heads.c = h.c),
+p AS (
+  SELECT c, 0::BIGINT AS depth, '' AS key, NULL::VARCHAR AS parent, 0::BIGINT AS chars FROM h
+  UNION ALL
+  SELECT p.c, r.depth, md5(p.key || '/' || md5(r.role) || md5(r.text)), p.key, length(r.text)
+  FROM p JOIN rebuilt r ON r.c = p.c AND r.depth = p.depth + 1),
+ends AS (
+  SELECT depth, key, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT *, max(depth) OVER (PARTITION BY c) AS n FROM p) WHERE depth = n GROUP BY depth, key),
+nodes AS (SELECT depth, key, min(parent) AS parent, min(c) AS rep, count(*) AS n, min(chars) AS chars FROM p GROUP BY depth, key),
+children AS (SELECT depth - 1 AS depth, parent AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+totals AS (
+  SELECT a.depth, a.key, count(*) FILTER (WHERE ch.n IS NULL) AS leaves, sum((x.n - 1) * x.chars) AS saved
+  FROM nodes x JOIN p a ON a.c = x.rep AND a.depth <= x.depth
+  LEFT JOIN children ch ON ch.depth = x.depth AND ch.key = x.key GROUP BY a.depth, a.key)
+SELECT x.rep AS conv_id, x.depth, up.rep AS parent_conv_id, x.n AS n_convs, coalesce(ch.n, 0) AS n_children, totals.leaves AS n_leaves,
+       totals.saved::BIGINT AS saved_tokens, sha256(coalesce(ends.ids, '')) AS ends_sha256
+FROM nodes x JOIN totals ON totals.depth = x.depth AND totals.key = x.key
+LEFT JOIN children ch ON ch.depth = x.depth AND ch.key = x.key
+LEFT JOIN ends ON ends.depth = x.depth AND ends.key = x.key
+LEFT JOIN nodes up ON up.depth = x.depth - 1 AND up.key = x.parent
+"""
+
+ORACLE: dict[str, str] = {"op4_warc": _OP4, "op2_chat_format": _OP2, "op10_line_dedup": _OP10, "op11_filter_audit": _OP11, "op13_prefix_trie": _OP13}
