@@ -38,10 +38,10 @@ def _mod_lt(c: Column, m: int, k: int) -> Column:
     return (c % m) < k
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-customer order facts: count, spend (exact decimal), last order date."""
+def order_facts(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Per-customer order facts: count, spend (exact decimal), last order date; of ``orders`` (a micro-batch) if given."""
     return (
-        table(spark, sf_dir, "orders")
+        (orders if orders is not None else table(spark, sf_dir, "orders"))
         .groupBy("o_custkey")
         .agg(
             F.count(F.lit(1)).alias("n_orders"),

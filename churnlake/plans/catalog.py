@@ -173,6 +173,29 @@ def q_split_counts(spark, sf_dir):
     return spl.split_counts(features(spark, sf_dir))
 
 
+_CUT = "({n} + 4) // 5"
+
+
+@register(
+    "stratified_split",
+    O.FEAT + f""", s AS (
+  SELECT customerID, churn_label, COUNT(*) OVER (PARTITION BY churn_label) AS n,
+    ROW_NUMBER() OVER (PARTITION BY churn_label ORDER BY {unit_hash_sql('customerID', 'split42')}, customerID) AS rn FROM features),
+p AS (SELECT customerID, churn_label, CASE WHEN rn <= {_CUT.format(n='n')} THEN 'test' ELSE 'train' END AS split FROM s),
+f AS (
+  SELECT customerID, CAST((ROW_NUMBER() OVER (PARTITION BY churn_label ORDER BY {unit_hash_sql('customerID', 'fold42')}, customerID) - 1) * 5
+    // COUNT(*) OVER (PARTITION BY churn_label) AS INT) AS fold
+  FROM p WHERE split = 'train')
+SELECT p.customerID, churn_label, split, fold FROM p LEFT JOIN f ON p.customerID = f.customerID""",
+)
+def q_stratified_split(spark, sf_dir):
+    """M1 and M7's folds as training cuts them: exact class shares, the fold null in the test part."""
+    f = features(spark, sf_dir).select(S.ID, S.TARGET)
+    f = f.withColumn("split", spl.exact_split_column(f))
+    train = f.filter(F.col("split") == "train")
+    return f.withColumn("fold", F.when(F.col("split") == "train", spl.exact_fold_column(train)))
+
+
 def train_part(spark, sf_dir):
     return spl.train_test(feat.fill_missing(features(spark, sf_dir)))[0]
 
@@ -695,6 +718,35 @@ def q_stream_ab_stats(spark, sf_dir):
     return _round_cols(sab.read_counters(spark, out), {"avg_latency_ms"}, 6)
 
 
+@register(
+    "stream_ab_windows",
+    O.PLOG + """SELECT date_trunc('hour', ts) AS window_start, model, COUNT(*) AS requests, round(AVG(latency_ms), 6) AS avg_latency_ms
+FROM plog WHERE endpoint = 'predict' GROUP BY ALL""",
+)
+def q_stream_ab_windows(spark, sf_dir):
+    """T1 by the hour of the request: intake, then watermarked windows, over all events."""
+    from churnlake.session import scratch_path
+    from churnlake.streaming import ab_windows as win
+
+    out = scratch_path(spark, "ab_windows")
+    win.start_intake(spark, sf_dir, out, scratch_path(spark, "ab_intake_cp")).awaitTermination()
+    win.start_windows(spark, out, scratch_path(spark, "ab_windows_cp")).awaitTermination()
+    return _round_cols(win.read_windows(spark, out), {"avg_latency_ms"}, 6)
+
+
+@register("stream_request_features", O.REQ + "SELECT * FROM rfeat")
+def q_stream_request_features(spark, sf_dir):
+    """Orders streamed into the facts, then customers streamed into request features that read them."""
+    from churnlake.session import scratch_path
+    from churnlake.streaming import order_facts as of
+    from churnlake.streaming import scoring as sscore
+
+    facts, out = scratch_path(spark, "stream_facts"), scratch_path(spark, "stream_features")
+    of.start_facts(spark, sf_dir, facts, scratch_path(spark, "stream_facts_cp")).awaitTermination()
+    sscore.start_request_features(spark, sf_dir, of.facts_store(spark, facts), out, scratch_path(spark, "stream_features_cp")).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 # --- 2.7 Spark ML (rows-only: fitted models are not SQL-expressible) -------------
 from churnlake.plans import trained  # noqa: E402
 
@@ -715,6 +767,35 @@ register("train_rf")(_train_query("random_forest"))
 register("train_gbt")(_train_query("gradient_boosting"))
 
 
+_ZEROS = ", ".join(f"('{c}')" for c in [*S.ALL_FEATURES, "intercept"])
+
+
+@register("lr_gradient", f"SELECT feature, CAST(0 AS DOUBLE) AS gradient FROM (VALUES {_ZEROS}) v(feature)")
+def q_lr_gradient(spark, sf_dir):
+    """M4: at the optimum every component of the objective's gradient is zero (to 4 digits)."""
+    from churnlake.plans import diagnostics
+
+    m = trained.models_for(spark, sf_dir, ["logistic_regression"])["logistic_regression"]
+    g = diagnostics.lr_gradient(m, trained.prepared(spark, sf_dir).train)
+    return g.select("feature", F.abs(F.round("gradient", 4)).alias("gradient"))
+
+
+_MODEL_ROWS = ", ".join(f"('{k}')" for k in S.MODEL_KEYS)
+
+
+@register(
+    "score_check",
+    O.FEAT + f""", t AS (SELECT CAST(SUM({_CUT.format(n='n')}) AS BIGINT) AS rows FROM (SELECT COUNT(*) AS n FROM features GROUP BY churn_label) c)
+SELECT model, rows, CAST(0 AS BIGINT) AS mismatches FROM t, (VALUES {_MODEL_ROWS}) v(model)""",
+)
+def q_score_check(spark, sf_dir):
+    """The test part scored by the models' node tables and coefficients, against ``transform``."""
+    from churnlake.plans import diagnostics
+
+    models = trained.models_for(spark, sf_dir, list(S.MODEL_KEYS))
+    return diagnostics.score_check(models, trained.prepared(spark, sf_dir).test)
+
+
 @register("cross_validate")
 def q_cross_validate(spark, sf_dir):
     from churnlake.plans import models as mdl
@@ -757,8 +838,13 @@ def q_stream_score(spark, sf_dir):
     from churnlake.streaming import scoring as sscore
 
     models = trained.registry_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
+    from churnlake.streaming import order_facts as of
+
     out, cp = scratch_path(spark, "stream_score"), scratch_path(spark, "stream_score_cp")
-    q = sscore.start_scoring(spark, sf_dir, models, ab.ABConfig(), out, cp, available_now=True)
+    facts = scratch_path(spark, "stream_facts")
+    of.start_facts(spark, sf_dir, facts, scratch_path(spark, "stream_facts_cp")).awaitTermination()
+    info = reg.serving_versions(fx.model_versions(spark, sf_dir))
+    q = sscore.start_scoring(spark, sf_dir, models, ab.ABConfig(), out, cp, facts=of.facts_store(spark, facts), model_info=info)
     q.awaitTermination()
     return spark.read.parquet(out)
 

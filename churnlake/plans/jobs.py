@@ -8,6 +8,7 @@ Layout under one base folder (a shared cluster path)::
     features/snapshot=<key>/       K2  27-column feature table (S6)
     feature_schema/snapshot=<key>/ K2  feature schema document (S8)
     models/<key>/<model>/          K3  one PipelineModel per model (M10)
+    cv/<key>/                      K3  held-out predictions of finished CV fits (M7), read again by a rerun
     registry/snapshot=<key>/       K3  model-version table after promotion (W1-W3)
     runs/{params,metrics,tags}/    K3  run tables (M11), appended
     summaries/snapshot=<key>/      K3  training summary (S11)
@@ -131,7 +132,7 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
         fitted = mdl.fit_all(keys, data)
         cv = {}
         if with_cv:  # one row per model (bounded)
-            for r in mdl.cross_validate_models(keys, data).collect():
+            for r in mdl.cross_validate_models(keys, data, ledger=_p(base, "cv", key)).collect():
                 cv[r["model"]] = (float(r["cv_f1_mean"]), float(r["cv_f1_std"]))
     finally:
         data.train.unpersist()

@@ -5,13 +5,14 @@
   model is always scored on the data it was trained on (fixes D5).
 * Class weights (``class_weight='balanced'``) are a ``weightCol`` attached
   by a broadcast join of a two-row table (one row per class: bounded).
-* CV folds are a per-row hash, so no sort or random split; the fold fits of
-  all models run concurrently and are measured in one aggregate.
+* The split and the CV folds are cuts of a per-row hash at exact class shares; the fold
+  fits of all models run concurrently, are kept in a ledger and measured in one aggregate.
 * All models are measured in one pass over long predictions (U1 + A5 + A6).
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -63,14 +64,14 @@ def estimator(key: str, n_train: int, weighted: bool = True):
                                   regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                                   standardization=False, **w)
     if key == "random_forest":
-        # No min-split in Spark; minInstancesPerNode keeps its default of 1.
+        # No min-split of 5 in Spark; with two rows a child, the nearest, a split node has four.
         # cacheNodeIds keeps each row's node per tree between levels instead of
         # walking 100 depth-10 trees again at every level (same model, about
         # half the time); the cached ids are checkpointed every 10 levels into
         # the shared folder, so the lineage stays short.
         return RandomForestClassifier(featuresCol="features", labelCol=S.TARGET, numTrees=100, maxDepth=10,
                                       featureSubsetStrategy="sqrt", seed=42, cacheNodeIds=True,
-                                      checkpointInterval=10, **w)
+                                      checkpointInterval=10, minInstancesPerNode=2, **w)
     if key == "gradient_boosting":
         return GBTClassifier(featuresCol="features", labelCol=S.TARGET, maxIter=100, maxDepth=5,
                              stepSize=0.1, seed=42)
@@ -106,9 +107,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
     """P4 + M1 + A10 + A9 + J4: split, fit the scaler, attach class weights."""
-    f = fill_missing(features).select(S.ID, *S.ALL_FEATURES, S.TARGET).withColumn("split", spl.split_column())
+    f = fill_missing(features).select(S.ID, *S.ALL_FEATURES, S.TARGET)
     if materialize:
         f = materialise(f, "prepared")
+    f = f.withColumn("split", spl.exact_split_column(f))
     train = f.filter(F.col("split") == "train").drop("split")
     test = f.filter(F.col("split") == "test").drop("split")
     scaler = scl.FittedScaler.fit(train)
@@ -223,51 +225,70 @@ def fold_class_weights(folds: DataFrame, k: int,
     return out
 
 
+def _fold_key(folds: DataFrame, data: PreparedData, k: int) -> str:
+    """Name of what the fold fits depend on: fold and class counts, scaling, the number of folds."""
+    counts = sorted(tuple(r) for r in folds.groupBy("fold", S.TARGET).agg(F.count(F.lit(1))).collect())  # at most k x classes rows
+    state = (k, data.n_train, counts, sorted(data.scaler.means.items()), sorted(data.scaler.scales.items()))
+    return hashlib.sha256(repr(state).encode()).hexdigest()[:16]
+
+
 def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
-                          parallelism: int = 8) -> DataFrame:
+                          parallelism: int = 8, ledger: str | None = None) -> DataFrame:
     """K-fold F1 of class 1 on the train part, for several models at once.
 
-    Folds are a per-row hash of the id (no shuffle, no random split).  Every
+    Folds hold equal shares of each class (``exact_fold_column``).  Every
     (model, fold) fit is an independent Spark job chain, so they run
     ``parallelism`` at a time from a thread pool (``CrossValidator`` runs
     folds one after another and parallelises only over a param grid).  The
-    pool size bounds how many fold copies the fits persist at once.  Each fit
-    gets its fold's own class weights and, for logistic regression, its own
-    ``1/n``.  Scaling keeps the whole-train statistics (D17).  All fold
-    predictions are then measured in one ``groupBy(model, fold)`` aggregate.
+    pool size bounds how many fold copies the fits persist at once.  Rows are scaled and
+    assembled once, for all fits.  Each fit gets its fold's own class weights and, for
+    logistic regression, its own ``1/n``.  Scaling keeps the whole-train statistics (D17).
+
+    A fit's held-out predictions are written to ``ledger`` (a folder in shared storage; a
+    fresh one by default), under a key of the data and the folds.  A second call with the
+    same ledger, after a failure or a lost driver, fits only what is not there.
+    All predictions are then measured in one ``groupBy(model, fold)`` aggregate.
     Returns (model, cv_f1_mean, cv_f1_std, folds) with the population std.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
 
-    folds = spl.with_folds(data.train.drop("class_weight"), k=k)
-    weights = fold_class_weights(folds, k)
-    y = F.col(S.TARGET)
-
-    def fit_fold(task: tuple[str, int]) -> DataFrame:
-        key, i = task
-        n_fold, w = weights[i]
-        part = folds.filter(F.col("fold") != i)
-        if MODEL_WEIGHTED[key]:
-            wcol = F.lit(0.0)
-            for c, v in sorted(w.items()):
-                wcol = F.when(y == c, F.lit(v)).otherwise(wcol)
-            part = part.withColumn("class_weight", wcol)
-        est = estimator(key, n_fold, MODEL_WEIGHTED[key])
-        model = Pipeline(stages=[scaling_stage(data.scaler), assembler(), est]).fit(part)
-        held = folds.filter(F.col("fold") == i)
-        return score(model, held, keep=(S.TARGET,)).select(
-            F.lit(key).alias("model"), F.lit(i).alias("fold"), F.col(S.TARGET).alias("label"), "prediction")
-
-    # Slowest models first, so the pool's tail is short.
-    order = sorted(keys, key=lambda m: -_FIT_COST.get(m, 0))
-    tasks = [(key, i) for key in order for i in range(k)]
-    with ThreadPoolExecutor(max(1, min(parallelism, len(tasks)))) as pool:
-        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(fit_fold), tasks))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    from churnlake.session import path_exists, scratch_path
+
+    spark = data.train.sparkSession
+    train = data.train.drop("class_weight")
+    assembled = assembler().transform(scaling_stage(data.scaler).transform(train)).withColumn("fold", spl.exact_fold_column(train, k))
+    folds = assembled.select("features", S.TARGET, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weights = fold_class_weights(folds, k)
+        y = F.col(S.TARGET)
+        root = f"{(ledger or scratch_path(spark, 'cv')).rstrip('/')}/{_fold_key(folds, data, k)}"
+
+        def fit_fold(task: tuple[str, int]) -> None:
+            key, i = task
+            path = f"{root}/model={key}/fold={i}"
+            if path_exists(spark, f"{path}/_SUCCESS"):
+                return
+            n_fold, w = weights[i]
+            part = folds.filter(F.col("fold") != i)
+            if MODEL_WEIGHTED[key]:
+                wcol = F.lit(0.0)
+                for c, v in sorted(w.items()):
+                    wcol = F.when(y == c, F.lit(v)).otherwise(wcol)
+                part = part.withColumn("class_weight", wcol)
+            model = estimator(key, n_fold, MODEL_WEIGHTED[key]).fit(part)
+            held = model.transform(folds.filter(F.col("fold") == i))
+            held.select(F.col(S.TARGET).alias("label"), F.col("prediction").cast("int").alias("prediction")).write.mode("overwrite").parquet(path)
+
+        # Slowest models first, so the pool's tail is short.
+        order = sorted(keys, key=lambda m: -_FIT_COST.get(m, 0))
+        tasks = [(key, i) for key in order for i in range(k)]
+        with ThreadPoolExecutor(max(1, min(parallelism, len(tasks)))) as pool:
+            list(pool.map(inheritable_thread_target(spark)(fit_fold), tasks))
+    finally:
+        folds.unpersist()
+    long = spark.read.schema("label int, prediction int, model string, fold int").parquet(root).filter(F.col("model").isin(list(keys)))
     return met.cv_summary(met.fold_f1(long))
 
 
