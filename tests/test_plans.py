@@ -4,16 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
-
+from churnlake.plans import catalog
 from conftest import SF_SMALL
 
 MODEL_QUERIES = {"train_lr", "train_rf", "train_gbt", "cross_validate", "model_importance", "score_batch",
-                 "score_explain", "stream_score", "stream_ab_stats"}
+                 "score_explain", "stream_score", "stream_ab_stats", "stream_ab_windows", "stream_request_features",
+                 "lr_gradient", "score_check"}
 
 
 def _plan(spark, name):
-    return entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    return catalog.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_scans_read_only_the_used_columns(spark):
@@ -24,7 +24,7 @@ def test_scans_read_only_the_used_columns(spark):
                     "o_custkey", "o_totalprice", "o_orderdate"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - MODEL_QUERIES))
 def test_no_python_udf(spark, name):
     plan = _plan(spark, name)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
