@@ -44,11 +44,6 @@ def null_profile(df: DataFrame, threshold: float = S.HIGH_NULL_SHARE) -> DataFra
     return long.withColumn("high_null", F.col("null_share") > F.lit(threshold))
 
 
-def high_null_columns(profile: DataFrame) -> DataFrame:
-    """V3's report: only the columns above the threshold."""
-    return profile.filter("high_null").select("column_name", "null_share")
-
-
 def label_distribution(df: DataFrame, label: str = "Churn") -> DataFrame:
     """A2: value counts of the label, nulls dropped, most frequent first."""
     return (
@@ -64,29 +59,36 @@ def churn_rate_expr(label: str = "Churn") -> Column:
     return F.avg(F.col(label).eqNullSafe("Yes").cast("double"))
 
 
-def dataset_summary(df: DataFrame, label: str = "Churn", source: str = "") -> DataFrame:
-    """A1 + A3 + S7 content: one row of counts, names, target, rate."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.lit(len(df.columns)).alias("columns"),
-        F.array(*[F.lit(c) for c in df.columns]).alias("column_names"),
+def summary_document(rows: Column, churn_rate: Column, columns: Sequence[str], label: str = "Churn", source: str = "") -> list[Column]:
+    """S7's fields, from counts that are known or aggregated."""
+    return [
+        rows.alias("rows"),
+        F.lit(len(columns)).alias("columns"),
+        F.array(*[F.lit(c) for c in columns]).alias("column_names"),
         F.lit(label).alias("target"),
-        churn_rate_expr(label).alias("churn_rate"),
+        churn_rate.alias("churn_rate"),
         F.lit(source).alias("source"),
-    )
+    ]
 
 
-def validate_raw(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
-    """V1 + V2 + V3 in order; returns the null profile for logging."""
-    require_columns(df)
-    require_min_rows(df, min_rows)
-    return null_profile(df)
+def dataset_summary(df: DataFrame, label: str = "Churn", source: str = "") -> DataFrame:
+    """A1 + A3 + S7 content: one row of counts, names, target, rate."""
+    return df.agg(*summary_document(F.count(F.lit(1)), churn_rate_expr(label), df.columns, label, source))
+
+
+def ingest_metrics(columns: Sequence[str], label: str = "Churn") -> list[Column]:
+    """A1, A3, V2 and V3's counts as aggregates that a write can observe: no pass of their own."""
+    return [
+        F.count(F.lit(1)).alias("rows"), churn_rate_expr(label).alias("churn_rate"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in columns],
+    ]
 
 
 def request_reasons(df: DataFrame) -> Column:
     """V4: array of rejection reasons, in field order; empty when valid."""
     checks = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in S.REQUEST_REQUIRED]
-    checks += [F.when((F.col(c) < 0) | F.isnan(F.col(c).cast("double")), F.lit(f"negative:{c}")) for c in S.REQUEST_NON_NEGATIVE]
+    nan = {c: F.isnan(F.col(c).cast("double")) for c in S.REQUEST_NON_NEGATIVE}
+    checks += [F.when(nan[c], F.lit(f"not_a_number:{c}")).when(F.col(c) < 0, F.lit(f"negative:{c}")) for c in S.REQUEST_NON_NEGATIVE]
     return F.array_compact(F.array(*checks))
 
 
@@ -101,11 +103,6 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.filter("is_valid").drop("reasons", "is_valid"), checked.filter("NOT is_valid")
 
 
-def production_only(versions: DataFrame) -> DataFrame:
-    """V5."""
-    return versions.filter(F.col("stage") == "Production")
-
-
 def promotion_gate(metrics: DataFrame, threshold: float = S.PROMOTION_ACCURACY, strict: bool = False) -> DataFrame:
     """V6: PROMOTE when accuracy >= threshold (``strict``: the older ``>``)."""
     acc = F.col("accuracy")

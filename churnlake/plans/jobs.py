@@ -9,8 +9,8 @@ Layout under one base folder (a shared cluster path)::
     feature_schema/snapshot=<key>/ K2  feature schema document (S8)
     models/<key>/<model>/          K3  one PipelineModel per model (M10)
     cv/<key>/                      K3  held-out predictions of finished CV fits (M7), read again by a rerun
-    registry/snapshot=<key>/       K3  model-version table after promotion (W1-W3)
-    runs/{params,metrics,tags}/    K3  run tables (M11), appended
+    registry/state-<version>-*/    K3  model-version table after promotion (W1-W3), committed on its predecessor
+    runs/{params,metrics,tags}/    K3  run tables (M11), a folder per run
     summaries/snapshot=<key>/      K3  training summary (S11)
     artifacts/<key>/...            K3  importance and confusion CSVs (S14), classification report (A7)
     ab_config/                     K4  current A/B config (S12), overwritten
@@ -18,9 +18,9 @@ Layout under one base folder (a shared cluster path)::
     predictions/snapshot=<key>/    K5  scored requests
     rejects/snapshot=<key>/        K5  rejected requests with their reasons (V4)
     prediction_log/snapshot=<key>/ K5  one row per scored request (input of T1)
-    status/                        K6  run status rows by execution date (S10)
+    status/                        K6  run status rows by run and execution date (S10)
 
-Every snapshot is written once; "latest" is a partition filter (S4).
+Every snapshot is written once; "latest" is its manifest's entry (S4).
 """
 
 from __future__ import annotations
@@ -30,10 +30,11 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake import schemas as S
+from churnlake.functions import ntz_lit
 from churnlake.operators import abtest as ab
 from churnlake.operators import explain as xpl
 from churnlake.operators import features as feat
@@ -43,8 +44,9 @@ from churnlake.operators import registry as reg
 from churnlake.operators import split as spl
 from churnlake.plans import models as mdl
 from churnlake.plans import reports, serving
+from churnlake.session import DEFAULT_CONF
+from churnlake.sources import commits, files
 from churnlake.sources import documents as docs
-from churnlake.sources import files
 
 
 def _p(base: str, *parts: str) -> str:
@@ -52,33 +54,56 @@ def _p(base: str, *parts: str) -> str:
 
 
 # --- K1 -------------------------------------------------------------------------
+def _observing_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for an observed write.
+
+    An ``Observation`` leaves its session holding an object that cannot be serialised, and
+    tasks that capture a fitted linear model reach the session they were made in.
+    """
+    own = spark.newSession()
+    for k in [*DEFAULT_CONF, "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]:
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            own.conf.set(k, spark.conf.get(k))
+    return own
+
+
 def ingest(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
-           min_rows: int = S.MIN_ROWS, source: str = "") -> dict:
-    """K1: S1 -> V1 -> V2 -> S3 -> (A1, A2, A3, V3 in one aggregate) -> S7 -> V7.
+           min_rows: int = S.MIN_ROWS, source: str = "", url: str = "") -> dict:
+    """K1: S1 -> V1 -> S3 with its metrics observed (A1, A3, V2, V3) -> A2, S7, V7 -> committed.
 
-    The CSV is parsed once (by the snapshot write); every statistic is then
-    one aggregate over the columnar snapshot.
+    The CSV is parsed once, by the snapshot's write (besides the line of its header).  The
+    counts come from that write, the labels and malformed fields from columns of the
+    written Parquet.  A snapshot that fails V2 or V7 is deleted and was never visible.
     """
-    raw = files.read_raw_csv(spark, raw_csv)
-    qual.require_columns(raw)                       # V1: schema only
-    qual.require_min_rows(raw, min_rows)            # V2: stops after min_rows
-    snap = files.write_snapshot(raw, _p(base, "raw"), run_ts)
-    written = spark.read.parquet(snap)
-    stats = written.agg(
-        F.count(F.lit(1)).alias("rows"),
-        qual.churn_rate_expr().alias("churn_rate"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in written.columns],
-    ).first()  # one row of counters (bounded)
+    own = _observing_session(spark)
+    parsed = files.parse_raw_csv(own, raw_csv)
+    columns = [c for c in parsed.columns if c != files.MALFORMED]
+    qual.require_columns(parsed)                       # V1: schema only
+    seen = Observation("ingest")
+    snap = files.write_snapshot(parsed.observe(seen, *qual.ingest_metrics(columns)), _p(base, "raw"), run_ts, commit=False)
+    stats = seen.get
     rows = int(stats["rows"])
-    labels = {r[0]: int(r[1]) for r in written.groupBy("Churn").count().collect()}  # one row per label
-    high_null = [c for c in written.columns if rows and stats[f"null__{c}"] / rows > S.HIGH_NULL_SHARE]
+    written = spark.read.parquet(snap)
+    try:
+        if rows < min_rows:                            # V2
+            raise qual.ValidationError(f"dataset too small: {rows} records, fewer than {min_rows}")
+        qual.verify_written(written, rows)             # V7: the rows that passed through the write
+    except qual.ValidationError:
+        path = spark._jvm.org.apache.hadoop.fs.Path(snap)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        raise
+    labels = {r[0]: int(r[1]) for r in qual.label_distribution(written).collect()}  # one row per label; nulls dropped (A2)
+    high_null = [c for c in columns if rows and stats[f"null__{c}"] / rows > S.HIGH_NULL_SHARE]
     malformed = spark.read.schema(files.MALFORMED_SCHEMA).json(
-        files.write_snapshot(files.malformed_rows(spark, raw_csv), _p(base, "raw_malformed"), run_ts, fmt="json")).count()
-    meta = qual.dataset_summary(written, source=source)
+        files.write_snapshot(files.malformed_fields(written), _p(base, "raw_malformed"), run_ts, fmt="json")).count()
+    rate = F.lit(stats["churn_rate"]).cast("double")
+    meta = spark.range(1).select(
+        *qual.summary_document(F.lit(rows).cast("long"), rate, columns, source=source),
+        ntz_lit(run_ts).alias("ingestion_timestamp"), F.lit(url).alias("source_url"))
     files.write_snapshot(meta, _p(base, "raw_meta"), run_ts, fmt="json")
-    qual.verify_written(spark.read.parquet(snap), raw.count())  # V7: the source's own count
+    files.commit_snapshot(spark, _p(base, "raw"), run_ts)
     return {
-        "rows": rows, "columns": len(written.columns), "churn_rate": stats["churn_rate"],
+        "rows": rows, "columns": len(columns), "churn_rate": stats["churn_rate"],
         "label_distribution": labels,
         "high_null_columns": high_null, "malformed": malformed, "snapshot": snap,
     }
@@ -87,7 +112,7 @@ def ingest(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
 # --- K2 -------------------------------------------------------------------------
 def build_features(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
     """K2: S4 -> P1-P16 -> S6 -> S8."""
-    raw = files.read_latest(spark, _p(base, "raw"))
+    raw = files.read_latest(spark, _p(base, "raw")).drop(files.MALFORMED)
     engineered = feat.engineer_features(raw)
     added = feat.new_columns(raw, engineered)  # P17 (schema only)
     table = feat.select_features(engineered, run_ts)
@@ -106,11 +131,14 @@ class TrainResult:
     model_paths: dict[str, str] = field(default_factory=dict)
 
 
-def _next_versions(spark: SparkSession, base: str, names: list[str], run_key: str) -> DataFrame:
-    """New registry rows: version = (highest existing version of the name) + 1."""
-    try:
-        current = files.read_latest(spark, _p(base, "registry"))
-    except FileNotFoundError:
+def registry(spark: SparkSession, base: str) -> DataFrame:
+    """The model-version table as last committed."""
+    return commits.read_table(spark, _p(base, "registry"))
+
+
+def _promoted(spark: SparkSession, current: DataFrame | None, names: list[str], run_key: str, champion: str) -> DataFrame:
+    """The registry after a training run: a new version (highest of the name + 1) per name, the champion's promoted."""
+    if current is None:
         current = spark.createDataFrame([], S.MODEL_VERSION_SCHEMA)
     new = spark.createDataFrame([(n, f"run-{run_key}-{n}") for n in names], "name string, run_id string")
     latest = reg.latest_versions(current).select("name", reg.version_number().alias("_v"))
@@ -118,7 +146,7 @@ def _next_versions(spark: SparkSession, base: str, names: list[str], run_key: st
         "name", (F.coalesce(F.col("_v"), F.lit(0)) + 1).cast("string").alias("version"), "run_id",
         F.lit("None").alias("stage"),
     )
-    return current.unionByName(added)
+    return reg.promote_latest(current.unionByName(added), spark.createDataFrame([(champion,)], "name string"))
 
 
 def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str] | None = None,
@@ -148,21 +176,20 @@ def train(spark: SparkSession, base: str, run_ts: _dt.datetime, keys: list[str]
         paths[k] = _p(base, "models", key, k)
         mdl.save(m, paths[k], feats.select(*S.ALL_FEATURES).schema.json())
 
-    versions = _next_versions(spark, base, [S.MODEL_PREFIX + k for k in keys], key)
-    chosen = spark.createDataFrame([(S.MODEL_PREFIX + champion,)], "name string")
-    promoted = reg.promote_latest(versions, chosen)
-    files.write_snapshot(promoted, _p(base, "registry"), run_ts)
+    # On the version it was made from: of two runs that promote at once the later one starts from the earlier one's table.
+    commits.update_table(spark, _p(base, "registry"), key,
+                         lambda current: _promoted(spark, current, [S.MODEL_PREFIX + k for k in keys], key, S.MODEL_PREFIX + champion))
 
     run = mdl.TrainingRun(fitted, metrics, cv, run_ids, data.n_train, long.filter(F.col("model") == keys[0]).count())
-    mdl.run_params(spark, run, data).write.mode("append").parquet(_p(base, "runs", "params"))
+    files.append_run(mdl.run_params(spark, run, data), _p(base, "runs", "params"), key)
     run_metrics = mdl.run_metrics(run)
     if cv:
         cv_rows = [(run_ids[k], n, float(v)) for k, (mu, sd) in cv.items() for n, v in
                    (("cv_f1_mean", mu), ("cv_f1_std", sd))]
         run_metrics = run_metrics.unionByName(spark.createDataFrame(cv_rows, "run_id string, key string, value double"))
-    run_metrics.write.mode("append").parquet(_p(base, "runs", "metrics"))
-    spark.createDataFrame([(run_ids[k], "model_name", k) for k in keys], "run_id string, key string, value string") \
-        .write.mode("append").parquet(_p(base, "runs", "tags"))
+    files.append_run(run_metrics, _p(base, "runs", "metrics"), key)
+    tags = spark.createDataFrame([(run_ids[k], "model_name", k) for k in keys], "run_id string, key string, value string")
+    files.append_run(tags, _p(base, "runs", "tags"), key)
 
     results = metrics.withColumn("run_id", F.create_map(
         *[x for k in keys for x in (F.lit(k), F.lit(run_ids[k]))])[F.col("model")])
@@ -189,7 +216,7 @@ def evaluate(spark: SparkSession, base: str, run_ts: _dt.datetime) -> dict:
     which is also written when no production model is left.
     """
     try:
-        versions = files.read_latest(spark, _p(base, "registry"))
+        versions = registry(spark, base)
     except FileNotFoundError:
         versions = spark.createDataFrame([], S.MODEL_VERSION_SCHEMA)
     prod = reg.production_versions(versions)
@@ -241,7 +268,7 @@ def score(spark: SparkSession, base: str, requests: DataFrame, run_ts: _dt.datet
 
     A name whose serving version cannot be loaded is recorded and its rows go to the first loaded model.
     """
-    info = reg.serving_versions(files.read_latest(spark, _p(base, "registry")))
+    info = reg.serving_versions(registry(spark, base))
     models: dict[str, PipelineModel] = {}
     failed: list[tuple[str, str]] = []
     for r in sorted(info.collect(), key=lambda r: r["name"]):  # one row per model name (bounded)
@@ -272,7 +299,7 @@ def full_run(spark: SparkSession, raw_csv: str, base: str, run_ts: _dt.datetime,
     def status(stage: str, detail: dict) -> None:
         row = [(stage, json.dumps(detail, default=str), run_ts, date)]
         df = spark.createDataFrame(row, "stage string, detail string, run_ts timestamp_ntz, execution_date string")
-        files.append_run_record(df, _p(base, "status"))
+        files.append_run_record(df, _p(base, "status"), f"{files.snapshot_key(run_ts)}-{stage}")
 
     status("started", {})
     out = {"ingest": ingest(spark, raw_csv, base, run_ts)}

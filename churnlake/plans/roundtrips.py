@@ -64,14 +64,14 @@ def q_feature_schema_doc(spark, sf_dir):
     O.PLOG + """SELECT strftime(ts, '%Y-%m-%d') AS execution_date, endpoint AS stage, COUNT(*) AS requests FROM plog GROUP BY ALL""",
 )
 def q_run_records(spark, sf_dir):
-    """Records appended per execution date, in two runs (one per endpoint)."""
+    """Records appended per execution date, in two runs (one per endpoint), the second of them retried."""
     log = fx.prediction_log(spark, sf_dir)
     records = log.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("execution_date"), F.col("endpoint").alias("stage")).agg(
         F.count(F.lit(1)).alias("requests"))
     path = scratch_path(spark, "run_records")
-    for stage in ("predict", "batch"):
-        files.append_run_record(records.where(F.col("stage") == stage), path)
-    return spark.read.schema("stage string, requests long, execution_date string").json(path)
+    for stage in ("predict", "batch", "batch"):
+        files.append_run_record(records.where(F.col("stage") == stage), path, f"run-{stage}")
+    return spark.read.schema("stage string, requests long, execution_date string, run string").json(path).drop("run")
 
 
 @register("artifact_csv", ORACLE["confusion_matrix"])

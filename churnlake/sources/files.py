@@ -1,11 +1,11 @@
 """Scans and sinks.
 
 Raw data is CSV with an explicit schema (no inference pass); features and
-snapshots are Parquet under ``snapshot=<yyyyMMdd_HHmmss>`` partitions, so
-"latest" is a partition filter (pruned at planning) instead of a second
-copy.  Snapshots are written once and never overwritten, which makes a
-retried job idempotent: a rerun with the same ``run_ts`` fails loudly
-instead of mixing files.
+snapshots are Parquet under ``snapshot=<yyyyMMdd_HHmmss>`` partitions.  A manifest entry
+(``commits``) written after a snapshot names the newest one, so "latest" costs the same
+however many there are, and no second copy is kept.  Snapshots are written once
+and never overwritten: a rerun with the same ``run_ts`` fails loudly instead of mixing
+files.  Run tables are appended in a folder per run, which a rerun replaces.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from churnlake import schemas as S
 from churnlake.functions import ntz_lit
+from churnlake.session import path_exists
+from churnlake.sources import commits
 
 SNAPSHOT_FORMAT = "%Y%m%d_%H%M%S"
 
@@ -34,14 +36,12 @@ def snapshot_key_col(ts: str = "ts"):
 
 
 # --- S1 / S2 -----------------------------------------------------------------
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """Header CSV, its columns bound by name and cast to the schema's types.
+MALFORMED = "_malformed"
+MALFORMED_SCHEMA = "customerID string, field string, value string"
 
-    Columns that the schema lacks are ignored; a column that the file lacks is absent
-    from the result, so V1 fails on it.  A field that is not of its type is null.
-    Empty fields are null; a single space is kept as text (D15), so the
-    blank TotalCharges survives to the numeric coercion of P2.
-    """
+
+def parse_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+    """S1 with the fields that are not of their type: ``read_raw_csv``'s columns and ``_malformed``, an array of (field, value)."""
     raw = (
         spark.read
         .option("header", True)
@@ -51,21 +51,27 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SC
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in raw.columns])
+    fields = [f for f in schema.fields if f.name in raw.columns]
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("field"), F.col(f"`{f.name}`").alias("value"))) for f in fields if not isinstance(f.dataType, T.StringType)]
+    nothing = F.array().cast("array<struct<field:string,value:string>>")
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields], (F.array_compact(F.array(*bad)) if bad else nothing).alias(MALFORMED))
 
 
-MALFORMED_SCHEMA = "customerID string, field string, value string"
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+    """Header CSV, its columns bound by name and cast to the schema's types.
+
+    Columns that the schema lacks are ignored; a column that the file lacks is absent
+    from the result, so V1 fails on it.  A field that is not of its type is null.
+    Empty fields are null; a single space is kept as text (D15), so the
+    blank TotalCharges survives to the numeric coercion of P2.
+    """
+    return parse_raw_csv(spark, path, schema).drop(MALFORMED)
 
 
-def malformed_rows(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """S1's null fields that held text: (customerID, field, value), one row per such field."""
-    raw = spark.read.option("header", True).option("nullValue", "").csv(path)
-    typed = [f for f in schema.fields if f.name in raw.columns and not isinstance(f.dataType, T.StringType)]
-    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
-                  F.struct(F.lit(f.name).alias("field"), F.col(f"`{f.name}`").alias("value"))) for f in typed]
-    if not bad:
-        return spark.createDataFrame([], MALFORMED_SCHEMA)
-    return raw.select("customerID", F.inline(F.array_compact(F.array(*bad))))
+def malformed_fields(parsed: DataFrame) -> DataFrame:
+    """S1's null fields that held text: (customerID, field, value), one row per such field of ``parse_raw_csv``'s rows."""
+    return parsed.select("customerID", F.inline(MALFORMED))
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -75,17 +81,40 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
 
 
 # --- S3 / S4 / S5 / S6 ---------------------------------------------------------
-def write_snapshot(df: DataFrame, base: str, run_ts: _dt.datetime, fmt: str = "parquet") -> str:
-    """Write ``df`` once under ``base/snapshot=<key>``; returns the path."""
+def write_snapshot(df: DataFrame, base: str, run_ts: _dt.datetime, fmt: str = "parquet", commit: bool = True) -> str:
+    """Write ``df`` once under ``base/snapshot=<key>``; returns the path.
+
+    Readers see it once it is committed: at once, or by ``commit_snapshot`` after the caller's checks.
+    """
     path = f"{base.rstrip('/')}/snapshot={snapshot_key(run_ts)}"
     w = df.write.mode("errorifexists")
     if fmt == "csv":
         w.option("header", True).option("nullValue", "").csv(path)
     else:
         w.format(fmt).save(path)
+    if commit:
+        commit_snapshot(df.sparkSession, base, run_ts)
     return path
 
 
+def commit_snapshot(spark: SparkSession, base: str, run_ts: _dt.datetime) -> None:
+    """Add a written snapshot to the manifest; the greatest key is the latest (a backfill stays behind)."""
+    key = snapshot_key(run_ts)
+    commits.commit(spark, base, lambda entry: {"snapshot": key, "latest": max(key, entry["latest"] if entry else "")})
+
+
+def expire_snapshots(spark: SparkSession, base: str, keep: int) -> list[str]:
+    """Retention: delete all but the newest ``keep`` complete snapshots, and the manifest entries before the last ``keep``; returns the deleted keys."""
+    keys = list_snapshots(spark, base)
+    gone = keys[: max(0, len(keys) - max(1, keep))]
+    root = base.rstrip("/")
+    version, _ = commits.latest(spark, base)
+    for path in [*(f"{root}/snapshot={k}" for k in gone), *(f"{root}/_log/{v:012d}.json" for v in commits._listed(spark, base) if v <= version - max(1, keep))]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return gone
+
+
 def list_snapshots(spark: SparkSession, base: str) -> list[str]:
     """Keys of the complete snapshots (with ``_SUCCESS``) under ``base``, from directory listings only."""
     jvm = spark.sparkContext._jvm
@@ -102,28 +131,25 @@ def list_snapshots(spark: SparkSession, base: str) -> list[str]:
     return sorted(keys)
 
 
-def read_latest(spark: SparkSession, base: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    """The newest snapshot, as a partition filter over ``base``.
+def latest_snapshot(spark: SparkSession, base: str) -> str | None:
+    """Key of the newest snapshot by the manifest; folders are listed only without one, or if its snapshot is incomplete."""
+    _, entry = commits.latest(spark, base)
+    if entry and path_exists(spark, f"{base.rstrip('/')}/snapshot={entry['latest']}/_SUCCESS"):
+        return entry["latest"]
+    return max(list_snapshots(spark, base), default=None)
 
-    The key comes from a directory listing of ``base`` (one entry per
-    snapshot), and only that snapshot's folder is loaded, so file listing
-    and the scan never touch older snapshots however many accumulate.
-    """
-    keys = list_snapshots(spark, base)
-    if not keys:
+
+def read_latest(spark: SparkSession, base: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """The newest snapshot; only its folder is listed and loaded, however many there are."""
+    key = latest_snapshot(spark, base)
+    if key is None:
         raise FileNotFoundError(f"no snapshot under {base}")
     reader = spark.read.format(fmt).option("basePath", base)
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", "")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(f"{base.rstrip('/')}/snapshot={keys[-1]}")
-    return df.drop("snapshot")
-
-
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan (column pruning and filters reach the scan)."""
-    return spark.read.parquet(path)
+    return reader.load(f"{base.rstrip('/')}/snapshot={key}").drop("snapshot")
 
 
 # --- S7 / S8 / S10 -------------------------------------------------------------
@@ -169,9 +195,14 @@ def read_feature_schema(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEATURE_SCHEMA_DOC).json(path)
 
 
-def append_run_record(df: DataFrame, path: str) -> None:
-    """One record per execution date, appended, partitioned by date."""
-    df.write.mode("append").partitionBy("execution_date").json(path)
+def append_run_record(df: DataFrame, path: str, run: str) -> None:
+    """One record per execution date, partitioned by date, in a folder of the run (a retried run replaces its own)."""
+    df.write.mode("overwrite").partitionBy("execution_date").json(f"{path.rstrip('/')}/run={run}")
+
+
+def append_run(df: DataFrame, path: str, run: str) -> None:
+    """A run's rows of a run table, in a folder of the run (a retried run replaces its own)."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
 
 
 # --- S9 --------------------------------------------------------------------------

@@ -80,7 +80,7 @@ def test_full_run(spark, tmp_dir):
     # model: evaluation reports it and serving keeps the default config.
     assert out["evaluate"]["status"] == "insufficient_models"
     assert jobs.load_ab_config(spark, base) == ab.ABConfig()
-    reg_tbl = files.read_latest(spark, os.path.join(base, "registry"))
+    reg_tbl = jobs.registry(spark, base)
     assert reg_tbl.filter(F.col("stage") == "Production").count() == 1
     assert spark.read.json(os.path.join(base, "status")).count() == 2
     report = spark.read.json(out["evaluate"]["report"]).first()
@@ -193,7 +193,7 @@ def test_malformed_fields_are_recorded(spark, tmp_dir):
     path = os.path.join(tmp_dir, "bad.csv")
     spark.createDataFrame([("a", "x", "1.5"), ("b", "3", None), ("c", "1.5", "z")], "customerID string, tenure string, MonthlyCharges string").coalesce(1) \
         .write.option("header", True).csv(path)
-    got = sorted(tuple(r) for r in files.malformed_rows(spark, path).collect())
+    got = sorted(tuple(r) for r in files.malformed_fields(files.parse_raw_csv(spark, path)).collect())
     assert ("a", "tenure", "x") in got and ("c", "MonthlyCharges", "z") in got and not any(g[0] == "b" for g in got)
 
 
