@@ -6,11 +6,11 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import churnlake
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.session import shared_dir
@@ -83,6 +83,22 @@ def release(spark: SparkSession, paths: list[str]) -> None:
             own.remove(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once.  An expression inside a lambda is evaluated once per element, its variables are not."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(values: Column) -> Column:
+    """Sums of an array's first 1, 2, ... elements, by doubling: log2(n) passes of ``transform``, and no array that grows by one."""
+    passes = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+
+    def add(a: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(a, lambda x, i: x + F.when(i >= back, F.get(a, i - back)).otherwise(F.lit(0).cast("long")))
+
+    return F.aggregate(F.sequence(F.lit(0), passes), values, add)
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Total UTF-8 bytes of a text column; sizes chunks and buckets."""
     return docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0

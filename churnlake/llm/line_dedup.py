@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm._common import materialise
+from churnlake.llm._common import let, materialise
 
 # The white space stripped from both ends of a line: \x20 and \x09 to \x0D.
 SPACE = " \t\n\x0b\x0c\r"
@@ -39,8 +39,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_, text = F.col(id_col), F.col(text_col)
     mark = F.xxhash64(text)
     key = F.col("key")
+    # The text is hashed once, below the rows that it explodes to.
     lines = (docs.where(id_.isNotNull() & (F.octet_length(text) >= min_chars))
-             .select(id_.alias("id"), mark.alias("mark"), F.posexplode(_lines(text)).alias("pos", "line"))
+             .select(id_.alias("id"), mark.alias("mark"), text.alias("text"))
+             .select("id", "mark", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
              .where(F.octet_length("line") >= min_chars)
              .select("id", "mark", "pos", line_key(F.col("line")).alias("key"))
              .where(F.length("key") >= min_chars)
@@ -56,8 +58,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), id_.alias("__id"), mark.alias("__mark"))
            .join(drops, ["__id", "__mark"], "left"))
     lines_now = _lines(F.col("__row")[text_col])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines_now) - 1), F.col("__drop"))
-    kept_text = F.array_join(F.transform(kept, lambda i: F.get(lines_now, i)), "\n")
+    # The text is split once for all its lines; ``array_except`` looks positions up in a hash set.
+    kept_text = let(lines_now, lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop")), lambda i: F.get(lines, i)), "\n"))
     names = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     return out.select(
         *[F.col("__row")[c].alias(c) for c in names],

@@ -14,13 +14,12 @@ Every step is linear in the text, but for one sort of the windows' hashes.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm._common import materialise
+from churnlake.llm._common import let, materialise
 
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,11 +31,6 @@ MAX_ROUNDS, TOLERANCE = 60, 1e-6
 START_GOOD, START_BAD, START_PRIOR, SMOOTH = 0.9, 0.6, 0.7, 1.0
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _share(part: str, of: str, low: int, high: int, low_vote: int = 1) -> Column:
     """Vote ``low_vote`` where part is at most ``low`` percent of ``of``, its opposite above ``high`` percent."""
     p, n = F.col(part) * 100, F.col(of)
@@ -90,7 +84,7 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ordered = F.when(repeats, F.sort_array(F.arrays_zip(F.col("hashes").alias("h"), F.sequence(F.lit(0), F.size("hashes") - 1).alias("at"))))
     rows = rows.withColumn("ordered", ordered)
     # In hash order an entry is repeated if a neighbour has the same hash.
-    starts = _let(F.col("ordered"), lambda o: F.transform(
+    starts = let(F.col("ordered"), lambda o: F.transform(
         F.filter(o, lambda x, k: (x["h"] == F.get(o, k - 1)["h"]) | (x["h"] == F.get(o, k + 1)["h"])), lambda x: x["at"]))
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.array(s, s + 1, s + 2))))
     rows = rows.withColumn("starts", starts)
