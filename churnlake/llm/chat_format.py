@@ -9,6 +9,10 @@ one block; blocks are concatenated into one string of the template
 reversible.  Inside roles and texts a backslash doubles and ``<|`` becomes ``<\\|``: no
 control string can then occur in them, and reading back is a split and two replacements.
 The loss mask is a list of character spans, one for each assistant text.
+
+Every step takes time in proportion to a conversation's length (running sums: with the
+logarithm of its turns besides): arrays and splits are bound before a lambda reads them,
+spans come from running sums, and masked texts are cut from chunks of the output.
 """
 
 from __future__ import annotations
@@ -16,7 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.llm._common import let, running_sums
+
 TURN, TEXT, NEXT, END = "<|turn|>", "<|text|>", "<|next|>", "<|end|>"
+CHUNK = 4096  # code points that are searched for one masked text at most, besides its own
 
 
 def escape(c: Column) -> Column:
@@ -56,27 +63,21 @@ def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     blocks = F.transform("first", lambda s, k: F.struct(
         role(s).alias("role"),
         F.transform(F.slice("t", s + 1, F.coalesce(F.get(F.col("first"), k + 1), F.size("t")) - s), lambda x: x["text"]).alias("texts")))
-    chats = chats.select("conv_id", blocks.alias("blocks"))
     pieces = F.transform("blocks", lambda b: F.concat(
         F.lit(TURN), b["role"], F.lit(TEXT), F.array_join(b["texts"], NEXT), F.lit(END)))
+    chats = chats.select("conv_id", "t", blocks.alias("blocks")).select("conv_id", "t", F.array_join(pieces, "").alias("formatted"))
 
-    # Spans: one fold over the block lengths, one over the texts of a masked block.
-    def spans_of(at: Column, texts: Column) -> Column:
-        start = F.struct(at.cast("long").alias("at"), F.array().cast("array<struct<start:long,length:long>>").alias("s"))
-        return F.aggregate(texts, start, lambda acc, x: F.struct(
-            (acc["at"] + F.length(x) + len(NEXT)).alias("at"),
-            F.concat(acc["s"], F.array(F.struct(acc["at"].alias("start"), F.length(x).cast("long").alias("length")))).alias("s")))
+    # Characters from the end of the text before to the end of each text; their running sums are the ends.
+    def grown(x: Column, i: Column) -> Column:
+        head = len(TURN) + F.length(x["role"]) + len(TEXT)
+        before = F.when(i == 0, head).when(role(i - 1) != x["role"], len(END) + head).otherwise(len(NEXT))
+        return (before + F.length(x["text"])).cast("long")
 
-    def fold(acc: Column, b: Column) -> Column:
-        body = acc["at"] + len(TURN) + F.length(b["role"]) + len(TEXT)
-        after = spans_of(body, b["texts"])
-        return F.struct(
-            (after["at"] - len(NEXT) + len(END)).alias("at"),
-            F.when(b["role"] == loss_role, F.concat(acc["s"], after["s"])).otherwise(acc["s"]).alias("s"))
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,length:long>>").alias("s"))
-    return chats.select("conv_id", F.array_join(pieces, "").alias("formatted"),
-                        F.aggregate("blocks", start, fold)["s"].alias("loss_spans"))
+    chats = chats.withColumn("grown", F.transform("t", grown)).withColumn("ends", running_sums(F.col("grown")))
+    masked = let(F.col("ends"), lambda ends: F.transform(F.filter(index, lambda i: role(i) == loss_role), lambda i: let(
+        F.length(F.get(F.col("t"), i)["text"]).cast("long"),
+        lambda n: F.struct((F.get(ends, i) - n).alias("start"), n.alias("length")))))
+    return chats.select("conv_id", "formatted", masked.alias("loss_spans"))
 
 
 def read_chats(chats: DataFrame) -> DataFrame:
@@ -84,13 +85,18 @@ def read_chats(chats: DataFrame) -> DataFrame:
     parts = F.slice(_split(F.col("formatted"), TURN), 2, 1 << 30)
 
     def turns_of(part: Column) -> Column:
-        head = _split(part, TEXT)
-        body = F.get(_split(F.get(head, F.lit(1)), END), F.lit(0))
-        return F.transform(_split(body, NEXT), lambda x: F.struct(
-            unescape(F.get(head, F.lit(0))).alias("role"), unescape(x).alias("text")))
-
-    masked = F.transform("loss_spans", lambda s: unescape(
-        F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+        return let(_split(part, TEXT), lambda head: let(unescape(F.get(head, F.lit(0))), lambda role: F.transform(
+            _split(F.get(_split(F.get(head, F.lit(1)), END), F.lit(0)), NEXT),
+            lambda x: F.struct(role.alias("role"), unescape(x).alias("text")))))
+
+    def cut(chunks: Column, s: Column) -> Column:
+        """A span from the few chunks that hold it."""
+        first, last = F.floor(s["start"] / CHUNK), F.floor((s["start"] + F.greatest(s["length"], F.lit(1)) - 1) / CHUNK)
+        held = F.array_join(F.slice(chunks, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.substring(held, (s["start"] - first * CHUNK + 1).cast("int"), s["length"].cast("int"))
+
+    chunks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    masked = let(chunks, lambda c: F.transform("loss_spans", lambda s: unescape(cut(c, s))))
     return chats.select("conv_id", "formatted", F.flatten(F.transform(parts, turns_of)).alias("turns"),
                         F.array_join(masked, "").alias("loss_text"))
 
