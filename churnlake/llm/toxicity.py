@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.llm._common import materialise, release, written
 from churnlake.llm._text import IS_MARK, blocks, text_buffers, word_hashes, word_spans
 
 SLOT_BITS = 18
@@ -135,14 +136,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """The model of ``docs`` whose ids are labelled 0 or 1 and not held out.
 
     Labels of one id that disagree count as toxic; null labels and ids are left out; rows of
-    one id each count.  With no toxic or no clean document every score is the same.
-    Reaches the driver: three times 2**18 slot counts, and label, length and segment scores of
-    the rows that fit the curve (a quarter of at most ``max_train``).
+    one id each count.  With no toxic or no clean document (an empty table, too) every score is the same.
+    ``docs`` is read once: the texts of the sample are written, and all passes read those.
+    Reaches the driver: three times 2**18 slot counts, and a label and two numbers of
+    each row that fits the curve (a quarter of at most ``max_train`` ids), in two passes.
     """
+    spark, before = docs.sparkSession, written(docs.sparkSession)
     train = train_rows(labels, id_col, label_col, max_train)
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(train), "id").select("text", "toxic", "part"))
+    rows = materialise(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+                       .join(F.broadcast(train), "id").select("text", "toxic", "part"), "toxic-sample")
+    try:
+        return _fit(rows)
+    finally:
+        release(spark, [p for p in written(spark) if p not in before])
 
+
+def _fit(rows: DataFrame) -> ToxicityModel:
+    """The model of ``rows(text, toxic, part)``."""
+    spark = rows.sparkSession
     kinds = 1 + len(STEMS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +177,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if not y[0].sum() or not y[1].sum():
         return ToxicityModel(np.zeros((kinds, 1 << SLOT_BITS), np.float32), 1.0, 1.0, 0.0, (-3.0, 0.0, 0.0))
     weights = np.stack([_slot_weights(t) for t in np.split(y, kinds, axis=1)])
-    slot_weights = docs.sparkSession.sparkContext.broadcast(weights)
+    slot_weights = spark.sparkContext.broadcast(weights)
 
     # The weights' distribution over clean tokens that they were not counted from.
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,17 +192,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         clean[r["step"]] += r["n"]
     drift, lam = _drift_and_lambda(clean / clean.sum())
 
-    # Best segments of the same rows: median fit of K, then the curve.
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(n, [s for _, _, s in seg]) for n, seg in _documents(batch.column(0), slot_weights.value, drift)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([n for n, _ in found], pa.int64()),
-                                              pa.array([s for _, s in found], pa.list_(pa.float64()))], ["toxic", "n", "segments"])
+    # Of the same rows the best segment, whose median gives K, and then the features by that K for the curve.
+    def measure(log_k: float | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = list(_documents(batch.column(0), slot_weights.value, drift))
+                if log_k is None:
+                    pairs = [(float(n), max((s for _, _, s in seg), default=0.0)) for n, seg in found]
+                else:
+                    pairs = [_features(n, seg, lam, log_k, 0.05) for n, seg in found]
+                yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array([x[k] for x in pairs], pa.float64()) for k in (0, 1))], ["toxic", "a", "b"])
+
+        return rows.where("part = 0").select("text", "toxic").mapInArrow(run, "toxic int, a double, b double").collect()
 
-    seen = rows.where("part = 0").select("text", "toxic").mapInArrow(measure, "toxic int, n long, segments array<double>").collect()
-    best = [lam * max(r.segments) - np.log(r.n) for r in seen if not r.toxic and r.segments]
+    best = [lam * r.b - np.log(r.a) for r in measure(None) if not r.toxic and r.b > 0]
     log_k = float(np.median(best) + np.log(np.log(2))) if best else 0.0
-    x = np.array([(1.0, *_features(r.n, [(0, 0, s) for s in r.segments], lam, log_k, 0.05)) for r in seen]).reshape(-1, 3)
+    seen = measure(log_k)
+    x = np.array([(1.0, r.a, r.b) for r in seen]).reshape(-1, 3)
     return ToxicityModel(weights, drift, lam, log_k, _logistic(x, np.array([r.toxic for r in seen], float)))
 
 
