@@ -52,11 +52,6 @@ class ABConfig:
     def disable(self) -> ABConfig:
         return replace(self, enabled=False)
 
-    @classmethod
-    def from_row(cls, row) -> ABConfig:
-        return cls(row["model_a"], row["model_b"], float(row["weight_a"]), float(row["weight_b"]),
-                   bool(row["enabled"])).normalised()
-
 
 def normalise_config(configs: DataFrame) -> DataFrame:
     """R3/R4 over a table of configurations (model_a, model_b, weight_a, weight_b, enabled)."""
@@ -127,6 +122,20 @@ def derive_ab_weights(ranked: DataFrame, name: str = "name", score: str = "f1_sc
     )
 
 
+def split_map(cfg: ABConfig) -> Column:
+    """R6 of a configuration: model name -> share of the traffic (one entry, the sum, if both names are equal)."""
+    c = cfg.normalised()
+    shares: dict[str, float] = {}
+    for name, w in ((c.model_a, c.weight_a), (c.model_b, c.weight_b)):
+        shares[name] = shares.get(name, 0.0) + w
+    return F.create_map(*[x for name, w in shares.items() for x in (F.lit(name), F.lit(float(w)))])
+
+
+def write_metric_lines(stats: DataFrame, path: str) -> None:
+    """P24's text sink: the exposition lines of ``per_model_stats``, one file (two lines per model)."""
+    metric_lines(stats).select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
 def ab_stats(log: DataFrame, cfg: ABConfig, endpoint: str = "predict") -> DataFrame:
     """Request counts and mean latency of model A and B (0 when none).
 
@@ -148,6 +157,7 @@ def ab_stats(log: DataFrame, cfg: ABConfig, endpoint: str = "predict") -> DataFr
         F.coalesce("b_lat", F.lit(0.0)).alias("model_b_avg_latency_ms"),
         F.lit(cfg.model_a).alias("model_a_name"),
         F.lit(cfg.model_b).alias("model_b_name"),
+        split_map(cfg).alias("traffic_split"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Importance tables and per-row explanations (J1, J2, W5, W6, W7, M9 output).
+"""Importance tables and per-row explanations (J1, J2, W5, W6, M9 output).
 
 Importances are per model (24 numbers), so their order is found once per
 model; the per-row explanation is then a fixed projection — an array of
@@ -33,18 +33,6 @@ def sorted_importance(table: DataFrame) -> DataFrame:
     return table.withColumn("rank", F.row_number().over(w))
 
 
-def importance_map(table: DataFrame) -> DataFrame:
-    """Feature -> importance map per model, in importance order."""
-    entries = F.sort_array(
-        F.collect_list(F.struct(-F.col("importance"), F.col("position"), F.col("feature"), F.col("importance")))
-    )
-    return table.groupBy("model").agg(
-        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["feature"], e["importance"]))).alias(
-            "feature_importance"
-        )
-    )
-
-
 def top_names(importances: Sequence[float], features: Sequence[str] = S.ALL_FEATURES, k: int = 5) -> list[tuple[str, float]]:
     """The k most important features of one model, stable order (24 numbers, driver-side)."""
     order = sorted(range(len(features)), key=lambda i: (-importances[i], i))

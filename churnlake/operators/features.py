@@ -32,12 +32,6 @@ def service_count(columns: list[str]) -> Column:
     return total
 
 
-def contract_flags() -> list[Column]:
-    """One-hot contract type, null -> all zero."""
-    names = ["contract_month_to_month", "contract_one_year", "contract_two_year"]
-    return [flag_eq("Contract", v).alias(n) for v, n in zip(S.CONTRACTS, names)]
-
-
 def risk_score(contract_m2m: Column, payment_electronic: Column, is_new: Column,
                has_support: Column, has_fiber: Column, is_loyal: Column) -> Column:
     """Weighted heuristic risk (weights are fixed values 3, 2, 2, 1, 1, -2)."""

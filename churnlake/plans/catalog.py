@@ -464,11 +464,12 @@ def q_ab_route_disabled(spark, sf_dir):
   COUNT_IF(model = 'telco-churn-gradient_boosting') AS model_b_requests,
   round(COALESCE(AVG(CASE WHEN model = 'telco-churn-random_forest' THEN latency_ms END), 0), 6) AS model_a_avg_latency_ms,
   round(COALESCE(AVG(CASE WHEN model = 'telco-churn-gradient_boosting' THEN latency_ms END), 0), 6) AS model_b_avg_latency_ms,
-  'telco-churn-random_forest' AS model_a_name, 'telco-churn-gradient_boosting' AS model_b_name
+  'telco-churn-random_forest' AS model_a_name, 'telco-churn-gradient_boosting' AS model_b_name,
+  '{"telco-churn-random_forest":0.8,"telco-churn-gradient_boosting":0.2}' AS traffic_split
 FROM plog WHERE endpoint = 'predict'""",
 )
 def q_ab_stats(spark, sf_dir):
-    s = ab.ab_stats(fx.prediction_log(spark, sf_dir), ab.ABConfig())
+    s = ab.ab_stats(fx.prediction_log(spark, sf_dir), ab.ABConfig()).withColumn("traffic_split", F.to_json("traffic_split"))
     return _round_cols(s, {"model_a_avg_latency_ms", "model_b_avg_latency_ms"}, 6)
 
 
@@ -691,15 +692,21 @@ LEFT JOIN au ON prod.name = 'telco-churn-' || au.model
 CROSS JOIN abw""",
 )
 def q_evaluation_report(spark, sf_dir):
+    return evaluation_tables(spark, sf_dir)[0]
+
+
+def evaluation_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """J3's report and the ranked models.  The scored rows are written once; one aggregate gives the counts and the ranking, one chain the AUC."""
     from churnlake.plans import reports
+    from churnlake.session import write_shared
 
-    return reports.evaluation_report(
-        reg.production_versions(fx.model_versions(spark, sf_dir)),
-        met.classification_metrics(scored_long(spark, sf_dir)).select(
-            reg.registered_name("model").alias("name"), "f1_score"),
-        auc_ops.roc_auc(scored_long(spark, sf_dir)).select(reg.registered_name("model").alias("name"), "roc_auc"),
-        ranked_models(spark, sf_dir),
-    )
+    long = write_shared(scored_long(spark, sf_dir), "scored")
+    m = write_shared(met.classification_metrics(long).withColumn("name", reg.registered_name("model")), "metrics")  # one row per model
+    ranked = met.rank_models(m.select("model", "name", "f1_score", "accuracy", "precision", "recall"), S.MODEL_KEYS)
+    report = reports.evaluation_report(
+        reg.production_versions(fx.model_versions(spark, sf_dir)), m.select("name", "f1_score"),
+        auc_ops.roc_auc(long).select(reg.registered_name("model").alias("name"), "roc_auc"), ranked)
+    return report, ranked
 
 
 # --- 2.8 T1: streaming counters, checked against the batch SQL -------------------
@@ -826,10 +833,11 @@ def q_score_batch(spark, sf_dir):
 def q_score_explain(spark, sf_dir):
     from churnlake.plans import serving
 
-    m = trained.models_for(spark, sf_dir, ["random_forest"])["random_forest"]
-    ex = serving.explain_requests(fx.requests(spark, sf_dir), S.DEFAULT_AB_MODEL_A, m)
-    return xpl.factors_long(ex.select("customer_id", "probability", "risk_level", "top_risk_factors"),
-                            ["customer_id", "probability", "risk_level"])
+    models = trained.registry_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
+    info = reg.serving_versions(fx.model_versions(spark, sf_dir))
+    keys = ["customer_id", "churn_probability", "churn_prediction", "risk_level", "model", "ab_group", "model_version", "timestamp", "feature_importance"]
+    ex = serving.explain_requests(fx.requests(spark, sf_dir), models, ab.ABConfig(), info, RUN_TS)
+    return xpl.factors_long(ex.withColumn("feature_importance", F.to_json("feature_importance")).select(*keys, "top_risk_factors"), keys)
 
 
 @register("stream_score")

@@ -18,6 +18,7 @@ Layout under one base folder (a shared cluster path)::
     predictions/snapshot=<key>/    K5  scored requests
     rejects/snapshot=<key>/        K5  rejected requests with their reasons (V4)
     prediction_log/snapshot=<key>/ K5  one row per scored request (input of T1)
+    batch_summaries/snapshot=<key>/ K5 how many were scored, and their mean time (A12)
     status/                        K6  run status rows by run and execution date (S10)
 
 Every snapshot is written once; "latest" is its manifest's entry (S4).
@@ -263,8 +264,8 @@ def load_ab_config(spark: SparkSession, base: str) -> ab.ABConfig:
 
 
 # --- K5 -------------------------------------------------------------------------
-def score(spark: SparkSession, base: str, requests: DataFrame, run_ts: _dt.datetime) -> dict:
-    """K5: stored models and A/B config -> V4 -> R1 -> M13 -> predictions, rejects and a prediction log.
+def score(spark: SparkSession, base: str, requests: DataFrame, run_ts: _dt.datetime, explain: bool = False) -> dict:
+    """K5: stored models and A/B config -> V4 -> R1 -> M13 (with ``explain`` M14) -> predictions, rejects, a prediction log and its summary.
 
     A name whose serving version cannot be loaded is recorded and its rows go to the first loaded model.
     """
@@ -279,14 +280,17 @@ def score(spark: SparkSession, base: str, requests: DataFrame, run_ts: _dt.datet
     if not models:
         raise FileNotFoundError(f"no model of {base} can be loaded: {failed}")
     cfg = load_ab_config(spark, base)
-    predictions = files.write_snapshot(serving.score_requests(requests, models, cfg, info, run_ts), _p(base, "predictions"), run_ts)
+    how = serving.explain_requests if explain else serving.score_requests
+    predictions = files.write_snapshot(how(requests, models, cfg, info, run_ts), _p(base, "predictions"), run_ts)
     rejects = files.write_snapshot(serving.rejected_requests(requests), _p(base, "rejects"), run_ts)
     written = spark.read.parquet(predictions)
     log = written.select(
         F.xxhash64("customer_id", "timestamp").alias("request_id"), F.col("timestamp").alias("ts"), "customer_id",
-        F.lit(None).cast("double").alias("latency_ms"), F.lit("batch").alias("endpoint"), "model", "ab_group")
-    files.write_snapshot(log, _p(base, "prediction_log"), run_ts)
-    return {"scored": written.count(), "rejected": spark.read.parquet(rejects).count(), "models": list(models), "failed": failed,
+        F.lit(None).cast("double").alias("latency_ms"), F.lit("explain" if explain else "batch").alias("endpoint"), "model", "ab_group")
+    logged = spark.read.schema(log.schema).parquet(files.write_snapshot(log, _p(base, "prediction_log"), run_ts))
+    summary = ab.batch_summary(logged, "explain" if explain else "batch")
+    summary = spark.read.schema(summary.schema).json(files.write_snapshot(summary, _p(base, "batch_summaries"), run_ts, fmt="json")).first().asDict()
+    return {"scored": summary["total_processed"], "summary": summary, "rejected": spark.read.parquet(rejects).count(), "models": list(models), "failed": failed,
             "predictions": predictions}
 
 

@@ -292,21 +292,29 @@ def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
     return met.cv_summary(met.fold_f1(long))
 
 
+def output_schema(model: PipelineModel, inputs: StructType) -> StructType:
+    """What the model returns for rows of ``inputs``: probability and class, from an empty table (no job)."""
+    return score(model, SparkSession.getActiveSession().createDataFrame([], inputs), keep=()).schema
+
+
 def save(model: PipelineModel, path: str, input_schema_json: str) -> None:
-    """One artifact with scaling + model, and the input signature beside it."""
+    """One artifact with scaling + model, and the signature (inputs and outputs) beside it."""
     model.write().overwrite().save(path)
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(input_schema_json,)], "signature string").coalesce(1).write.mode("overwrite").text(
+    inputs = StructType.fromJson(json.loads(input_schema_json))
+    signature = json.dumps({"inputs": inputs.jsonValue(), "outputs": output_schema(model, inputs).jsonValue()})
+    spark.createDataFrame([(signature,)], "signature string").coalesce(1).write.mode("overwrite").text(
         path.rstrip("/") + "_signature"
     )
 
 
 def load(path: str, expect_columns: Sequence[str] | None = None, expect_schema: StructType | None = None) -> PipelineModel:
-    """Load and check the saved signature against the expected inputs: their names and, with a schema, their types."""
+    """Load and check the saved signature against the expected inputs (their names and, with a schema, their types) and what the loaded model returns."""
     spark = SparkSession.getActiveSession()
-    sig = spark.read.text(path.rstrip("/") + "_signature").first()
+    row = spark.read.text(path.rstrip("/") + "_signature").first()
+    sig = json.loads(row[0]) if row is not None else None
     if sig is not None and expect_columns is not None:
-        signed = {f.name: f.dataType.simpleString() for f in StructType.fromJson(json.loads(sig[0])).fields}
+        signed = {f.name: f.dataType.simpleString() for f in StructType.fromJson(sig["inputs"]).fields}
         missing = [c for c in expect_columns if c not in signed]
         if missing:
             raise ValueError(f"model signature lacks {missing}")
@@ -314,7 +322,13 @@ def load(path: str, expect_columns: Sequence[str] | None = None, expect_schema:
         other = {c: (signed[c], given[c]) for c in expect_columns if c in given and given[c] != signed[c]}
         if other:
             raise ValueError(f"types differ from the model signature: {other}")
-    return PipelineModel.load(path)
+    model = PipelineModel.load(path)
+    if sig is not None:
+        returns, signed_out = ([(f.name, f.dataType.simpleString()) for f in x.fields] for x in (
+            output_schema(model, StructType.fromJson(sig["inputs"])), StructType.fromJson(sig["outputs"])))
+        if returns != signed_out:
+            raise ValueError(f"the model returns {returns}, its signature says {signed_out}")
+    return model
 
 
 @dataclass

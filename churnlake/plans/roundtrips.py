@@ -101,10 +101,36 @@ def q_ab_config_doc(spark, sf_dir):
 
 @register("evaluation_report_doc", ORACLE["evaluation_report"])
 def q_evaluation_report_doc(spark, sf_dir):
-    """S13."""
-    report = QUERIES["evaluation_report"](spark, sf_dir)
-    path = docs.write_report(report, scratch_path(spark, "reports"), RUN_TS)
-    return spark.read.schema(report.schema).json(path)
+    """The nested document, its sections read back and laid out as J3's rows."""
+    report, ranked = catalog.evaluation_tables(spark, sf_dir)
+    weights = ab.derive_ab_weights(ranked).first().asDict()  # one row
+    doc = docs.report_document(report, weights, [], RUN_TS)
+    back = spark.read.schema(doc.schema).json(docs.write_report(doc, scratch_path(spark, "reports"), RUN_TS))
+    rows = back.select(F.explode("production_models").alias("m"), "model_comparison", "ab_configuration", "summary")
+    compared = F.get(F.filter("model_comparison", lambda x: x["name"] == F.col("m.name")), F.lit(0))
+    role = F.when(F.col("m.name") == F.col("ab_configuration.champion.name"), "champion").when(
+        F.col("m.name") == F.col("ab_configuration.challenger.name"), "challenger")
+    weight = F.when(role == "champion", F.col("ab_configuration.champion.weight")).when(role == "challenger", F.col("ab_configuration.challenger.weight"))
+    return rows.select("m.name", "m.version", "m.run_id", compared["f1_score"].alias("f1_score"), compared["roc_auc"].alias("roc_auc"),
+                       role.alias("role"), weight.alias("weight"), "summary.total_models", "summary.best_model")
+
+
+@register("metric_lines_text", f"SELECT line FROM ({ORACLE['metric_lines']}) l")
+def q_metric_lines_text(spark, sf_dir):
+    """P24's text sink, read back line by line."""
+    path = scratch_path(spark, "metric_lines")
+    ab.write_metric_lines(ab.per_model_stats(fx.prediction_log(spark, sf_dir)).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@register(
+    "timestamp_keys",
+    O.PLOG + """SELECT request_id, strftime(ts, '%Y%m%d_%H%M%S') AS snapshot_key, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM plog""",
+)
+def q_timestamp_keys(spark, sf_dir):
+    """P23 for every row of the prediction log."""
+    key, iso = files.snapshot_key_col("ts")
+    return fx.prediction_log(spark, sf_dir).select("request_id", key.alias("snapshot_key"), iso.alias("iso"))
 
 
 @register("post_write_check", O.RAW + "SELECT COUNT(*) AS source_rows, COUNT(*) AS written_rows FROM raw")

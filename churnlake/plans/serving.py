@@ -9,12 +9,12 @@ narrow projection or filter: the only data movement is the scan itself.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake import schemas as S
 from churnlake.functions import ntz_lit
 from churnlake.operators import abtest as ab
 from churnlake.operators import explain as xpl
@@ -24,7 +24,7 @@ from churnlake.plans import models as mdl
 
 
 def _score_routed(routed: DataFrame, models: dict[str, PipelineModel], names: list[str], keep: list[str],
-                  default: str) -> DataFrame:
+                  default: str, explain: Callable[[DataFrame, PipelineModel], DataFrame] | None = None) -> DataFrame:
     """Probability of each row under the model it was routed to.
 
     One branch per routed model: the branch keeps its own rows (a filter on
@@ -37,6 +37,7 @@ def _score_routed(routed: DataFrame, models: dict[str, PipelineModel], names: li
     for name in names:
         model = models.get(name) or models[default]
         part = routed.filter(F.col("model") == name)
+        part = part if explain is None else explain(part, model)
         scored = model.transform(part).select(*keep, "model", "ab_group", mdl.p1().alias("probability"))
         out = scored if out is None else out.unionByName(scored)
     return out
@@ -49,19 +50,25 @@ def score_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: a
     ``models`` maps registry names to fitted pipelines; a routed name that is
     not loaded falls back to the first loaded model (as the reference does).
     """
+    return _present(requests, models, cfg, model_info, run_ts)
+
+
+def _present(requests: DataFrame, models: dict[str, PipelineModel], cfg: ab.ABConfig, model_info: DataFrame | None,
+             run_ts: _dt.datetime | None, more: Sequence[str] = (), explain: Callable[[DataFrame, PipelineModel], DataFrame] | None = None) -> DataFrame:
+    """The valid requests' routed scores as the reference shows them, with the columns ``more`` that ``explain`` adds to a branch."""
     valid, _rejected = qual.split_valid(requests)
     feats = sco.request_features(valid)
     cfg = cfg.normalised()
     routed = ab.route(feats, cfg)
     default = next(iter(models))
     names = [cfg.model_a] if not cfg.enabled else [cfg.model_a, cfg.model_b]
-    scored = _score_routed(routed, models, list(dict.fromkeys(names)), ["customer_id"], default)
+    scored = _score_routed(routed, models, list(dict.fromkeys(names)), ["customer_id", *more], default, explain)
     out = scored.select(
         "customer_id",
         F.col("probability").alias("churn_probability"),
         sco.decision("probability").alias("churn_prediction"),
         sco.risk_level("probability").alias("risk_level"),
-        "model", "ab_group",
+        "model", "ab_group", *more,
     )
     if model_info is not None:
         out = xpl.lookup_model_info(out, model_info, default_name=default, loaded=list(models))
@@ -80,21 +87,22 @@ def rejected_requests(requests: DataFrame) -> DataFrame:
     return qual.split_valid(requests)[1].select("customer_id", "reasons")
 
 
-def explain_requests(requests: DataFrame, model_name: str, model: PipelineModel, k: int = 5) -> DataFrame:
-    """Prediction + top-k risk factors + the model's importance map."""
-    valid, _ = qual.split_valid(requests)
-    feats = sco.request_features(valid)
-    imps = mdl.importances(model)
-    ordered = sorted(zip(S.ALL_FEATURES, imps), key=lambda t: -t[1])  # 24 numbers, stable
-    imap = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in ordered]), F.array(*[F.lit(float(v)) for _, v in ordered]))
-    with_top = xpl.with_top_factors(feats, imps, k=k)
-    scored = model.transform(with_top)
-    return scored.select(
-        "customer_id",
-        mdl.p1().alias("probability"),
-        sco.decision(mdl.p1()).alias("prediction"),
-        sco.risk_level(mdl.p1()).alias("risk_level"),
-        F.lit(model_name).alias("model_name"),
-        imap.alias("feature_importance"),
-        "top_risk_factors",
-    )
+def importance_map(importances: list[float]) -> Column:
+    """A model's feature -> importance, most important first, as one literal map (24 entries)."""
+    ordered = xpl.top_names(importances, k=len(importances))
+    return F.map_from_arrays(F.array(*[F.lit(n) for n, _ in ordered]), F.array(*[F.lit(v) for _, v in ordered]))
+
+
+def explain_requests(requests: DataFrame, models: dict[str, PipelineModel], cfg: ab.ABConfig, model_info: DataFrame | None = None,
+                     run_ts: _dt.datetime | None = None, k: int = 5) -> DataFrame:
+    """Valid requests -> routed (R1), scored by their own model, and explained by it.
+
+    Besides ``score_requests``' columns: ``feature_importance`` (W7, the map of the model that
+    scored the row) and ``top_risk_factors`` (W6, its ``k`` most important features with
+    the row's values).  Both are literals and projections of a branch: no join, no shuffle.
+    """
+    def explained(part: DataFrame, model: PipelineModel) -> DataFrame:
+        imps = mdl.importances(model)
+        return xpl.with_top_factors(part, imps, k=k).withColumn("feature_importance", importance_map(imps))
+
+    return _present(requests, models, cfg, model_info, run_ts, ["feature_importance", "top_risk_factors"], explained)

@@ -81,8 +81,3 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
     if not done:
         raise FileNotFoundError(f"no complete counters under {path}")
     return spark.read.parquet(f"{path}/{BATCH}{done[-1]}")
-
-
-def metric_lines_stream(counters: DataFrame) -> DataFrame:
-    """P24 over the live counters."""
-    return ab.metric_lines(counters.withColumn("avg_latency_ms", F.col("avg_latency_ms")))

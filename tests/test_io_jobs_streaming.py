@@ -250,3 +250,75 @@ def test_changed_tables_are_fitted_anew(spark, tmp_dir):
     pq.write_table(kept, f"{folder}/customer.parquet")
     second = trained.prepared(spark, folder)
     assert second is not first and second.n_train < first.n_train
+
+
+def test_explanations_are_those_of_each_rows_own_model(spark):
+    from churnlake.plans import models as mdl
+    from churnlake.plans import serving, trained
+
+    models = trained.registry_models(spark, SF_SMALL, ["logistic_regression", "random_forest"])
+    cfg = ab.ABConfig(S.MODEL_PREFIX + "logistic_regression", S.MODEL_PREFIX + "random_forest", 0.5, 0.5)
+    info = spark.createDataFrame([(n, "3", "run-3", "Production") for n in models], S.MODEL_VERSION_SCHEMA)
+    ts = dt.datetime(2024, 4, 1)
+    # A collected map is a dict without the map's order.
+    rows = serving.explain_requests(fx.requests(spark, SF_SMALL), models, cfg, info, ts).withColumn("entries", F.map_entries("feature_importance")).collect()
+    scored = {r.customer_id: r for r in serving.score_requests(fx.requests(spark, SF_SMALL), models, cfg, info, ts).collect()}
+    from churnlake.operators import quality as qual
+    from churnlake.operators import scoring as sco
+
+    values = {r.customer_id: r for r in sco.request_features(qual.split_valid(fx.requests(spark, SF_SMALL))[0]).collect()}
+    assert {r.customer_id for r in rows} == scored.keys() and {r.ab_group for r in rows} == {"A", "B"}
+    for r in rows:
+        s = scored[r.customer_id]
+        assert all(r[c] == s[c] for c in s.asDict())
+        imps = mdl.importances(models[r.model])
+        order = sorted(range(len(imps)), key=lambda i: (-imps[i], i))
+        assert [tuple(e) for e in r.entries] == [(S.ALL_FEATURES[i], imps[i]) for i in order]
+        assert [(f.feature, f.value, f.importance, f.contribution) for f in r.top_risk_factors] == [
+            (n, float(v), imps[i], "increases" if v > 0.5 else "decreases") for i in order[:5] for n in [S.ALL_FEATURES[i]] for v in [values[r.customer_id][n]]]
+
+
+def test_scoring_job_explains_and_sums_up(spark, tmp_dir):
+    csv, base, ts = os.path.join(tmp_dir, "k5x.csv"), os.path.join(tmp_dir, "lake_k5x"), dt.datetime(2024, 3, 7)
+    files.write_raw_csv(fx.raw_customers(spark, SF_SMALL), csv)
+    jobs.ingest(spark, csv, base, ts, min_rows=100)
+    jobs.build_features(spark, base, ts)
+    jobs.train(spark, base, ts, keys=["logistic_regression"], with_cv=False)
+    out = jobs.score(spark, base, fx.requests(spark, SF_SMALL), ts, explain=True)
+    rows = spark.read.parquet(out["predictions"])
+    assert {"feature_importance", "top_risk_factors", "model_version", "ab_group", "timestamp"} <= set(rows.columns)
+    assert out["summary"] == {"total_processed": rows.count(), "avg_prediction_time_ms": 0.0}
+    empty = jobs.score(spark, base, fx.requests(spark, SF_SMALL).limit(0), ts + dt.timedelta(days=1))
+    assert empty["summary"]["total_processed"] == 0 and empty["rejected"] == 0
+
+
+def test_signature_covers_outputs(spark, tmp_dir):
+    import json
+
+    from churnlake.plans import models as mdl
+    from churnlake.plans import trained
+
+    good = trained.models_for(spark, SF_SMALL, ["logistic_regression"])["logistic_regression"]
+    schema = trained.prepared(spark, SF_SMALL).test.select(*S.ALL_FEATURES).schema
+    path = os.path.join(tmp_dir, "signed")
+    mdl.save(good, path, schema.json())
+    sig = json.loads(spark.read.text(path + "_signature").first()[0])
+    assert [f["name"] for f in sig["outputs"]["fields"]] == ["probability", "prediction"]
+    sig["outputs"]["fields"][1]["type"] = "string"
+    spark.createDataFrame([(json.dumps(sig),)], "s string").coalesce(1).write.mode("overwrite").text(path + "_signature")
+    with pytest.raises(ValueError, match="its signature says"):
+        mdl.load(path, S.ALL_FEATURES, schema)
+
+
+def test_object_store_options_never_default_credentials():
+    assert files.s3a_options() == {"spark.hadoop.fs.s3a.path.style.access": "true"}
+    assert files.s3a_options("http://store:9000", "k", None) == {
+        "spark.hadoop.fs.s3a.path.style.access": "true", "spark.hadoop.fs.s3a.endpoint": "http://store:9000"}
+    full = files.s3a_options("http://store:9000", "k", "s", path_style=False)
+    assert full["spark.hadoop.fs.s3a.access.key"] == "k" and full["spark.hadoop.fs.s3a.secret.key"] == "s"
+    assert full["spark.hadoop.fs.s3a.path.style.access"] == "false"
+
+
+def test_traffic_split_of_equal_names_is_one_entry(spark):
+    one = spark.range(1).select(ab.split_map(ab.ABConfig("m", "m", 3.0, 1.0)).alias("s")).first().s
+    assert one == {"m": 1.0}
