@@ -248,7 +248,7 @@ def test_components(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF_SMALL)
     res = con.execute(queries.ORACLE[name])
