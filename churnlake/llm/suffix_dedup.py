@@ -9,7 +9,10 @@ place, and only anchors whose first bytes occur in more than one document can ma
    bytes are counted in buckets, and unique ones drop out.
 2. Each remaining anchor's suffix, with the bytes before it that a string over it needs,
    goes to one of the ranges that sampled splitters cut by the leading tokens (three of 8
-   bytes).  A chunk sends equal suffixes once, with their least document.
+   bytes).  The sample holds pieces of texts from everywhere, a fixed amount for each
+   range.  Beyond ``MAX_RANGES`` ranges each is dealt on by the hash of the first ``GRAM``
+   bytes, so the splitters stay bounded while ranges keep their size.  A chunk sends equal
+   suffixes once, with their least document.
 3. A range sorts its strings by multikey quicksort: by the first token, then each run of
    equals by the next, until seven tokens agree.  The splitters are cut before the
    suffixes' first ``GRAM`` bytes end, so strings that share an anchor never lie on both
@@ -20,16 +23,22 @@ place, and only anchors whose first bytes occur in more than one document can ma
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.llm import _chunks as C
+from churnlake.llm._common import let
 from churnlake.llm._text import BYTE_VALUE, blocks, rolling_hash, text_buffers
 
 GRAM = 25  # so a string has 26 grams, and a reign fits 32 bits
 LEAD = 24  # bytes that the splitters compare: three tokens, fewer than GRAM
+MAX_RANGES = 1 << 12  # ranges that splitters cut
+PIECE = 1 << 12  # bytes of a sampled piece of text
+SAMPLE_BYTES = 1 << 14  # bytes of sampled pieces for each range: some 70 leads
 SUFFIXES = "part int, chunk long, suffixes binary, reign binary, owner binary, ordinal binary"
 ANSWERS = "chunk long, ordinal binary, mask binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,length:long>>, kept binary"
@@ -153,6 +162,27 @@ def _earlier(reign: np.ndarray, text: np.ndarray, owner: np.ndarray, length: int
     return ((table[group] < owner[:, None]).astype(np.uint64) << np.arange(before + 1, dtype=np.uint64)).sum(1).astype(np.uint64)
 
 
+def _splitters(rows: DataFrame, length: int, parts: int, rate: int) -> np.ndarray:
+    """At most ``parts - 1`` leads that cut the suffixes evenly: quantiles of every 16th anchor of one piece of text in ``rate``.
+
+    Pieces are picked by hash from all rows, so long texts and short ones count by their
+    bytes.  Only balance depends on the sample.
+    """
+    pieces = F.sequence(F.lit(0), F.floor(F.octet_length("text") / F.lit(PIECE)).cast("int"))
+    picked = F.filter(pieces, lambda i: F.pmod(F.xxhash64("mark", i), F.lit(rate)) == 0)
+    cut = let(F.col("text").cast("binary"), lambda body: F.transform(picked, lambda i: F.substring(body, i * PIECE + 1, F.lit(PIECE))))
+
+    def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            chunk = _Chunk(pa.table({"doc_id": pa.array(np.zeros(n, np.int64)), "mark": pa.array(np.arange(n)), "text": batch.column(0)}), length)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk.data[a : a + LEAD].tobytes() for a in chunk.at[::16].tolist()], pa.binary())], ["lead"])
+
+    found = rows.select(F.explode(cut).alias("text")).mapInArrow(leads, "lead binary").toArrow()["lead"].to_pylist()
+    sample = np.sort(np.array(found, f"S{LEAD}"))
+    return np.unique(sample[len(sample) * np.arange(1, parts) // parts]) if len(sample) else sample
+
+
 def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
                           chunk_bytes: int = C.CHUNK_BYTES, part_bytes: int = 4 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, removed, kept``: one row per row of ``docs``.
@@ -163,25 +193,22 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_
     text is empty.  Rows of one id are not smaller than each other.  Rows without an id
     lose nothing and count for nothing.  Other columns are ignored.
     """
+    if not GRAM <= length <= GRAM + 31:
+        raise ValueError(f"length is {length}; strings have from {GRAM} to {GRAM + 31} bytes")
     spark = docs.sparkSession
     known = docs.where(F.col(id_col).isNotNull())
     rows, total = C.chunked(known, id_col, text_col, chunk_bytes)
     buckets = C.bucket_count(max(1, total // 12))
-    parts = max(1, -(-total // part_bytes))
+    wanted = max(1, -(-total // part_bytes))
+    parts = min(wanted, MAX_RANGES)
+    deals = -(-wanted // parts)
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         return C.pack_hashes(key[0].as_py(), np.unique(_Chunk(table, length).gram), buckets)
 
     answers = C.shared_bits(rows.groupBy("chunk").applyInArrow(send, C.HASHES))
 
-    # Splitters: leading tokens of every 16th anchor of one chunk (a bounded sample; only balance depends on it).
-    def leads(table: pa.Table) -> pa.Table:
-        chunk = _Chunk(table, length)
-        some = chunk.at[::16]
-        return pa.table({"lead": pa.array([chunk.data[a : a + LEAD].tobytes() for a in some.tolist()], pa.binary())})
-
-    sample = sorted(r[0] for r in rows.where(F.col("chunk") == 0).groupBy("chunk").applyInArrow(leads, "lead binary").collect()) if parts > 1 else []
-    cuts = np.array([bytes(sample[len(sample) * k // parts]) for k in range(1, parts)] if sample else [], f"S{LEAD}")
+    cuts = _splitters(rows, length, parts, max(1, total // parts // SAMPLE_BYTES)) if parts > 1 else np.array([], f"S{LEAD}")
     splitters = spark.sparkContext.broadcast(cuts)
 
     def candidates(key: tuple, table: pa.Table, bits: pa.Table) -> pa.Table:
@@ -195,7 +222,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_
             _, first = np.unique(_rows_as_keys(reign, text), return_index=True)
             reign, text, which = reign[first], text[first], which[first]
             lead = np.ascontiguousarray(text[:, chunk.span - 1 : chunk.span - 1 + LEAD]).view(f"S{LEAD}").ravel()
-            part = np.searchsorted(splitters.value, lead, "right")
+            part = np.searchsorted(splitters.value, lead, "right") * deals + (chunk.gram[which] >> np.uint64(8)).astype(np.int64) % deals
             for p in np.unique(part).tolist():
                 at = np.flatnonzero(part == p)
                 out["part"].append(p)
