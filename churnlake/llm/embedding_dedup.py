@@ -33,6 +33,8 @@ FOUND = "rep long, links long, a long, b long"
 def _unit(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(len(vectors), -1) if len(vectors) else np.empty((0, 1))
+    # Exact scaling by a power of two: squares of very large or very small components stay in range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

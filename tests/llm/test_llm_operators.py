@@ -59,7 +59,9 @@ def test_windows_match_brute_force(docs, texts):
     assert got == want
 
 
-def test_bytes_match_brute_force(docs, texts):
+@pytest.mark.parametrize("ranges", [suffix_dedup.MAX_RANGES, 3])
+def test_bytes_match_brute_force(docs, texts, ranges, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MAX_RANGES", ranges)
     got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(
         docs, length=50, chunk_bytes=2000, part_bytes=1500).collect())
     least = {}
@@ -173,6 +175,39 @@ def test_chats_read_back(spark):
     assert [tuple(t) for t in out[2].turns] == [("", "x<")] and out[2].loss_text == "" and out[None].loss_text == "|"
 
 
+def test_byte_string_lengths_out_of_range_are_refused(docs):
+    for length in (24, 57):
+        with pytest.raises(ValueError, match="from 25 to 56"):
+            suffix_dedup.remove_repeated_bytes(docs, length=length)
+
+
+def test_splitters_come_from_all_texts(spark):
+    """One long text and many short ones, a passage in all: every range gets about the same number of leads, no chunk matters more."""
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
+    draw = lambda n: letters[rng.integers(0, len(letters), n)].tobytes().decode()
+    common = draw(120)
+    texts = [(0, draw(400_000)), *[(i, draw(200) + common + draw(200)) for i in range(1, 800)], (900, None), (901, "short")]
+    rows, total = suffix_dedup.C.chunked(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text", 50_000)
+    parts = total // 50_000
+    cuts = suffix_dedup._splitters(rows, 50, parts, 4)
+    assert parts // 2 < len(cuts) < parts and (cuts[1:] > cuts[:-1]).all()
+    whole = suffix_dedup._Chunk(rows.select("doc_id", "mark", "text").toArrow(), 50)
+    leads = np.array([whole.data[a : a + 24].tobytes() for a in whole.at.tolist()], "S24")
+    distinct = np.unique(leads)
+    share = np.bincount(np.searchsorted(cuts, distinct, "right"), minlength=len(cuts) + 1) / len(distinct)
+    assert share.max() < 4 / parts
+    assert len(suffix_dedup._splitters(rows.where("doc_id > 900"), 50, parts, 1)) == 0
+
+
+def test_vectors_of_extreme_size_keep_their_cosine(spark):
+    base = np.random.default_rng(5).standard_normal(8)
+    rows = [(1, base.tolist(), 0), (2, (base * 1e300).tolist(), 0), (3, (base * 1e-300).tolist(), 0), (4, (-base * 1e300).tolist(), 0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_embeddings_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "LEAF", 64)
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
