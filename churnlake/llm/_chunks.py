@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm._common import text_bytes
+from churnlake.llm._common import ship_code, text_bytes
 
 CHUNK_BYTES = 4 << 20
 HASHES = "bucket int, chunk long, hashes binary"
@@ -23,6 +23,7 @@ BITS = "chunk long, bucket int, bits binary"
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
     """``chunk, doc_id, mark, text`` (rows of equal id and text share a chunk) and the total bytes of text."""
+    ship_code(docs.sparkSession)
     total = int(text_bytes(docs, text_col))
     chunks = max(1, -(-total // chunk_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -1,23 +1,23 @@
 """Benchmark decontamination: a BM25 index of the test items, queried by every training passage.
 
 The index holds the items' words with their BM25 weights, each as a share of the item's
-own full score, so a passage's score for an item lies between 0 and 1.  Postings are cut
-into blocks of items with the largest weight of each word.  A passage is scored block-max
-WAND fashion, for many passages at once:
+own full score, so a passage's score for an item lies between 0 and 1.  Postings are
+sorted by word and item and cut into blocks of items, with the largest weight of each word
+in each block.  A passage is scored block-max WAND fashion, for many passages at once:
 
 * a passage whose words' largest weights sum below the threshold is skipped;
 * the block maxima of its words are summed, and blocks below the threshold are skipped;
 * items of the remaining blocks are scored exactly; all at or above the threshold are kept.
 
 Hits are verified on the texts: the question's five-word shingles and the answer's words
-must lie in the passage to a share of 0.8.  Items are indexed in parts of a fixed number,
-so what is broadcast stays bounded; a larger benchmark takes more parts over the same scan.
+must lie in the passage to a share of 0.8.  An index part holds items of one class of
+lengths, which sets the size of their passages.  One scan of the documents carries the
+parts of ``GROUP_BYTES`` of item text (some ten thousand items), which bounds the broadcast.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,14 +27,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.llm._common import materialise, ship_code
 from churnlake.llm._text import IS_MARK, blocks, text_buffers, word_hashes, word_runs, word_spans
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
 BLOCK_ITEMS = 16
-PART_ITEMS = 256  # items of one index part
-GROUP_PARTS = 4  # parts that one scan carries
-PART_BYTES = 1 << 20  # of item text in a part
+PART_ITEMS = 1024  # items of one index part
+STEP = 1 << 20  # sums that are added up at once
+GROUP_BYTES = 8 << 20  # of item text that one scan carries; the index has at most some 20 times as many
+SHORT = 64  # items of up to 64, 128, 256, ... words are classes, with passages of twice as many
 HITS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
@@ -58,41 +60,59 @@ def question_answer(text: str) -> tuple[str, str]:
 
 @dataclass(frozen=True)
 class Index:
-    """A part of the inverted index: sorted words, block maxima, items and their weights."""
+    """A part of the inverted index: words, their blocks, the blocks' postings, and what verifies a hit."""
 
     words: np.ndarray  # sorted word hashes
     top: np.ndarray  # largest weight of each word
-    block_max: np.ndarray  # words x blocks
-    weights: np.ndarray  # words x blocks x items of a block
+    first: np.ndarray  # where each word's blocks begin in ``key``; one more at the end
+    key: np.ndarray  # word number * n_blocks + block, sorted
+    block_max: np.ndarray  # largest weight of the word in the block
+    entry: np.ndarray  # where each block's postings begin in ``item``; one more at the end
+    item: np.ndarray
+    weight: np.ndarray
+    n_blocks: int
     item_ids: np.ndarray
     questions: list[np.ndarray]  # distinct shingles
     answers: list[np.ndarray]  # distinct words
-    longest: int
-
-
-def build_index(items: list[tuple[int, str]], n_items: int, mean_words: float, frequency: dict[int, int]) -> Index:
-    """Index of one part; document frequencies and the mean length are those of all items."""
-    tokens = [_words(t)[0] for _, t in items]
-    order = sorted((k for k in range(len(items)) if len(tokens[k])), key=lambda k: items[k][0])
-    words = np.unique(np.concatenate([tokens[k] for k in order] or [np.empty(0, np.uint64)]))
-    df = np.array([frequency.get(w, 1) for w in words.view(np.int64).tolist()], float)
+    longest: int  # words of an item, at most
+
+
+def build_index(items: list[tuple[int, str, np.ndarray]], longest: int, n_items: int, mean_words: float, known: np.ndarray, frequency: np.ndarray) -> Index:
+    """Index of one part (id, text, word hashes); document frequencies (of sorted ``known`` words) and the mean length are those of all items."""
+    size = np.array([len(t) for _, _, t in items])
+    word, rank = np.concatenate([t for _, _, t in items]), np.repeat(np.arange(len(items)), size)
+    order = np.lexsort((rank, word))
+    word, rank = word[order], rank[order]
+    start = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (rank[1:] != rank[:-1])))
+    tf = np.diff(np.append(start, len(word)))
+    word, rank = word[start], rank[start]
+    words, begin, number = np.unique(word, return_index=True, return_inverse=True)
+    df = frequency[np.searchsorted(known, words)].astype(float)
     idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
+    weight = idf[number] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[rank] / mean_words))
+    weight /= np.bincount(rank, weight)[rank]
+    n_blocks = -(-len(items) // BLOCK_ITEMS)
+    key, entry = np.unique(number * np.int64(n_blocks) + rank // BLOCK_ITEMS, return_index=True)
     questions, answers = [], []
-    n_blocks = max(1, -(-len(order) // BLOCK_ITEMS))
-    weights = np.zeros((len(words), n_blocks, BLOCK_ITEMS), np.float32)
-    for rank, k in enumerate(order):
-        w, tf = np.unique(tokens[k], return_counts=True)
-        at = np.searchsorted(words, w)
-        weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(tokens[k]) / mean_words))
-        weight /= weight.sum()
-        weights[at, rank // BLOCK_ITEMS, rank % BLOCK_ITEMS] = weight
-        question, answer = question_answer(items[k][1])
+    for _, text, _ in items:
+        question, answer = question_answer(text)
         q, n = _words(question)
         questions.append(np.unique(word_runs(q, np.array([0, n]), SHINGLE)[0]))
         answers.append(np.unique(_words(answer)[0]))
-    block_max = weights.max(2)
-    return Index(words, block_max.max(1) if len(words) else np.empty(0, np.float32), block_max, weights,
-                 np.array([items[k][0] for k in order], np.int64), questions, answers, max([len(tokens[k]) for k in order], default=0))
+    return Index(words, np.maximum.reduceat(weight, begin), np.searchsorted(key // n_blocks, np.arange(len(words) + 1)), key,
+                 np.maximum.reduceat(weight, entry), np.append(entry, len(weight)), rank.astype(np.int32), weight, n_blocks,
+                 np.array([i for i, _, _ in items], np.int64), questions, answers, longest)
+
+
+def build_group(items: list[tuple[int, str]], n_items: int, mean_words: float, known: np.ndarray, frequency: np.ndarray) -> list[Index]:
+    """The index parts of the items that have words: by class of length, ``PART_ITEMS`` at most in each."""
+    classes: dict[int, list] = {}
+    for i, text in sorted(items):
+        tokens = _words(text)[0]
+        if len(tokens):
+            classes.setdefault(SHORT << max(0, (-(-len(tokens) // SHORT) - 1).bit_length()), []).append((i, text, tokens))
+    return [build_index(own[k : k + PART_ITEMS], longest, n_items, mean_words, known, frequency)
+            for longest, own in sorted(classes.items()) for k in range(0, len(own), PART_ITEMS)]
 
 
 def _passages(first: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,50 +127,50 @@ def _passages(first: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.n
 
 def _search(index: Index, hashes: np.ndarray, first: np.ndarray, threshold: float, seen: np.ndarray) -> list[tuple[int, int, float, float, float]]:
     """(row, item position, score, question overlap, answer overlap) of all hits in a block of rows."""
-    size = max(128, 2 * index.longest)
-    row, start, end = _passages(first, size, size - index.longest)
+    row, start, end = _passages(first, 2 * index.longest, index.longest)
     # Words of the index, by place in the block.
     place = np.flatnonzero(seen[hashes >> np.uint64(44)])
     word = np.searchsorted(index.words, hashes[place])
     word[word == len(index.words)] = 0
-    hit = index.words[word] == hashes[place] if len(index.words) else np.zeros(len(place), bool)
+    hit = index.words[word] == hashes[place]
     place, word = place[hit], word[hit]
-    lo, hi = np.searchsorted(place, start), np.searchsorted(place, end)
-    n = hi - lo
-    passage = np.repeat(np.arange(len(start)), n)
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-    pair = np.unique(passage * np.int64(len(index.words) + 1) + word[at])  # distinct words of each passage
-    passage, word = pair // (len(index.words) + 1), pair % (len(index.words) + 1)
+    at, passage = _spread(np.searchsorted(place, start), np.searchsorted(place, end))
+    pair = np.unique(passage * np.int64(len(index.words)) + word[at])  # distinct words of each passage
+    passage, word = pair // len(index.words), pair % len(index.words)
     bounds = np.searchsorted(passage, np.arange(len(start) + 1))
-    # Level 1: sums of the words' largest weights; level 2: of their block maxima.  (Sums of
-    # single-precision weights may be off by rounding, so the exact test is the last one.)
-    least = np.float32(threshold - 1e-4)
+    least = threshold - 1e-9  # sums may be off by rounding
+    # Level 1: sums of the words' largest weights; level 2: of their block maxima; level 3: of the items' own.
     full = np.flatnonzero(np.diff(bounds))
     full = full[np.add.reduceat(index.top[word], bounds[full]) >= least] if len(full) else full
     out = []
-    for a in range(0, len(full), 1 << 12):
-        word_of, ends, some = _gather(word, bounds, full[a : a + (1 << 12)])
-        p, block = np.nonzero(np.add.reduceat(index.block_max[word_of], ends, axis=0) >= least)
-        p = some[p]
-        for c in range(0, len(p), 1 << 12):
-            word_of, ends, _ = _gather(word, bounds, p[c : c + (1 << 12)])
-            own = block[c : c + (1 << 12)]
-            m = np.diff(np.append(ends, len(word_of)))
-            scores = np.add.reduceat(index.weights[word_of, np.repeat(own, m)], ends, axis=0)
-            for k, item in zip(*np.nonzero(scores >= least), strict=True):
-                q, b = int(p[c + k]), int(own[k]) * BLOCK_ITEMS + int(item)
-                w = word[bounds[q] : bounds[q + 1]]
-                score = float(index.weights[w, own[k], item].astype(float).sum())
-                if score >= threshold:
-                    out.append((int(row[q]), b, score, *_overlaps(index, b, hashes[start[q] : end[q]])))
+    width = np.concatenate([[0], np.cumsum(index.first[word + 1] - index.first[word])])
+    for a, b in blocks(_offsets(width[bounds[full + 1]] - width[bounds[full]] + index.n_blocks), STEP):
+        of, local = _spread(bounds[full[a:b]], bounds[full[a:b] + 1])
+        at, back = _spread(index.first[word[of]], index.first[word[of] + 1])
+        sums = np.bincount(local[back] * index.n_blocks + index.key[at] % index.n_blocks, index.block_max[at], (b - a) * index.n_blocks)
+        near = np.flatnonzero(sums >= least)
+        p, block = full[a + near // index.n_blocks], near % index.n_blocks
+        for c, d in blocks(_offsets(bounds[p + 1] - bounds[p] + BLOCK_ITEMS), STEP):
+            of, local = _spread(bounds[p[c:d]], bounds[p[c:d] + 1])
+            key = word[of] * index.n_blocks + block[c:d][local]
+            at = np.minimum(np.searchsorted(index.key, key), len(index.key) - 1)
+            held = index.key[at] == key
+            posting, back = _spread(index.entry[at[held]], index.entry[at[held] + 1])
+            scores = np.bincount(local[held][back] * BLOCK_ITEMS + index.item[posting] % BLOCK_ITEMS, index.weight[posting], (d - c) * BLOCK_ITEMS)
+            for k in np.flatnonzero(scores >= least).tolist():
+                q, item = int(p[c + k // BLOCK_ITEMS]), int(block[c + k // BLOCK_ITEMS]) * BLOCK_ITEMS + k % BLOCK_ITEMS
+                out.append((int(row[q]), item, float(scores[k]), *_overlaps(index, item, hashes[start[q] : end[q]])))
     return out
 
 
-def _gather(word: np.ndarray, bounds: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of the given (non-empty) passages one after another, and where each begins."""
-    m = bounds[passages + 1] - bounds[passages]
-    begins = np.cumsum(m) - m
-    return word[np.arange(m.sum()) - np.repeat(begins, m) + np.repeat(bounds[passages], m)], begins, passages
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the ranges [lo, hi) one after another, and the range that each comes from."""
+    n = hi - lo
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n), np.repeat(np.arange(len(n)), n)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def _overlaps(index: Index, item: int, text: np.ndarray) -> tuple[float, float]:
@@ -177,17 +197,19 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap``: every (document, item) pair with a verified passage.
 
-    All passages of all rows are queried: 128 words (or twice the longest item), stepping
-    so that any run of words as long as an item lies in one.  A pair reports its best passage.
-    Words are letter and digit runs, lower-cased.  Items or rows with a null or empty
-    text match nothing; a null document id stays null; rows of one id report once; an item
-    id that several texts bear is several items.  No items or no documents give no rows.
-    Other columns are ignored.
+    All passages of all rows are queried.  Those of an item of n words have 128 words for
+    n up to 64, 256 for n up to 128 and so on, and step by half of that, so any run of
+    words as long as the item lies in one.  A pair reports its best passage.  Words are
+    letter and digit runs, lower-cased.  Items or rows with a null or empty text match
+    nothing; a null document id stays null; rows of one id report once; an item id that
+    several texts bear is several items, reported once.  No items or no documents give no
+    rows.  Other columns are ignored.
     """
     spark = docs.sparkSession
+    ship_code(spark)
     test = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where(
         F.col("item_id").isNotNull() & (F.trim(F.coalesce("text", F.lit(""))) != "")).distinct()
-    # Collection statistics, then parts of bounded size; the loop is over parts of the index.
+    # Collection statistics, then groups of bounded size; the loop is over groups.
     n_items, n_bytes = test.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     if not n_items:
         return spark.createDataFrame([], HITS)
@@ -200,19 +222,19 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
                 pa.array(np.concatenate([np.zeros(1, np.int64), *[e.view(np.int64) for e in each]])),
                 pa.array(np.concatenate([[sum(map(len, words))], *[np.ones(len(e), np.int64) for e in each]]))], ["word", "n"])
 
-    frequency = test.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    n_parts = max(1, -(-n_items // PART_ITEMS), -(-n_bytes // PART_BYTES))
-    mean = (frequency.where("word = 0").first()["n"] or 1) / n_items
+    def frequencies(texts: DataFrame) -> DataFrame:
+        return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+    frequency = materialise(frequencies(test), "frequency")
+    mean = max(1.0, (frequency.where("word = 0").first()["n"] or 1) / n_items)
+    n_groups = max(1, -(-n_bytes // GROUP_BYTES))
     hits = None
-    for group in range(0, n_parts, GROUP_PARTS):
-        indexes = []
-        for part in range(group, min(group + GROUP_PARTS, n_parts)):
-            own = [(r[0], r[1]) for r in test.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == part).collect()]
-            used = set(np.concatenate([_words(t)[0] for _, t in own] or [np.empty(0, np.uint64)]).view(np.int64).tolist())
-            if used:
-                terms = spark.createDataFrame([(w,) for w in sorted(used)], "word long")
-                df = {r["word"]: r["n"] for r in frequency.join(terms, "word", "left_semi").collect()}
-                indexes.append(build_index(own, n_items, max(mean, 1.0), df))
+    for group in range(n_groups):
+        own = test.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_groups)) == group)
+        table = frequency.join(frequencies(own).select("word"), "word", "left_semi").toArrow()
+        words, n = table["word"].to_numpy().view(np.uint64), table["n"].to_numpy()
+        order = np.argsort(words)
+        indexes = build_group([(r[0], r[1]) for r in own.collect()], n_items, mean, words[order], n[order])
         found = _query(docs, indexes, threshold, overlap, id_col, text_col)
         hits = found if hits is None else hits.unionByName(found)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap"))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -226,6 +227,71 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     assert all(got[i] == (0, i) for i, _, _ in odd)
 
 
+def _contaminated(rows, items, threshold=0.6, overlap=0.8):
+    """Every passage of every text against every item, in plain Python."""
+    words = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    grams = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    every = [(i, t, words(t)) for i, t in items]
+    mean = sum(len(w) for _, _, w in every) / len(every)
+    df = collections.Counter(x for _, _, w in every for x in set(w))
+    best = {}
+    for item, text, own in every:
+        weight = {x: math.log1p((len(every) - df[x] + 0.5) / (df[x] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(own) / mean))
+                  for x, n in collections.Counter(own).items()}
+        question, answer = decontaminate.question_answer(text)
+        question, answer = grams(words(question)), set(words(answer))
+        step = 64
+        while step < len(own):
+            step *= 2
+        for doc, body in rows:
+            w = words(body or "")
+            for k in range(0, max(1, len(w)), step):
+                passage = w[k : k + 2 * step]
+                score = sum(weight[x] for x in set(passage) & set(weight)) / sum(weight.values())
+                q, a = len(question & grams(passage)) / len(question), len(answer & set(passage)) / len(answer) if answer else 1.0
+                if score >= threshold - 1e-9 and q >= overlap and a >= overlap:
+                    best[doc, item] = max(best.get((doc, item), (0,)), (round(score, 9), round(q, 9), round(a, 9)))
+                if k + 2 * step >= len(w):
+                    break
+    return best
+
+
+def test_decontamination_matches_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    vocabulary = [f"w{k}" for k in range(400)]
+    draw = lambda n: " ".join(rng.choice(vocabulary, n, p=(p := 1 / np.arange(1, 401)) / p.sum()))
+    items = [(k, f"{draw(int(n))}.\n{draw(3)}") for k, n in enumerate(rng.integers(8, 40, 70))]
+    items += [(100, draw(150) + ". " + draw(10)), (101, draw(400) + ".\n" + draw(4)), (102, items[0][1]), (103, items[5][1] + " more")]
+    rows = []
+    for doc in range(120):
+        body = [draw(int(rng.integers(5, 300)))]
+        for k in rng.choice(len(items), 2):
+            w = items[k][1].split()
+            keep = [x for x in w if rng.random() < (1, 0.97, 0.85, 0.6)[doc % 4]]
+            body += [" ".join(keep), draw(int(rng.integers(0, 150)))]
+        rows.append((doc, " ".join(body) if doc % 7 else body[1]))
+    rows += [(500, None), (501, ""), (502, "w1 w2"), (503, " ".join(t for _, t in items))]
+    want = _contaminated(rows, items)
+    assert len(want) > 100 and {i for d, i in want if d == 503} == {i for i, _ in items}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(1)).withColumn("word", F.lit(2))
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("n", F.lit(1))
+    for part_items, group_bytes, step in ((1024, 8 << 20, 1 << 20), (20, 6000, 64)):
+        monkeypatch.setattr(decontaminate, "PART_ITEMS", part_items)
+        monkeypatch.setattr(decontaminate, "GROUP_BYTES", group_bytes)
+        monkeypatch.setattr(decontaminate, "STEP", step)
+        got = {(r.doc_id, r.item_id): tuple(round(x, 9) for x in (r.score, r.question_overlap, r.answer_overlap))
+               for r in decontaminate.contaminated(docs, bench).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], abs=1e-8) for k in want)
+
+
+def test_decontamination_scans_documents_once(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    items = spark.range(5000).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit("t"), F.col("id") % (7 + k), F.lit(f"x{k}")) for k in range(12)]).alias("text"))
+    plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Union") == 0
+
+
 def test_decontamination_and_toxicity_edges(spark):
     item = "Which river runs through the quiet town of Xanthe in the north?\nThe river Oder runs there."
     docs = spark.createDataFrame([(1, "word " * 300 + item.upper() + " tail" * 300), (2, "word " * 500), (3, None), (4, ""), (None, "x")], "doc_id long, text string")
