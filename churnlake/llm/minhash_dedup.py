@@ -8,11 +8,14 @@
 3. Classes that share a band are candidates.  First each is verified against the least
    class that shares a band with it: one pair per class, however large a group is.
 4. Buckets that still hold several components go on: their classes form clusters (the
-   components of sharing an open bucket), and a cluster's sets meet in blocks of bounded
-   bytes, each pair of blocks in one task.  An inverted index over the block counts the
-   common shingles of every class outside the block's largest component; only a spanning
-   set of the links is emitted, never the pairs.
-Verified links go through distributed connected components; sets are compared in tasks.
+   components of sharing an open bucket).  A cluster's sets meet all at once, or bucket by
+   bucket where that reads fewer bytes: in a long chain of buckets, whose cluster may be
+   most of the corpus.  Both ways compare every pair that shares an open bucket.  Sets meet
+   in blocks of bounded bytes, each pair of blocks in one task.  An inverted index over the
+   block counts the common shingles of every class outside the block's largest component;
+   only a spanning set of the links between components is emitted, never the pairs.
+Verified links go through distributed connected components; those of step 4 join the
+components of step 3, so they are contracted first.  Sets are compared in tasks.
 """
 
 from __future__ import annotations
@@ -131,7 +134,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _linker(percent: int):
-    """Links of a pair of blocks (``rep, component, block, shingles``) that join different components."""
+    """Pairs of components that a pair of blocks (``rep, component, block, shingles``) links: a spanning set."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         order = np.argsort(group["rep"].to_numpy(), kind="stable")
@@ -153,32 +156,62 @@ def _linker(percent: int):
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bound[own], n)
             both = np.bincount(posting[at], minlength=len(sets))
             linked = (100 * both >= percent * (size + size[k] - both)) & (local != local[k])
-            if key[1] != key[2]:
+            if key[2] != key[3]:
                 linked &= block != block[k]
             for other in np.flatnonzero(linked).tolist():
                 if local[other] != local[k]:
                     local[local == local[other]] = local[k]
-                    a.append(max(rep[k], rep[other]))
-                    b.append(min(rep[k], rep[other]))
+                    a.append(comp[k])
+                    b.append(comp[other])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _cluster_links(members: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The links between components that share a bucket (a spanning set of them in every pair of blocks)."""
+def _blocks(members: DataFrame, by: list[str]) -> DataFrame:
+    """Per unit (cluster or bucket): how many blocks its sets fill, and the bytes that reach tasks if each block meets each."""
+    size = F.sum(F.col("n_shingles") * 8)
+    count = F.greatest(F.ceil(size / F.lit(BLOCK_BYTES)), F.lit(1)).cast("long")
+    return members.groupBy(*by).agg(count.alias("blocks"), (count * size).cast("double").alias("cost"))
+
+
+def _meetings(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Which classes meet in which task: ``cluster, key, lo, hi, rep, component, block``, a task for each cluster, key, lo and hi.
+
+    ``members`` has a row ``key, rep, n_shingles`` for each class of each shared bucket,
+    ``found`` the components so far.
+    """
     placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("rep").alias("low")).where("x < y")
-    open_ = materialise(placed.join(several.select("key", "low"), "key").select("rep", "component", "low").distinct(), "open")
-    cluster = connected_components(open_.select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    rows = (open_.select("rep", "component").distinct().join(cluster.select(F.col("id").alias("rep"), F.col("component").alias("cluster")), "rep")
-            .join(sets.withColumnRenamed("id", "rep"), "rep"))
-    blocks_of = rows.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("shingles")) / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
-    rows = rows.join(blocks_of, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block", "shingles")
-    return rows.groupBy("cluster", "lo", "hi").applyInArrow(_linker(percent), "a long, b long")
+    open_ = materialise(placed.join(several.select("key", "low"), "key"), "open")
+    cluster = connected_components(open_.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("component", "cluster")
+    grouped = materialise(open_.drop("low").join(cluster.withColumnRenamed("id", "rep"), "rep"), "grouped")
+    once = grouped.drop("key").distinct()
+    whole, each = _blocks(once, ["cluster"]), _blocks(grouped, ["cluster", "key"])
+    # Each cluster goes the way that reads less; every pair of a shared open bucket is compared on both.
+    ways = whole.withColumnRenamed("cost", "at_once").join(each.groupBy("cluster").agg(F.sum("cost").alias("by_bucket")), "cluster")
+    ways = materialise(ways.select("cluster", "blocks", (F.col("by_bucket") < F.col("at_once")).alias("split")), "ways")
+    together = once.join(ways.where("NOT split"), "cluster").withColumn("key", F.lit(0).cast("long"))
+    apart = grouped.join(ways.where("split").select("cluster"), "cluster").join(each.drop("cost"), ["cluster", "key"])
+    names = ["cluster", "key", "rep", "component", "blocks"]
+    rows = together.select(*names).unionByName(apart.select(*names))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.select("cluster", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block")
+
+
+def _cluster_links(members: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: the components of ``found`` that links within open buckets join (a spanning set in every pair of blocks)."""
+    rows = _meetings(members, found).join(sets.withColumnRenamed("id", "rep"), "rep")
+    return rows.groupBy("cluster", "key", "lo", "hi").applyInArrow(_linker(percent), "a long, b long")
+
+
+def _contracted(found: DataFrame, merged: DataFrame) -> DataFrame:
+    """Components ``found(id, component)`` after ``merged(id, component)`` joined some of them (or classes that had no link before)."""
+    known = found.withColumnRenamed("component", "c").join(
+        merged.select(F.col("id").alias("c"), F.col("component").alias("m")), "c", "left").select("id", F.coalesce("m", "c").alias("component"))
+    return known.unionByName(merged.join(found.select("id"), "id", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,7 +230,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     known = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = materialise(known.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
-    bands = classes.select("rep", F.posexplode("bands").alias("band", "value")).select("rep", F.xxhash64("band", "value").alias("key"))
+    bands = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "value")).select(
+        "rep", "n_shingles", F.xxhash64("band", "value").alias("key"))
     shared = bands.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where(F.col("low") < F.col("high"))
     members = materialise(bands.join(shared.drop("high"), "key"), "members")
     sets = materialise(_sets_of(docs, members.select(F.col("rep").alias("id")).distinct(), size, id_col, text_col), "sets")
@@ -213,8 +247,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     pairs = members.groupBy(F.col("rep").alias("a")).agg(F.min("low").alias("b")).where(F.col("a") != F.col("b"))
     links = materialise(_verified(pairs, sets, percent).unionByName(same), "links")
     found = connected_components(links)
-    more = materialise(_cluster_links(members.drop("low"), sets, found, percent), "links")
-    found = connected_components(links.unionByName(more))
+    merged = connected_components(_cluster_links(members.drop("low"), sets, found, percent))
+    found = _contracted(found, merged)
     where = classes.drop("bands").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("of_class"))
     # An id's rows without words are of the component of its other rows.

@@ -105,6 +105,29 @@ def test_near_duplicates_match_brute_force(docs, texts, size, monkeypatch):
     assert got == {(i, len(sets[i])): (find(i), find(i) == i) for i in root}
 
 
+def _chain(spark, n):
+    """Texts of 100 distinct words that share 67 with the next one, and so buckets but no link; every tenth has a near copy."""
+    rows = [(i, " ".join(f"w{33 * i + k}" for k in range(100))) for i in range(n)]
+    return spark.createDataFrame([*rows, *((n + i, t.replace(" ", " other ", 1)) for i, t in rows[::10])], "doc_id long, text string")
+
+
+def test_a_chain_of_buckets_costs_what_its_buckets_hold(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", 2000)
+    met, meetings = [], minhash_dedup._meetings
+
+    def counted(members, found):
+        out = meetings(members, found)
+        met.append((out.count(), members.count(), out.where("key <> 0").count()))
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "_meetings", counted)
+    for n in (100, 200):
+        got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(_chain(spark, n), size=1).collect()}
+        assert got == {i: i if i < n else i - n for i in got} and len(got) == n + n // 10
+    # Blocks of the whole chain would meet each other: four times the rows for twice the documents.
+    assert all(apart > 0 and rows <= 3 * shared for rows, shared, apart in met) and met[1][0] < 3 * met[0][0]
+
+
 def test_rows_of_one_id_are_one_document(spark):
     x, y, z = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
     rows = [(3, x), (5, x), (5, y), (9, y + " end"), (5, ""), (12, z), (11, z), (9, z + " end"), (20, "alone"), (21, "one"), (21, ""), (None, x), (30, None)]
