@@ -106,11 +106,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
-    """P4 + M1 + A10 + A9 + J4: split, fit the scaler, attach class weights."""
+    """P4 + M1 + A10 + A9 + J4: split, fit the scaler, attach class weights.
+
+    A fit passes over its rows some 500 times, so its tasks are counted by rows and cores:
+    the table is written again with its split column in that many partitions, and the
+    cached training part has as many.  A small table stays in the partitions it has.
+    """
+    from churnlake.session import spread, task_count
+
     f = fill_missing(features).select(S.ID, *S.ALL_FEATURES, S.TARGET)
     if materialize:
         f = materialise(f, "prepared")
     f = f.withColumn("split", spl.exact_split_column(f))
+    if materialize:
+        tasks = task_count(f.sparkSession, f.count())
+        f = f if tasks == 1 else materialise(spread(f, tasks, S.ID), "split")
     train = f.filter(F.col("split") == "train").drop("split")
     test = f.filter(F.col("split") == "test").drop("split")
     scaler = scl.FittedScaler.fit(train)
@@ -119,7 +129,8 @@ def prepare(features: DataFrame, materialize: bool = True) -> PreparedData:
     # L-BFGS step, tree level, boosting round): keep it cached once.  Its
     # lineage starts at the written table, so a lost block is re-read, not
     # re-derived from the raw inputs.
-    train_w = scl.with_class_weight(train, weights, out="class_weight").persist(StorageLevel.MEMORY_AND_DISK)
+    train_w = scl.with_class_weight(train, weights, out="class_weight")
+    train_w = spread(train_w, task_count(train.sparkSession, scaler.n), S.ID).persist(StorageLevel.MEMORY_AND_DISK)
     return PreparedData(train_w, test, scaler, scaler.n, weights)
 
 

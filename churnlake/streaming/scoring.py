@@ -10,6 +10,8 @@ fixed, already-fitted pipelines and a fixed A/B configuration.
   the shared folder; either way no trigger aggregates all orders again.
 * A micro-batch's facts are those of its customers (a semi join that the planner
   broadcasts by the keys' measured size); ``maxFilesPerTrigger`` bounds a batch.
+* A micro-batch's requests are cached in partitions counted by rows and cores, since a
+  row costs a hundred trees however few bytes it has.
 * Each micro-batch is scored by the batch code (``foreachBatch``) and written
   under ``batch_id=<n>`` with overwrite, so a replayed batch replaces its own
   output instead of duplicating it.
@@ -53,17 +55,23 @@ def facts_for_batch(facts: DataFrame, batch: DataFrame) -> DataFrame:
 def _start_requests(spark: SparkSession, folder: str, facts: BatchStore | None, handle: Callable[[DataFrame, int], None], checkpoint: str,
                     available_now: bool, max_files_per_trigger: int, glob: str) -> StreamingQuery:
     """Customer stream -> requests of each micro-batch -> ``handle(requests, batch_id)``."""
-    from churnlake.session import write_shared
+    from churnlake.session import spread, task_count, write_shared
 
     frozen = write_shared(fx.order_facts(spark, folder), "order_facts") if facts is None else None
     customers = customer_stream(spark, folder, glob, max_files_per_trigger=max_files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its keys and for scoring
+        requests = None
         try:
             now = frozen if facts is None else facts.read()
-            handle(fx.requests(spark, folder, customers=batch, facts=facts_for_batch(now, batch)), batch_id)
+            requests = fx.requests(spark, folder, customers=batch, facts=facts_for_batch(now, batch))
+            # joined once for both models' branches and the rejects, over as many tasks as the rows are worth
+            requests = spread(requests, task_count(spark, batch.count()), "customer_id").persist(StorageLevel.MEMORY_AND_DISK)
+            handle(requests, batch_id)
         finally:
+            if requests is not None:
+                requests.unpersist()
             batch.unpersist()
 
     w = customers.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
