@@ -73,3 +73,10 @@ def test_a_batch_of_one_row_group_is_scored_by_many_tasks(spark, tmp_dir):
     assert len(files) >= 2 and max(r["count"] for r in files) < 0.6 * out.count()
     valid, _ = qual.split_valid(fx.requests(spark, f"{tmp_dir}/in"))
     assert out.drop("batch_id").exceptAll(sco.request_features(valid)).count() == 0 and out.count() == valid.count()
+
+
+def test_fits_that_run_at_once_are_bounded_by_what_they_cache():
+    assert mdl.fits_at_once(8, 15, 10_000) == 8 and mdl.fits_at_once(8, 3, 0) == 3 and mdl.fits_at_once(1, 15, 10) == 1
+    rows = 3_456_000
+    assert 1 <= mdl.fits_at_once(8, 15, rows) <= mdl.HELD_BYTES // (rows * mdl.FIT_ROW_BYTES)
+    assert mdl.fits_at_once(8, 15, 10**9) == 1
