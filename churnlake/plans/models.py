@@ -262,7 +262,7 @@ def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
     ``parallelism`` at a time from a thread pool (``CrossValidator`` runs
     folds one after another and parallelises only over a param grid).  The
     pool size bounds how many fold copies the fits persist at once; with many rows
-    fewer run at once (``fits_at_once``), each over all cores.  Rows are scaled and
+    fewer run at once (``fits_at_once``), each over more tasks.  Rows are scaled and
     assembled once, for all fits.  Each fit gets its fold's own class weights and, for
     logistic regression, its own ``1/n``.  Scaling keeps the whole-train statistics (D17).
 
@@ -276,10 +276,12 @@ def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
 
     from pyspark import inheritable_thread_target
 
-    from churnlake.session import path_exists, scratch_path
+    from churnlake.session import path_exists, scratch_path, spread, task_count
 
     spark = data.train.sparkSession
     train = data.train.drop("class_weight")
+    at_once = fits_at_once(parallelism, k * len(keys), data.n_train)
+    train = spread(train, task_count(spark, data.n_train, at_once), S.ID)
     assembled = assembler().transform(scaling_stage(data.scaler).transform(train)).withColumn("fold", spl.exact_fold_column(train, k))
     folds = assembled.select("features", S.TARGET, "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -306,7 +308,7 @@ def cross_validate_models(keys: Sequence[str], data: PreparedData, k: int = 5,
         # Slowest models first, so the pool's tail is short.
         order = sorted(keys, key=lambda m: -_FIT_COST.get(m, 0))
         tasks = [(key, i) for key in order for i in range(k)]
-        with ThreadPoolExecutor(fits_at_once(parallelism, len(tasks), max(n for n, _ in weights.values()))) as pool:
+        with ThreadPoolExecutor(at_once) as pool:
             list(pool.map(inheritable_thread_target(spark)(fit_fold), tasks))
     finally:
         folds.unpersist()

@@ -7,7 +7,7 @@ from churnlake import schemas as S
 from churnlake.plans import models as mdl
 from churnlake.session import spread, task_count
 
-ROWS = 120_000
+ROWS = 250_000
 
 
 def features(spark, rows):
@@ -19,10 +19,11 @@ def features(spark, rows):
 
 def test_task_count_goes_by_rows_and_cores(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert task_count(spark, 0) == task_count(spark, 50_000) == 1
-    assert task_count(spark, 50_001) == min(2, cores)
-    assert task_count(spark, 250_000 * cores) == cores
-    assert task_count(spark, 250_000 * cores + 1) == 2 * cores
+    assert task_count(spark, 0) == task_count(spark, 100_000) == 1
+    assert task_count(spark, 100_001) == min(2, cores)
+    assert task_count(spark, 400_000 * cores) == cores
+    assert task_count(spark, 400_000 * cores + 1) == 2 * cores
+    assert task_count(spark, 400_000, at_once=8) == min(4, -(-2 * cores // 8), cores)  # eight fits share the cores
 
 
 def test_training_rows_of_one_file_are_dealt_over_the_cores(spark):
