@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import types
 import zlib
 
 import duckdb
@@ -250,6 +252,99 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     assert all(got[i] == (0, i) for i, _, _ in odd)
 
 
+def _links_and_components(x, label, ids, threshold=0.93):
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = (unit @ unit.T >= threshold) & (label[:, None] == label)
+    np.fill_diagonal(link, False)
+    least = ids.copy()
+    while True:
+        new = np.array([min(least[i], least[link[i]].min(initial=least[i])) for i in range(len(ids))])
+        if (new == least).all():
+            return {int(i): (int(n), int(c)) for i, n, c in zip(ids, link.sum(1), least, strict=True)}
+        least = new
+
+
+@pytest.mark.parametrize(("kind", "block", "leaf"), [("float", 400, 8), ("double", 60, 4), ("float", 25, 16)])
+def test_embeddings_in_blocks_and_cells_match_brute_force(spark, monkeypatch, kind, block, leaf):
+    """Labels of several blocks or many cells, fine cells within, clusters at the threshold, equal vectors in several batches."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "LEAF", leaf)
+    rng = np.random.default_rng(block)
+    x = rng.standard_normal((1500, 24))
+    x[600:900] = x[:300] + 0.33 * rng.standard_normal((300, 24))
+    x[900:1100] = 3 * rng.standard_normal(24) + 0.9 * rng.standard_normal((200, 24))
+    x[1300:1400] = x[1400:] = x[900:1000]
+    x = x.astype(np.float32)
+    label = np.where(np.arange(1500) % 4 == 0, 1, 0)
+    label[1300:1400] = label[1400:] = label[900:1000]
+    ids = rng.permutation(1500) * 3
+    rows = spark.createDataFrame([(int(i), v.tolist(), int(k)) for i, v, k in zip(ids, x, label, strict=True)], f"vec_id long, embedding array<{kind}>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(rows.repartition(5)).collect()}
+    want = _links_and_components(x, label, ids)
+    assert sum(n for n, _ in want.values()) > 4000
+    assert got == {i: (n, c, c == i) for i, (n, c) in want.items()}
+
+
+def _routed(x, total, monkeypatch=None):
+    """What a task sends for vectors that are a sample of ``total`` of one label."""
+    n = len(x)
+    hashes = np.random.default_rng(0).integers(0, 2**62, (2, n))
+    table = pa.table({"label": pa.array(np.zeros(n, np.int64)), "h1": pa.array(hashes[0]), "h2": pa.array(hashes[1]), "vec_id": pa.array(np.arange(n)),
+                      "size": pa.array(np.full(n, x.shape[1], np.int32)), "vector": pa.array(x.tolist(), pa.list_(pa.float32()))})
+    plans, groups = embedding_dedup._plan(table, n / total, 0.93, 4, np.float32)
+    route = embedding_dedup._router(types.SimpleNamespace(value=(plans, dict(zip(groups, itertools.count())))), 0.93, np.float32)  # noqa: B905
+    return groups, list(route(iter(table.drop(["size"]).to_batches(500))))
+
+
+@pytest.mark.parametrize(("total", "copies"), [(60_000, 1.2), (1_500_000, 3.3), (15_000_000, 14)])
+def test_vectors_travel_a_few_times_however_many_there_are(total, copies):
+    """At 600,000 vectors and more the forest sent each vector to dozens of leaves, with kilobytes of leaf numbers each time."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4000, 64)).astype(np.float32)
+    x[:1000] = x[1000:2000] + 0.3 * rng.standard_normal((1000, 64)).astype(np.float32)
+    groups, batches = _routed(x, total)
+    assert max(b.nbytes for b in batches) < 16 << 20
+    assert sum(b.nbytes for b in batches) < copies * 4000 * (64 * 4 + 50)
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert sum(r["rows"] for r in rows if not r["guest"]) == 4000
+    assert {(r["size"], r["label"], r["cell"], r["block"]) for r in rows} <= set(groups)
+    assert len({r["spot"] for r in rows}) == len(groups)
+    # All groups together find every link once.
+    compare = embedding_dedup._comparer(0.93, np.float32, 16)
+    rows.sort(key=lambda r: (r["cell"], r["block"], r["guest"]))
+    sent = pa.RecordBatch.from_pylist([{k: v for k, v in r.items() if k != "spot"} for r in rows], pa.schema(
+        [("size", pa.int32()), ("label", pa.int64()), ("cell", pa.int32()), ("block", pa.int32()), ("guest", pa.bool_()), ("rows", pa.int32()), ("data", pa.binary())]))
+    links = collections.Counter()
+    for batch in compare(iter([sent])):
+        for r in batch.to_pylist():
+            links[r["rep"]] += r["links"] or 0
+    want = _links_and_components(x, np.zeros(4000), np.arange(4000))
+    assert {i: n for i, n in links.items() if n and i is not None} == {i: n for i, (n, _) in want.items() if n}
+
+
+def test_parts_of_a_class_among_guests_count_once():
+    x = np.random.default_rng(8).standard_normal((40, 16)).astype(np.float32)
+
+    def rows(ids, own):
+        out = embedding_dedup._Rows(16, np.float32)
+        meta = {"id": np.array(ids), "h1": np.array(own), "h2": np.array(own) + 1, "n": np.ones(len(ids), np.int64),
+                "cells": np.ones(len(ids), np.uint64), "home": np.zeros(len(ids), np.int16)}
+        for part in embedding_dedup._pack(meta, x[own], np.arange(len(ids))):
+            out.add(*part)
+        return out
+
+    homes = rows(range(40), range(40))
+    group = embedding_dedup._Group((16, 0, 0, 0), homes, 0.93, 128)
+    x[39] = x[0] * 2
+    guest = embedding_dedup._Rows(16, np.float32)
+    for ids in ([500, 501], [400]):  # the same vector, in two chunks of guests
+        guest = rows(ids, [39] * len(ids))
+        group.host(guest)
+    found = [r for b in group.found() for r in b.to_pylist()]
+    assert [(r["rep"], r["n"], r["links"]) for r in found if r["rep"] is not None] == [(500, 0, 1), (0, 1, 3)]
+    assert sorted((r["a"], r["b"]) for r in found if r["a"] is not None) == [(0, 400), (0, 500)]
+
+
 def _contaminated(rows, items, threshold=0.6, overlap=0.8):
     """Every passage of every text against every item, in plain Python."""
     words = lambda t: re.findall(r"[a-z0-9]+", t.lower())
