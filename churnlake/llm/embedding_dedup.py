@@ -40,7 +40,7 @@ BLOB = 32 << 10
 BATCH = 256
 TILE = 256, 1024
 ROUTED = "spot int, size int, label long, cell int, block int, guest boolean, rows int, data binary"
-FOUND = "label long, h1 long, h2 long, rep long, n long, links long, a long, b long"
+FOUND = "label long, h1 long, h2 long, rep long, n long, links long, other1 long, other2 long"
 META = (("id", np.int64), ("h1", np.int64), ("h2", np.int64), ("n", np.int64), ("cells", np.uint64), ("home", np.int16))
 
 
@@ -130,14 +130,9 @@ class _Rows:
         self.meta = {k: np.concatenate(v) if v else np.zeros(0, t) for (k, t), v in zip(META, self.parts.values(), strict=True)}
         del self.parts
         self.n = self.meta.pop("n")
-        ids = self.meta["id"]
-        order = np.lexsort((ids, self.meta["h2"], self.meta["h1"]))
+        order = np.lexsort((self.meta["id"], self.meta["h2"], self.meta["h1"]))
         first = _alike(order, self.meta["h1"], self.meta["h2"])
-        self.same = np.empty((0, 2), np.int64)
         if len(first) < len(order):
-            whole = np.repeat(order[first], np.diff(np.append(first, len(order))))
-            # Ids by which other groups know parts of a class.
-            self.same = np.unique(np.stack([ids[order], ids[whole]], axis=1)[ids[order] != ids[whole]], axis=0)
             n = np.add.reduceat(self.n[order], first)
             self._take(order[first])
             self.n = n
@@ -221,7 +216,7 @@ class _Group:
         self.centre = (homes.single[:, 0] @ homes.x[: len(homes)] / len(homes)).astype(np.float32)
         self.reach = margin(threshold, self.size) + self.slack
         self.homes.settle(self.pivots, self.centre, self.reach)
-        self.forest, self.edges = _Forest(len(self.homes)), [self.homes.same]
+        self.forest, self.edges = _Forest(len(self.homes)), [np.empty((0, 4), np.int64)]
         self.told = np.empty(0, "V16")
         self.out: list[pa.RecordBatch] = []
         self._own()
@@ -252,7 +247,7 @@ class _Group:
         np.add.at(a.links, x, b.n[y])
         np.add.at(b.links, y, a.n[x])
         if len(new := self.forest.join(x, y + base)):
-            self.edges.append(np.stack([a.meta["id"][x[new]], b.meta["id"][y[new]]], axis=1))
+            self.edges.append(np.stack([a.meta["h1"][x[new]], a.meta["h2"][x[new]], b.meta["h1"][y[new]], b.meta["h2"][y[new]]], axis=1))
 
     def _own(self) -> None:
         a = self.homes
@@ -297,17 +292,18 @@ class _Group:
         self._tell(b, hit, np.zeros(len(hit), np.int64))
 
     def _tell(self, rows: _Rows, hit: np.ndarray, n: np.ndarray) -> None:
-        none = pa.nulls(len(hit), pa.int64())
-        self.out.append(pa.RecordBatch.from_arrays(
-            [pa.repeat(pa.scalar(self.label, pa.int64()), len(hit)), *(pa.array(rows.meta[k][hit], pa.int64()) for k in ("h1", "h2", "id")), pa.array(n, pa.int64()), pa.array(rows.links[hit], pa.int64()), none, none],
-            ["label", "h1", "h2", "rep", "n", "links", "a", "b"]))
+        self._put(*(rows.meta[k][hit] for k in ("h1", "h2", "id")), n, rows.links[hit], None, None)
+
+    def _put(self, *columns: np.ndarray | None) -> None:
+        rows = len(columns[0])
+        data = [pa.nulls(rows, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (np.full(rows, self.label), *columns)]
+        self.out.append(pa.RecordBatch.from_arrays(data, [c.split()[0] for c in FOUND.split(", ")]))
 
     def found(self) -> Iterator[pa.RecordBatch]:
         hit = np.flatnonzero((self.homes.links > 0) | (self.homes.n > 1))
         self._tell(self.homes, hit, self.homes.n[hit])
-        edges = np.concatenate(self.edges)
-        none = pa.nulls(len(edges), pa.int64())
-        self.out.append(pa.RecordBatch.from_arrays([*[none] * 6, pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["label", "h1", "h2", "rep", "n", "links", "a", "b"]))
+        h1, h2, other1, other2 = (c.copy() for c in np.concatenate(self.edges).T)
+        self._put(h1, h2, None, None, None, other1, other2)
         for batch in self.out:
             for at in range(0, batch.num_rows, 10_000):
                 yield batch.slice(at, 10_000)
@@ -462,7 +458,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     classes = found.where("rep IS NOT NULL").groupBy(*key).agg(F.min("rep").alias("rep"), F.sum("n").alias("n"), F.sum("links").alias("links"))
     classes = materialise(classes, "classes")
     repeated = classes.where("n > 1").select(*key, "rep", "n", F.lit(True).alias("fine"))
-    component = connected_components(found.where("a IS NOT NULL").select("a", "b"))
+    ends = found.where("rep IS NULL").select("label", "h1", "h2", "other1", "other2")
+    for end, names in (("a", ("h1", "h2")), ("b", ("other1", "other2"))):
+        ends = ends.join(classes.select("label", *(F.col(k).alias(n) for k, n in zip(("h1", "h2"), names, strict=True)), F.col("rep").alias(end)), ["label", *names])
+    component = connected_components(ends.select("a", "b"))
     of_rep = (classes.where("links > 0").groupBy("rep").agg(F.sum("links").alias("links"))
               .join(component.select(F.col("id").alias("rep"), "component"), "rep", "full"))
     out = rows.select("vec_id", *key, "fine").join(repeated, [*key, "fine"], "left")

@@ -341,8 +341,8 @@ def test_parts_of_a_class_among_guests_count_once():
         guest = rows(ids, [39] * len(ids))
         group.host(guest)
     found = [r for b in group.found() for r in b.to_pylist()]
-    assert [(r["rep"], r["n"], r["links"]) for r in found if r["rep"] is not None] == [(500, 0, 1), (0, 1, 3)]
-    assert sorted((r["a"], r["b"]) for r in found if r["a"] is not None) == [(0, 400), (0, 500)]
+    assert [(r["rep"], r["h1"], r["n"], r["links"]) for r in found if r["rep"] is not None] == [(500, 39, 0, 1), (0, 0, 1, 3)]
+    assert [(r["h1"], r["other1"]) for r in found if r["rep"] is None] == [(0, 39), (0, 39)]
 
 
 def _contaminated(rows, items, threshold=0.6, overlap=0.8):
