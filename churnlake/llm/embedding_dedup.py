@@ -71,7 +71,11 @@ def margin(threshold: float, size: int) -> float:
 
 
 def _cells(x: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of every row, and whether it lives in or visits each cell."""
+    """Home cell of every row, and whether it lives in or visits each cell.
+
+    For unit vectors, whose mean is not taken off: that what a pair shares outweighs what it
+    differs by is what keeps its vectors in reach of each other, in tight clusters too.
+    """
     p = x @ pivots.T
     home = p.argmax(1)
     return home, p >= p[np.arange(len(p)), home][:, None] - np.float32(reach)
@@ -151,13 +155,13 @@ class _Rows:
     def exact(self, rows: np.ndarray) -> np.ndarray:
         return self.x.take(rows, 0).astype(np.float64) * self.inverse[rows][:, None]
 
-    def settle(self, pivots: np.ndarray, centre: np.ndarray, reach: float) -> None:
+    def settle(self, pivots: np.ndarray, reach: float) -> None:
         """Home cells, cells visited (bits, by cell), and where each cell's own rows begin."""
         home = np.zeros(len(self), np.int32)
         self.bits = np.empty(((len(pivots) + 7) // 8, len(self)), np.uint8)
         for at in range(0, len(self), 4096):
             own = slice(at, min(at + 4096, len(self)))
-            home[own], near = _cells(self.unit(own) - centre, pivots, reach)
+            home[own], near = _cells(self.unit(own), pivots, reach)
             self.bits[:, own] = np.packbits(near, axis=1).T
         order = np.argsort(home, kind="stable")
         self._take(order)
@@ -213,9 +217,8 @@ class _Group:
         homes.close()
         count = min(FINE, len(self.homes) // leaf)
         self.pivots = directions(self.size, count if count >= 8 else 1, 1)
-        self.centre = (homes.single[:, 0] @ homes.x[: len(homes)] / len(homes)).astype(np.float32)
         self.reach = margin(threshold, self.size) + self.slack
-        self.homes.settle(self.pivots, self.centre, self.reach)
+        self.homes.settle(self.pivots, self.reach)
         self.forest, self.edges = _Forest(len(self.homes)), [np.empty((0, 4), np.int64)]
         self.told = np.empty(0, "V16")
         self.out: list[pa.RecordBatch] = []
@@ -266,7 +269,7 @@ class _Group:
     def host(self, b: _Rows) -> None:
         a = self.homes
         b.close()
-        b.settle(self.pivots, self.centre, self.reach)
+        b.settle(self.pivots, self.reach)
         self.forest.guests(len(b))
         home, cells = b.meta["home"].astype(np.int64), a.meta["cells"]
 
@@ -339,7 +342,7 @@ def _comparer(threshold: float, kind: type, leaf: int):
 
 
 def _plan(sample: pa.Table, share: float, threshold: float, trees: int, kind: type) -> tuple[dict[tuple[int, int], tuple], list[tuple[int, int, int, int]]]:
-    """``(size, label)`` of labels that are more than one group: directions, centre, and how many blocks each cell has.  And the groups, largest first."""
+    """``(size, label)`` of labels that are more than one group: directions, and how many blocks each cell has.  And the groups, largest first."""
     plans: dict[tuple[int, int], tuple] = {}
     groups: list[tuple] = []
     label, h1, h2 = (sample[c].to_numpy() for c in ("label", "h1", "h2"))
@@ -356,20 +359,20 @@ def _plan(sample: pa.Table, share: float, threshold: float, trees: int, kind: ty
         if blocks <= BLOCKS:
             groups += [(-len(rows) / blocks, d, own_label, 0, b) for b in range(blocks)]
             if blocks > 1:
-                plans[d, own_label] = (np.zeros((1, d), np.float32), np.zeros(d, np.float32), np.array([blocks]))
+                plans[d, own_label] = (np.zeros((1, d), np.float32), np.array([blocks]))
             continue
         x = _unit(sample["vector"].take(pa.array(rows)).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), d)).astype(np.float32)
-        centre, reach = x.mean(0), margin(threshold, d)
+        reach = margin(threshold, d)
         best = None
         for seed in range(max(1, trees)):  # the directions whose cells cost the fewest copies
             pivots = directions(d, min(CELLS, blocks), 100 + seed)
-            home, near = _cells(x - centre, pivots, reach)
+            home, near = _cells(x, pivots, reach)
             own = np.ceil(np.bincount(home, minlength=len(pivots)) / share / held).astype(int).clip(1)
             copies = (near * own).sum()
             if best is None or copies < best[0]:
-                best = copies, (pivots, centre, own)
+                best = copies, (pivots, own)
         plans[d, own_label] = best[1]
-        groups += [(-len(rows) / blocks, d, own_label, cell, b) for cell, count in enumerate(best[1][2].tolist()) for b in range(count)]
+        groups += [(-len(rows) / blocks, d, own_label, cell, b) for cell, count in enumerate(best[1][1].tolist()) for b in range(count)]
     return plans, [tuple(g[1:]) for g in sorted(groups)]
 
 
@@ -401,9 +404,9 @@ def _router(shared, threshold: float, kind: type):
             x = flat[at[rows][:, None] + np.arange(d)].astype(kind, copy=False)
             home, near, blocks = np.zeros(len(rows), np.int64), np.ones((len(rows), 1), bool), np.ones(1, int)
             if (plan := plans.get((d, own_label))) is not None:
-                pivots, centre, blocks = plan
+                pivots, blocks = plan
                 if len(pivots) > 1:
-                    home, near = _cells(_unit(x).astype(np.float32) - centre, pivots, np.float32(margin(threshold, d)))
+                    home, near = _cells(_unit(x).astype(np.float32), pivots, np.float32(margin(threshold, d)))
             block = (h1[rows].view(np.uint64) % blocks[home].astype(np.uint64)).astype(np.int64)
             bits = (near.astype(np.uint64) << np.arange(near.shape[1], dtype=np.uint64)).sum(1, dtype=np.uint64)
             meta = {"id": ids[rows], "h1": h1[rows], "h2": h2[rows], "n": n[lo:hi], "cells": bits, "home": home.astype(np.int16)}

@@ -322,6 +322,23 @@ def test_vectors_travel_a_few_times_however_many_there_are(total, copies):
     assert {i: n for i, n in links.items() if n and i is not None} == {i: n for i, (n, _) in want.items() if n}
 
 
+def test_opposite_ends_of_a_tight_cluster_are_linked():
+    """Pairs at the threshold on opposite sides of the mean of their group, in hundreds of cells."""
+    rng = np.random.default_rng(6)
+    centre, off = rng.standard_normal(64), rng.standard_normal((1500, 64))
+    centre /= np.linalg.norm(centre)
+    off -= (off @ centre)[:, None] * centre
+    off *= 0.18 / np.linalg.norm(off, axis=1, keepdims=True)
+    x = np.concatenate([centre + off, centre - off]).astype(np.float32)
+    meta = {k: np.arange(3000).astype(t) for k, t in embedding_dedup.META} | {"n": np.ones(3000, np.int64)}
+    homes = embedding_dedup._Rows(64, np.float32)
+    for part in embedding_dedup._pack(meta, x, np.arange(3000)):
+        homes.add(*part)
+    group = embedding_dedup._Group((64, 0, 0, 0), homes, 0.93, 6)
+    assert len(group.pivots) == 500
+    assert (group.homes.links == 2999).all()
+
+
 def test_parts_of_a_class_among_guests_count_once():
     x = np.random.default_rng(8).standard_normal((40, 16)).astype(np.float32)
 
